@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, licenses, secrets, toxicity
+from . import bm25, bpe, decontaminate, langid, licenses, secrets, simhash, substrings, toxicity, warc
 from .common import held_out, table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -34,9 +38,38 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bm25.search(docs, bm25.every_fiftieth(docs))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_secret_scan, op3_language_id, op4_toxicity, op5_byte_bpe, op6_license_scan)}
+    found = (op1_substring_dedup, op2_secret_scan, op3_language_id, op4_toxicity, op5_byte_bpe, op6_license_scan, op7_topk_search, op8_simhash, op9_warc, op10_decontamination)
+    return {f.__name__: f for f in found}
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first IS NOT NULL AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND first <> page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (digest)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_topk_search": bm25.ORACLE_SQL, "op9_warc": OP9_SQL}
