@@ -10,6 +10,8 @@ verified by the exact weighted similarity of the shingles (weights are their mul
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,12 +35,13 @@ def hashed(df: DataFrame, id_col: str, text_col: str, size: int, id_name: str) -
 
 def fingerprint(hashes: Column) -> Column:
     """A bit is 1 if it is set in over half of the hashes."""
-    out = F.lit(0).cast("long")
-    for j in range(64):
+
+    def voted(j: int) -> Column:
         bit = F.lit((1 << j) - (1 << 64 if j == 63 else 0))
-        ones = F.size(F.filter(hashes, lambda x, bit=bit: x.bitwiseAND(bit) != 0))
-        out = out.bitwiseOR(F.when(2 * ones > F.size(hashes), bit).otherwise(F.lit(0).cast("long")))
-    return out
+        ones = F.size(F.filter(hashes, lambda x: x.bitwiseAND(bit) != 0))
+        return F.when(2 * ones > F.size(hashes), bit).otherwise(F.lit(0).cast("long"))
+
+    return reduce(Column.bitwiseOR, map(voted, range(64)))
 
 
 def blocks(fp: Column, count: int) -> Column:

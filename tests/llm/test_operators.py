@@ -250,14 +250,14 @@ def test_bpe_frame(public, docs, empty):
 
 
 def test_licenses(docs, empty):
-    text = "Licensed under the MIT License. Also Apache\nLicense; the GNU General Public License, version 3; general-public license; mit  license"
+    text = "Licensed under the MIT License. Also Apache\nLicense; the GNU GPL, version 3 license; general-public license; mit  license"
     n, places, first, last, base, labels, score, found = licenses.scan(text)
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
     starts = [i for i in range(len(words)) for p, _ in licenses.BASE if words[i : i + len(p.split())] == p.split()]
     assert (n, places, first, last) == (len(words), len(starts), min(starts), max(starts))
     assert base == "apache,gpl,mit" and "gpl-3.0" in labels and 0 < score <= 1
     assert not any(a is not b and b.start <= a.start and a.end <= b.end and b.priority > a.priority for a in found for b in found)
-    assert licenses.scan("GNU Lesser General Public License v2.1")[5].split(",") == ["gpl", "lgpl-2.1"]
+    assert licenses.scan("Licensed under the GNU Lesser General Public License v2.1")[5].split(",") == ["gpl", "lgpl-2.1"]
     assert licenses.scan(None)[:7] == (0, 0, None, None, "", "", 0.0)
     assert len(licenses.rules()) > 300
     assert licenses.find_licenses(docs).count() == docs.count() and licenses.find_licenses(empty).count() == 0
