@@ -1,11 +1,631 @@
-"""The registered queries of the entity-resolution operators."""
+"""The registered queries of the entity-resolution operators, each with its DuckDB counterpart where SQL can express it."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ..functions import names as N
+from ..functions import vocabulary as V
+from ..operators import ledger, mapping, probing, publishing, reports, resolution, scans, unions
+from ..sources import extract
+from .fixtures import cte, view
 
-def oracle_sql() -> dict:
-    return {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+TODAY = "2024-01-31"
+
+
+def query(sql: str | None = None):
+    def register(fn: Callable[[SparkSession, str], DataFrame]):
+        _QUERIES[fn.__name__] = fn
+        if sql:
+            _ORACLES[fn.__name__] = sql
+        return fn
+
+    return register
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_ORACLES)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+# --- scans
+
+
+@query(cte("hotel") + "SELECT id, slug, city_id FROM hotel WHERE city_id IN (1, 3, 5)")
+def scan_by_city(spark, d):
+    return scans.by_city(view(spark, d, "hotel"), [1, 3, 5]).select("id", "slug", "city_id")
+
+
+@query(cte("hotel") + "SELECT slug, id FROM hotel WHERE id % 9 = 0")
+def scan_by_slug(spark, d):
+    h = view(spark, d, "hotel")
+    slugs = h.filter("id % 9 = 0").select(F.concat(F.lit(" "), "slug").alias("slug")).union(spark.createDataFrame([("",), ("  ",), ("no-such",)], "slug string"))
+    return scans.by_slug(h, slugs).select("slug", "id")
+
+
+@query("SELECT s_suppkey AS id FROM supplier")
+def scan_ids(spark, d):
+    return view(spark, d, "hotel").select("id")
+
+
+@query(cte("hotel") + "SELECT id FROM (SELECT id FROM hotel ORDER BY id LIMIT 40) WHERE id % 3 > 0")
+def fixed_window_minus_skip(spark, d):
+    h = view(spark, d, "hotel")
+    return scans.window_minus_skip(h.select("id"), h.filter("id % 3 = 0"), 40)
+
+
+@query(cte("city", "country", "hotel") + "SELECT c.id, name_en, country, count(h.id) AS n_hotels FROM city c LEFT JOIN country USING (country_id) LEFT JOIN hotel h ON h.city_id = c.id WHERE deleted_at IS NULL AND lower(name_en) LIKE '%nation_1%' GROUP BY ALL")
+def resolve_city_counts(spark, d):
+    return scans.resolve_city(view(spark, d, "city"), view(spark, d, "country"), view(spark, d, "hotel"), "Nation_1")
+
+
+_FLAGS = "hotel_id, lower(substr(trim(name), 1, 191)) AS room_key, trim(coalesce(thumbnail, '')) <> '' AS has_image, coalesce(size_sqft, 0) > 0 AS has_size, category_id IS NOT NULL AS has_category"
+
+
+@query(cte("room") + f"SELECT {_FLAGS} FROM room")
+def existing_rooms_flags(spark, d):
+    return scans.existing_flags(view(spark, d, "room"))
+
+
+@query(cte("room", "hotel") + f"SELECT {_FLAGS} FROM room WHERE hotel_id IN (SELECT id FROM hotel WHERE city_id = 7)")
+def existing_rooms_bulk(spark, d):
+    return scans.existing_flags(view(spark, d, "room"), view(spark, d, "hotel"), 7)
+
+
+@query("SELECT o_orderkey AS suggestion, o_custkey AS object_id, p_name AS label FROM orders LEFT JOIN part ON o_custkey = p_partkey WHERE o_orderkey % 10 = 7")
+def suggest_join(spark, d):
+    s = _table(spark, d, "orders").selectExpr("o_orderkey AS suggestion", "o_custkey AS object_id", "o_orderkey % 10 AS kind")
+    return scans.suggest_join(s, _table(spark, d, "part").selectExpr("p_partkey AS object_id", "p_name AS label")).select("suggestion", "object_id", "label")
+
+
+@query("SELECT s_suppkey AS id FROM supplier WHERE s_suppkey % 4 = 0")
+def missing_keys(spark, d):
+    h = view(spark, d, "hotel")
+    return scans.missing_keys(h, h.filter("id % 4 <> 0"), "id")
+
+
+@query("SELECT 'General' AS name")
+def category_completeness(spark, d):
+    stored = spark.createDataFrame([(c.upper(),) for c in N.all_categories() if c != V.FALLBACK_CATEGORY], "name string")
+    return scans.missing_categories(spark, stored).select("name")
+
+
+# --- names
+
+
+@query("SELECT c_custkey AS id, trim(regexp_replace(replace(lower(c_name || ' & ' || c_mktsegment), '&', ' and '), '[^a-z0-9]+', ' ', 'g')) AS norm FROM customer")
+def name_normalise(spark, d):
+    return _table(spark, d, "customer").select(F.col("c_custkey").alias("id"), N.norm(F.concat("c_name", F.lit(" & "), "c_mktsegment")).alias("norm"))
+
+
+def _room_norm_sql(name: str) -> str:
+    """The room normalisation for plain ASCII names without spaced letters, entities or words of access."""
+    text = f"regexp_replace(regexp_replace({name}, '\\[.*?\\]', ' ', 'g'), '\\b[0-9]+\\s*%', ' ', 'g')"
+    text = f"trim(regexp_replace(replace(lower({text}), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
+    for pattern, joined in V.SPLIT_WORDS:
+        text = f"regexp_replace({text}, '{pattern}', '{joined}', 'g')"
+    short = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in V.ABBREVIATIONS.items())
+    ts = f"list_transform(string_split({text}, ' '), lambda t: CASE t {short} ELSE t END)"
+    cut = f"list_filter(list_transform({ts}, lambda t, i: CASE WHEN i > 1 AND list_contains({_list(V.PROMO_STARTS)}, t) THEN i END), lambda i: i IS NOT NULL)"
+    ts = f"list_slice({ts}, 1, coalesce(list_min({cut}) - 1, len({ts})))"
+    last = f"list_max(list_transform({ts}, lambda t, i: CASE WHEN NOT list_contains({_list(V.BOARD_CODES)}, t) THEN i ELSE 0 END))"
+    ts = f"list_slice({ts}, 1, {last})"
+    noise = _list([*V.RATE_WORDS, *V.PROMO_WORDS, *V.PERK_WORDS])
+    ts = f"list_filter({ts}, lambda t: NOT list_contains({noise}, t) AND NOT regexp_matches(t, '{V.DIMENSION}') AND NOT regexp_matches(t, '{V.YEAR}'))"
+    return f"array_to_string(list_filter({ts}, lambda t, i: list_position({ts}, t) = i), ' ')"
+
+
+@query(cte("room_b") + f"SELECT b_id, {_room_norm_sql('room_name')} AS norm FROM room_b")
+def room_normalise(spark, d):
+    return view(spark, d, "room_b").select("b_id", N.norm_room(F.col("room_name")).alias("norm"))
+
+
+@query()
+def access_sense(spark, d):
+    p = _table(spark, d, "part")
+    ends = ["lounge access", "wheelchair accessible", "access", "club lounge access", "mobility access", "accessible"]
+    end = F.get(N.words(ends), (F.col("p_partkey") % len(ends)).cast("int"))
+    return p.select("p_partkey", end.alias("stated"), N.resolve_access(F.concat_ws(" ", F.lower("p_type"), F.lit("room"), end)).alias("resolved"))
+
+
+def _name_pairs(spark, d):
+    p = _table(spark, d, "part").select("p_name").distinct()
+    return p.alias("a").join(p.alias("b"), F.substring("a.p_name", 1, 1) == F.substring("b.p_name", 1, 1)).select(F.col("a.p_name").alias("a"), F.col("b.p_name").alias("b"))
+
+
+@query()
+def ratio_pairs(spark, d):
+    return _name_pairs(spark, d).withColumn("ratio", F.bround(N.plain_ratio("a", "b"), 1))
+
+
+@query()
+def strict_score(spark, d):
+    return _name_pairs(spark, d).withColumn("strict", F.bround(N.strict_score("a", "b"), 1))
+
+
+@query()
+def set_score(spark, d):
+    return _name_pairs(spark, d).withColumn("set_score", F.bround(N.set_score("a", "b"), 1))
+
+
+@query()
+def room_score(spark, d):
+    p = mapping.pairs(view(spark, d, "room_a"), view(spark, d, "room_b"))
+    return p.select("a_id", "b_id", F.bround("raw", 1).alias("room_score"))
+
+
+@query("SELECT c_custkey AS id, list_aggregate(list_sort(list_distinct(regexp_extract_all(n, '[0-9]+') || list_filter(string_split(n, ' '), lambda t: list_contains(['north', 'south', 'east', 'west'], t)))), 'string_agg', ',') AS marks FROM (SELECT c_custkey, lower(replace(c_name, '#', ' ')) || CASE c_custkey % 3 WHEN 0 THEN ' north' WHEN 1 THEN ' east 12' ELSE '' END AS n FROM customer)")
+def unit_marks(spark, d):
+    tail = F.when(F.col("c_custkey") % 3 == 0, " north").when(F.col("c_custkey") % 3 == 1, " east 12").otherwise("")
+    c = _table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.concat(N.norm("c_name"), tail).alias("n"))
+    return c.select("id", F.array_join(N.unit_marks(F.col("n")), ",").alias("marks"))
+
+
+@query()
+def same_listing(spark, d):
+    c = resolution.scored(view(spark, d, "hotel"), view(spark, d, "candidate"))
+    return c.select("hotel_id", "cand_id", N.same_listing(F.col("n1"), F.col("n2"), drop=F.lit("dubai")).alias("same"))
+
+
+def _parsed_b(spark, d):
+    return mapping.parsed(view(spark, d, "room_b"))
+
+
+@query()
+def view_of(spark, d):
+    return _table(spark, d, "part").select("p_partkey", N.view_of(F.concat_ws(" ", F.lower("p_type"), "p_name", F.lit("view room"))).alias("view"))
+
+
+@query(f"SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 + p_partkey % 9 WHEN 2 THEN 2 END::INT AS bedrooms FROM part")
+def bedrooms(spark, d):
+    k = F.col("p_partkey") % 4
+    stated = F.when(k == 0, F.lit("studio")).when(k == 1, F.concat((1 + F.col("p_partkey") % 9).cast("string"), F.lit(" bhk flat"))).when(k == 2, F.lit("two bedrooms")).otherwise(F.lit("room"))
+    return _table(spark, d, "part").select("p_partkey", N.bedrooms(F.concat_ws(" ", "p_name", stated)).cast("int").alias("bedrooms"))
+
+
+@query()
+def room_features(spark, d):
+    f = F.col("f")
+    return _parsed_b(spark, d).select("b_id", F.array_join(f["classes"], ",").alias("classes"), f["view"].alias("view"), F.array_join(f["beds"], ",").alias("beds"), f["bedrooms"].alias("bedrooms"), F.array_join(f["tiers"], ",").alias("tiers"), f["accessible"].alias("accessible"))
+
+
+def _category_sql(n: str) -> str:
+    out = [f"WHEN {n} = '' THEN 'General'"]
+    words = " ".join(f"WHEN '{w}' THEN {k}" for w, k in V.NUMBERS.items())
+    number = f"regexp_extract({n}, '([0-9]+|{'|'.join(V.NUMBERS)})\\s*(?:bed\\s?rooms?|br|bhk)\\b', 1)"
+    for label, pattern in V.CATEGORY_RULES:
+        if label == "Apartment":
+            count = f"CASE {number} {words} ELSE try_cast({number} AS INT) END"
+            out += [f"WHEN ({count}) = {k} THEN '{c}'" for k, c in enumerate(V.BEDROOM_CATEGORIES[:3], 1)] + [f"WHEN ({count}) > 3 THEN '{V.BEDROOM_CATEGORIES[3]}'"]
+        out.append(f"WHEN regexp_matches({n}, '{pattern}') THEN '{label}'")
+    return f"CASE {' '.join(out)} ELSE 'General' END"
+
+
+@query(cte("room_b") + f", n AS (SELECT b_id, {_room_norm_sql('room_name')} AS norm FROM room_b) SELECT b_id, {_category_sql('norm')} AS category FROM n")
+def room_category(spark, d):
+    return _parsed_b(spark, d).select("b_id", N.category(F.col("norm")).alias("category"))
+
+
+def _pairs(spark, d):
+    return mapping.pairs(view(spark, d, "room_a"), view(spark, d, "room_b"))
+
+
+@query()
+def room_match_veto(spark, d):
+    return _pairs(spark, d).select("a_id", "b_id", "score", "veto")
+
+
+@query()
+def corroboration(spark, d):
+    return _pairs(spark, d).select("a_id", "b_id", F.array_join("cor", ",").alias("corroborated"))
+
+
+@query()
+def soft_veto(spark, d):
+    return _pairs(spark, d).select("a_id", "b_id", N.is_soft(F.col("veto")).alias("soft"))
+
+
+# --- mapping
+
+
+def _mapped(spark, d):
+    return mapping.map_rooms(view(spark, d, "room_a"), view(spark, d, "room_b"))
+
+
+@query()
+def room_mapping(spark, d):
+    return _mapped(spark, d)
+
+
+@query()
+def mapping_review(spark, d):
+    return _mapped(spark, d).filter("status = 'review'")
+
+
+@query()
+def mapping_unmatched(spark, d):
+    return _mapped(spark, d).filter("status = 'unmatched'")
+
+
+@query()
+def mapping_leftover(spark, d):
+    return _mapped(spark, d).filter("status = 'leftover'").select("hotel_id", "b_id", "room_name")
+
+
+_KM = "12742 * asin(sqrt(pow(sin(radians(cand_lat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(cand_lat)) * pow(sin(radians(cand_lon - lon) / 2), 2)))"
+
+
+@query(cte("hotel", "candidate") + f"SELECT hotel_id, cand_id, round({_KM}, 6) AS km FROM hotel JOIN candidate ON hotel.id = hotel_id")
+def haversine_km(spark, d):
+    both = view(spark, d, "hotel").withColumnRenamed("id", "hotel_id").join(view(spark, d, "candidate"), "hotel_id")
+    return both.select("hotel_id", "cand_id", F.round(resolution.km(F.col("lat"), F.col("lon"), F.col("cand_lat"), F.col("cand_lon")), 6).alias("km"))
+
+
+_BAND = "CASE WHEN km <= 0.35 AND s >= 72 THEN 'high' WHEN same AND s2 >= 88 THEN 'medium' WHEN km <= 1.5 AND s >= 90 THEN 'medium' WHEN km IS NULL AND s >= 90 THEN 'medium' END"
+
+
+@query("SELECT l_orderkey, l_linenumber, " + _BAND + " AS band FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 5 > 0 THEN l_partkey % 200 / 100.0 END AS km, 50 + l_suppkey % 51 AS s, 50 + l_partkey % 51 AS s2, l_orderkey % 2 = 0 AS same FROM lineitem)")
+def confidence_band(spark, d):
+    c = _table(spark, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", "CASE WHEN l_partkey % 5 > 0 THEN l_partkey % 200 / 100.0 END AS km", "50 + l_suppkey % 51 AS s", "50 + l_partkey % 51 AS s2", "l_orderkey % 2 = 0 AS same")
+    return c.select("l_orderkey", "l_linenumber", resolution.confidence(F.col("s"), F.col("s2"), F.col("km"), F.col("same")).alias("band"))
+
+
+@query()
+def hotel_match(spark, d):
+    return resolution.match_hotels(view(spark, d, "hotel"), view(spark, d, "candidate")).filter("reason IS NULL")
+
+
+@query()
+def hotel_match_near_miss(spark, d):
+    return resolution.match_hotels(view(spark, d, "hotel"), view(spark, d, "candidate")).filter("reason IS NOT NULL").select("hotel_id", "reason")
+
+
+@query()
+def verified_dual_gate(spark, d):
+    return resolution.verified(view(spark, d, "hotel"), view(spark, d, "candidate"))
+
+
+@query("SELECT hotel_id, CASE WHEN n_viable > n_failed THEN 'considered' WHEN (n_candidates = 0 AND n_errors > 0) OR (n_considered > 0 AND n_failed = n_considered) OR (n_errors > 0 AND n_viable = 0) THEN 'unreachable' ELSE 'no_match' END AS outcome FROM (SELECT user_id AS hotel_id, count(*) FILTER (event_type = 'view') AS n_candidates, count(*) FILTER (event_type = 'error') AS n_errors, count(*) FILTER (event_type = 'click') AS n_considered, count(*) FILTER (event_type = 'click' AND value < 20) AS n_failed, count(*) FILTER (event_type = 'purchase') AS n_viable FROM events GROUP BY user_id)")
+def unreachable_or_no_match(spark, d):
+    is_ = lambda t: F.col("event_type") == t
+    a = _table(spark, d, "events").groupBy(F.col("user_id").alias("hotel_id")).agg(F.count_if(is_("view")).alias("n_candidates"), F.count_if(is_("error")).alias("n_errors"), F.count_if(is_("click")).alias("n_considered"), F.count_if(is_("click") & (F.col("value") < 20)).alias("n_failed"), F.count_if(is_("purchase")).alias("n_viable"))
+    return resolution.unreachable(a).select("hotel_id", "outcome")
+
+
+@query("SELECT c_custkey AS id, substr(trim(regexp_replace(regexp_replace(regexp_replace(c_name || ', ' || c_mktsegment || ' street ' || (c_custkey % 90), '[^a-zA-Z0-9_\\s-]', ' ', 'g'), '\\s*\\b[0-9]{4,}\\b\\s*', ' ', 'g'), '\\s+', ' ', 'g')), 1, 80) AS query FROM customer")
+def address_query(spark, d):
+    c = _table(spark, d, "customer")
+    address = F.concat("c_name", F.lit(", "), "c_mktsegment", F.lit(" street "), (F.col("c_custkey") % 90).cast("string"), F.lit(", 10115 United Nation Land"))
+    return c.select(F.col("c_custkey").alias("id"), resolution.address_query(address, F.lit("United Nation Land"), F.lit("Berlin")).alias("query"))
+
+
+# --- ladders and unions
+
+
+@query("WITH d AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders) SELECT day, (day + ((5 - dayofweek(day) + 7) % 7 + 1)::INT + 7 * (w - 1)::INT)::DATE AS check_in, w::INT AS weeks FROM d, (SELECT unnest([1, 2, 3]) AS w)")
+def weekend_dates(spark, d):
+    days = _table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    return days.select("day", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("weeks")).select("day", probing.weekend_checkin(F.col("day"), F.col("weeks")).alias("check_in"), "weeks")
+
+
+_LADDER = ", ".join(f"({i}, {w}, {a}, {n})" for i, (w, a, n) in enumerate(V.BASE_LADDER))
+
+
+@query(f"SELECT (2 * i + k)::INT AS seq, w::INT AS weeks, a::INT AS adults, n::INT AS nights, (3 * k)::INT AS shift_days, CASE k WHEN 0 THEN 'weekend' ELSE 'midweek' END || '+' || w || 'w/' || a || 'ad/' || n || 'n' AS label FROM (VALUES {_LADDER}) t(i, w, a, n), (VALUES (0), (1)) s(k)")
+def probe_shapes(spark, d):
+    return probing.probe_shapes(spark)
+
+
+_OBS = cte("observation")
+
+
+@query(_OBS + "SELECT hotel_id, room_no, seq AS first_seq, shape AS first_shape FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id, room_no ORDER BY seq, shape) AS r FROM observation) WHERE r = 1")
+def union_first_wins(spark, d):
+    return unions.first_wins(view(spark, d, "observation"), ["hotel_id", "room_no"], ["seq", "shape"], ["seq", "shape"]).withColumnsRenamed({"seq": "first_seq", "shape": "first_shape"})
+
+
+@query(_OBS + "SELECT hotel_id, room_no, richness, seq, shape FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id, room_no ORDER BY richness DESC, seq, shape) AS r FROM observation) WHERE r = 1")
+def union_richest_wins(spark, d):
+    return unions.richest_wins(view(spark, d, "observation"), ["hotel_id", "room_no"], "richness", ["seq", "shape"], ["richness", "seq", "shape"])
+
+
+@query(_OBS + ", f AS (SELECT hotel_id, room_no, flag, min(seq * 10 + shape) AS place FROM observation GROUP BY ALL) SELECT hotel_id, room_no, string_agg(flag, ',' ORDER BY place, flag) AS images FROM f GROUP BY ALL")
+def union_images(spark, d):
+    o = view(spark, d, "observation").select("hotel_id", "room_no", (F.col("seq") * 10 + F.col("shape")).alias("o"), F.array("flag").alias("images"), F.lit("x").alias("name"))
+    flags = unions.merge_images(o, ["hotel_id", "room_no"], "o", "images", "name")
+    return flags.select("hotel_id", "room_no", F.array_join("images", ",").alias("images"))
+
+
+@query("SELECT hotel_id, room_name, max_occupancy FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id, room_name ORDER BY seq, pos) AS r FROM (SELECT l_suppkey AS hotel_id, l_orderkey * 10 + l_linenumber AS seq, 0 AS pos, CASE WHEN l_partkey % 3 = 0 THEN 'plan ' || l_shipmode_ ELSE 'room ' || (l_partkey % 20) END AS room_name, (1 + l_partkey % 4)::INT AS max_occupancy FROM (SELECT *, l_returnflag AS l_shipmode_ FROM lineitem))) WHERE r = 1")
+def collapse_rate_plans(spark, d):
+    li = _table(spark, d, "lineitem")
+    name = F.when(F.col("l_partkey") % 3 == 0, F.lit("  ")).otherwise(F.concat(F.lit("room "), (F.col("l_partkey") % 20).cast("string")))
+    options = li.select(F.col("l_suppkey").alias("hotel_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("option_seq"), F.concat(F.lit("plan "), "l_returnflag").alias("title"), F.array(F.struct(name.alias("name"), (1 + F.col("l_partkey") % 4).cast("int").alias("max_occupancy"))).alias("rooms"))
+    return unions.collapse_rate_plans(options)
+
+
+_PROBE = cte("probe")
+
+
+@query(_PROBE + "SELECT hotel_id, bool_or(outcome = 'ok') AS resolved, bool_or(outcome = 'unavailable') AS unavailable, bool_or(outcome = 'error') AS errored, count(*) FILTER (outcome = 'ok') AS n_ok FROM probe GROUP BY hotel_id")
+def probe_outcomes(spark, d):
+    return probing.outcomes(view(spark, d, "probe").drop("outcome").withColumn("outcome", probing.outcome(F.col("event_type"))))
+
+
+@query(cte("probe", "observation") + ", g AS (SELECT shape, count(*) AS n FROM (SELECT hotel_id, room_no, min(shape) AS shape FROM observation GROUP BY ALL) GROUP BY shape) SELECT p.shape, count(DISTINCT hotel_id) AS hotels_probed, count(*) FILTER (outcome = 'ok') AS answered, count(*) FILTER (outcome = 'unavailable') AS unavailable, count(*) FILTER (outcome = 'error') AS errors, coalesce(any_value(g.n), 0) AS new_rooms FROM probe p LEFT JOIN g ON g.shape = p.shape GROUP BY p.shape")
+def probe_metrics(spark, d):
+    rooms = view(spark, d, "observation").select("hotel_id", F.col("room_no").alias("room_name"), "shape")
+    return probing.metrics(view(spark, d, "probe"), rooms)
+
+
+@query(_PROBE + "SELECT DISTINCT hotel_id FROM probe WHERE hotel_id NOT IN (SELECT hotel_id FROM probe WHERE shape < 2 AND n_rooms > 0) AND hotel_id NOT IN (SELECT hotel_id FROM probe WHERE shape < 2 AND outcome = 'unavailable')")
+def zero_escalation(spark, d):
+    p = view(spark, d, "probe")
+    base = p.filter("shape < 2")
+    return probing.needs_wider(p.select("hotel_id").distinct(), base.filter("n_rooms > 0"), probing.outcomes(base))
+
+
+@query(_PROBE + "SELECT hotel_id, bool_and(outcome <> 'error') AS complete, sum(n_rooms)::BIGINT AS n_rooms, CASE WHEN sum(n_rooms) > 0 THEN 'rooms' WHEN bool_and(outcome <> 'error') THEN 'zero' ELSE 'unknown' END AS state FROM probe WHERE shape < 3 GROUP BY hotel_id")
+def ladder_complete(spark, d):
+    return probing.ladder_complete(view(spark, d, "probe").filter("shape < 3"))
+
+
+@query(f"SELECT event_id, coalesce(date_diff('day', ts::DATE, DATE '{TODAY}') <= 7, false) AS fresh, CASE WHEN date_diff('day', ts::DATE, DATE '{TODAY}') <= 7 THEN event_type ELSE '' END AS rooms FROM (SELECT event_id, event_type, CASE WHEN event_id % 6 > 0 THEN ts END AS ts FROM events)")
+def fresh_rooms_cache(spark, d):
+    e = _table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 6 > 0, F.col("ts")).alias("rooms_at"), F.array("event_type").alias("rooms"))
+    return probing.fresh_rooms(e, F.lit(TODAY).cast("date")).select("event_id", "fresh", F.array_join("rooms", ",").alias("rooms"))
+
+
+@query(_PROBE + ", g AS (SELECT hotel_id, shape, sum(n_rooms)::BIGINT % 3 AS gained FROM probe GROUP BY ALL), c AS (SELECT *, sum(gained) OVER w AS covered, sum((gained > 0)::INT) OVER w AS hits FROM g WINDOW w AS (PARTITION BY hotel_id ORDER BY shape)), f AS (SELECT *, sum((gained = 0)::INT) OVER (PARTITION BY hotel_id, hits ORDER BY shape) AS flat FROM c), s AS (SELECT *, coalesce(max((covered >= 5 OR flat >= 2)::INT) OVER (PARTITION BY hotel_id ORDER BY shape ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM f) SELECT hotel_id, shape, gained, covered::BIGINT AS covered, flat::BIGINT AS flat FROM s WHERE stopped = 0")
+def plateau_stop(spark, d):
+    g = view(spark, d, "probe").groupBy("hotel_id", "shape").agg((F.sum("n_rooms") % 3).alias("gained")).withColumn("n_gaps", F.lit(5))
+    return probing.plateau_stop(g)
+
+
+# --- ledgers
+
+_LOG = cte("log") + ", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY row_id DESC) AS r FROM log) WHERE r = 1)"
+_PUB = ", pub AS (SELECT hotel_id, max(happened) AS happened FROM log WHERE row_id % 3 = 0 GROUP BY hotel_id), fresh AS (SELECT hotel_id FROM pub WHERE happened::DATE >= DATE '" + TODAY + "' - 3)"
+
+
+def _published(spark, d):
+    return view(spark, d, "log").filter("row_id % 3 = 0")
+
+
+def _fresh(spark, d):
+    return ledger.fresh_ids(_published(spark, d), F.lit(TODAY).cast("date"), 3)
+
+
+@query(_LOG + " SELECT hotel_id, reason, row_id FROM latest")
+def ledger_latest(spark, d):
+    return ledger.latest(view(spark, d, "log")).select("hotel_id", "reason", "row_id")
+
+
+@query(_LOG + _PUB + " SELECT hotel_id FROM fresh")
+def fresh_ids(spark, d):
+    return _fresh(spark, d)
+
+
+@query(_LOG + " SELECT hotel_id FROM latest WHERE reason <> 'resolved'")
+def unresolved_ids(spark, d):
+    return ledger.unresolved_ids(view(spark, d, "log"))
+
+
+@query(_LOG + _PUB + " SELECT hotel_id FROM fresh WHERE hotel_id NOT IN (SELECT hotel_id FROM latest WHERE reason <> 'resolved')")
+def phase2_skip(spark, d):
+    return _fresh(spark, d).join(ledger.unresolved_ids(view(spark, d, "log")), "hotel_id", "left_anti")
+
+
+@query(cte("log") + "SELECT hotel_id, reason, happened, row_id FROM log WHERE row_id < 50 UNION ALL SELECT hotel_id, reason, happened, 50 + row_number() OVER (ORDER BY row_id) - 1 AS row_id FROM log WHERE row_id >= 50 AND row_id < 80")
+def ledger_append(spark, d):
+    log = view(spark, d, "log")
+    return ledger.append_rows(log.filter("row_id < 50"), log.filter("row_id >= 50 AND row_id < 80").withColumnRenamed("row_id", "old"), ["old"])
+
+
+# --- gaps and publishing
+
+_STORED = cte("room", "incoming") + ", s AS (SELECT hotel_id, lower(substr(trim(name), 1, 191)) AS room_key, bool_or(trim(coalesce(thumbnail, '')) <> '') AS has_image FROM room GROUP BY ALL), i AS (SELECT *, lower(substr(trim(room_name), 1, 191)) AS room_key FROM incoming)"
+
+
+def _incoming(spark, d):
+    urls = F.transform(F.sequence(F.lit(1), F.col("n_images").cast("int")), lambda k: F.concat(F.lit("u"), k.cast("string")))
+    return view(spark, d, "incoming").withColumn("images", F.when(F.col("n_images") > 0, urls).otherwise(F.array().cast("array<string>")))
+
+
+def _stored_flags(spark, d):
+    f = scans.existing_flags(view(spark, d, "room"))
+    return f.groupBy("hotel_id", "room_key").agg(F.bool_or("has_image").alias("has_image"))
+
+
+@query(_STORED + " SELECT hotel_id, seq FROM i LEFT JOIN s USING (hotel_id, room_key) WHERE n_images = 0 AND NOT coalesce(has_image, false)")
+def gap_rooms(spark, d):
+    return publishing.gap_rooms(_incoming(spark, d), _stored_flags(spark, d)).select("hotel_id", "seq")
+
+
+@query(_STORED + " SELECT hotel_id, seq, n_images > 0 AND NOT coalesce(has_image, false) AS need_mirror, CASE WHEN NOT coalesce(has_image, false) THEN n_images ELSE 0 END::INT AS n_left FROM i LEFT JOIN s USING (hotel_id, room_key)")
+def split_for_mirroring(spark, d):
+    return publishing.split_for_mirroring(_incoming(spark, d), _stored_flags(spark, d)).select("hotel_id", "seq", "need_mirror", F.size("images").alias("n_left"))
+
+
+@query(_STORED + ", g AS (SELECT hotel_id, room_key, seq FROM i LEFT JOIN s USING (hotel_id, room_key) WHERE n_images = 0 AND NOT coalesce(has_image, false)), o AS (SELECT hotel_id, room_key, n_images, row_number() OVER (PARTITION BY hotel_id, room_key ORDER BY seq) AS r FROM i WHERE n_images > 0) SELECT g.hotel_id, seq, coalesce(o.n_images, 0)::INT AS n_images, o.n_images IS NOT NULL AS filled FROM g LEFT JOIN o ON o.hotel_id = g.hotel_id AND o.room_key = g.room_key AND r = 1")
+def gap_fill(spark, d):
+    i = _incoming(spark, d)
+    gaps = publishing.gap_rooms(i, _stored_flags(spark, d))
+    return publishing.gap_fill(gaps, i.filter("n_images > 0")).select("hotel_id", "seq", F.size("images").alias("n_images"), "filled")
+
+
+_ACT = cte("room", "incoming") + """, o AS (SELECT hotel_id, lower(substr(trim(name), 1, 191)) AS room_key, arg_min(struct_pack(t := thumbnail, z := size_sqft, c := category_id), id) AS v FROM room GROUP BY ALL),
+i AS (SELECT *, lower(substr(trim(room_name), 1, 191)) AS room_key FROM incoming),
+n AS (SELECT *, row_number() OVER (PARTITION BY hotel_id, room_key ORDER BY seq) AS nth FROM i),
+j AS (SELECT n.*, o.v IS NOT NULL AS known, nullif(trim(v.t), '') AS ot, v.z AS oz, v.c AS oc FROM n LEFT JOIN o USING (hotel_id, room_key)),
+k AS (SELECT *, ot IS NULL AND nullif(trim(thumbnail), '') IS NOT NULL AS ft, CASE WHEN nth > 1 THEN 'skip_duplicate' WHEN NOT known THEN 'insert' WHEN (ot IS NULL AND nullif(trim(thumbnail), '') IS NOT NULL) OR (oz IS NULL AND size_sqft IS NOT NULL) OR (oc IS NULL AND category_id IS NOT NULL) THEN 'fill' ELSE 'skip_existing' END AS action FROM j)"""
+
+
+def _acted(spark, d):
+    return publishing.actions(_incoming(spark, d), view(spark, d, "room"))
+
+
+@query(_ACT + " SELECT hotel_id, seq, action FROM k")
+def publish_actions(spark, d):
+    return _acted(spark, d).select("hotel_id", "seq", "action")
+
+
+@query(_ACT + " SELECT hotel_id, room_key, coalesce(ot, nullif(trim(thumbnail), '')) AS thumbnail, coalesce(oz, size_sqft) AS size_sqft, coalesce(oc, category_id) AS category_id, action FROM k WHERE action <> 'skip_duplicate'")
+def fill_only(spark, d):
+    return publishing.filled(_acted(spark, d))
+
+
+@query(_ACT + " SELECT hotel_id, room_key, (p - 1)::INT AS pos, 'u' || p AS url FROM k, unnest(range(2, n_images + 1)) t(p) WHERE action = 'insert' OR (action = 'fill' AND ft)")
+def gallery_rows(spark, d):
+    return publishing.gallery(_acted(spark, d))
+
+
+@query(_ACT + " SELECT hotel_id, seq FROM k WHERE action = 'skip_duplicate'")
+def intra_run_duplicates(spark, d):
+    return _acted(spark, d).filter("action = 'skip_duplicate'").select("hotel_id", "seq")
+
+
+@query(_ACT + " SELECT hotel_id, count(*) FILTER (action = 'insert') AS \"insert\", count(*) FILTER (action = 'fill') AS fill, count(*) FILTER (action = 'skip_existing') AS skip_existing, count(*) FILTER (action = 'skip_duplicate') AS skip_duplicate, count(*) FILTER (action IN ('insert', 'fill') AND ft) AS thumbnails FROM k GROUP BY hotel_id")
+def publish_counters(spark, d):
+    return publishing.counters(_acted(spark, d))
+
+
+@query("SELECT p_brand, md5(string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) || '|t=1') AS scope FROM part GROUP BY p_brand")
+def scope_fingerprint(spark, d):
+    return _table(spark, d, "part").groupBy("p_brand").agg(F.collect_list("p_partkey").alias("ids")).select("p_brand", publishing.scope(F.col("ids"), "t=1").alias("scope"))
+
+
+# --- extraction
+
+
+@query("SELECT page_id, md5(html) || '.html' AS object_key FROM pages")
+def content_key(spark, d):
+    return _table(spark, d, "pages").select("page_id", extract.content_key(F.col("html").cast("binary"), F.lit(".html")).alias("object_key"))
+
+
+@query("SELECT page_id, octet_length(encode(CASE page_id % 3 WHEN 0 THEN 'GIF8' WHEN 1 THEN 'RIFF' ELSE '' END || html)) >= 4096 AND page_id % 3 < 2 AS usable FROM pages")
+def usable_blob(spark, d):
+    head = F.when(F.col("page_id") % 3 == 0, "GIF8").when(F.col("page_id") % 3 == 1, "RIFF").otherwise("")
+    return _table(spark, d, "pages").select("page_id", extract.usable_image(F.concat(head, F.col("html")).cast("binary")).alias("usable"))
+
+
+@query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN '.png' WHEN 1 THEN '.jpg' WHEN 2 THEN '.gif' ELSE '.jpg' END AS extension FROM pages")
+def image_extension(spark, d):
+    k = F.col("page_id") % 4
+    url = F.when(k == 2, F.concat(F.col("url"), F.lit("/a.GIF"))).otherwise(F.col("url"))
+    clean = F.regexp_replace(url, r"[?#].*?(/a\.GIF)?$", "$1")
+    return _table(spark, d, "pages").select("page_id", extract.image_extension(clean, F.when(k == 0, "image/png; q=1").when(k == 1, "image/jpeg")).alias("extension"))
+
+
+@query("SELECT event_id, (props->>'$.k')::INT AS k FROM events")
+def json_props(spark, d):
+    return _table(spark, d, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN (1000 + p_size)::INT END AS size_sqft FROM part")
+def parse_size(spark, d):
+    stated = F.concat(F.lit("Room size: 93 m²/1,"), F.lpad(F.col("p_size").cast("string"), 3, "0"), F.lit(" ft²"))
+    titles = F.array(F.lit("Balcony"), F.when(F.col("p_partkey") % 3 > 0, stated), F.lit("No size"))
+    return _table(spark, d, "part").select("p_partkey", extract.size_sqft(titles).alias("size_sqft"))
+
+
+@query("SELECT s_suppkey AS id, lower(replace(s_name, '#', '-')) AS slug, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-') AS derived FROM supplier")
+def slug_from_url(spark, d):
+    h = view(spark, d, "hotel")
+    url = F.concat(F.lit("https://host.example/"), "slug", F.lit("/hotel/town-ae.html?x=1"))
+    return h.select("id", extract.slug_of(url).alias("slug"), extract.slugified(F.col("name")).alias("derived"))
+
+
+@query("SELECT s_nationkey::BIGINT AS page_id, lower(replace(s_name, '#', '-')) AS slug, 'ae' AS country, s_name AS name, round(25 + s_suppkey % 97 / 1000.0, 3)::DOUBLE AS lat FROM supplier")
+def html_cards(spark, d):
+    lat = F.format_number(25 + F.col("s_suppkey") % 97 / 1000, 3)
+    card = F.concat(F.lit('<div data-testid="property-card"><a href="/hotel/ae/'), F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))), F.lit('.html">x</a><div data-testid="title" class="t"> '), "s_name", F.lit(' <</div>{"latitude": '), lat, F.lit(', "longitude": 55.1}'))
+    pages = _table(spark, d, "supplier").groupBy(F.col("s_nationkey").cast("long").alias("page_id")).agg(F.concat(F.lit("<html>"), F.array_join(F.collect_list(card), "")).alias("html"))
+    return extract.cards(pages).select("page_id", "slug", "country", "name", "lat")
+
+
+@query("SELECT p_partkey % 100 AS page_id, p_partkey::VARCHAR AS room_id, p_name AS room_name, (p_partkey % 3)::INT AS n_images FROM part")
+def parse_rooms_html(spark, d):
+    p = _table(spark, d, "part")
+    one = F.concat(F.lit('{"b_id": '), F.col("p_partkey").cast("string"), F.lit(', "x": {"y": "}"}, "b_name": "'), "p_name", F.lit('"}'))
+    photo = lambda k: F.when(F.col("p_partkey") % 3 >= k, F.concat(F.lit(f"{{id: {k}, large_url: 'http://i/{k}', associated_rooms: ['"), F.col("p_partkey").cast("string"), F.lit("']},")))
+    pages = p.groupBy((F.col("p_partkey") % 100).alias("page_id")).agg(F.concat(F.lit("rooms = ["), F.array_join(F.collect_list(one), ","), F.lit("]; allRoomPhotos: ["), F.array_join(F.collect_list(photo(1)), ""), F.array_join(F.collect_list(photo(2)), ""), F.lit("];")).alias("html"))
+    return extract.markup_rooms(pages).select("page_id", "room_id", "room_name", F.size("images").alias("n_images"))
+
+
+# --- reviews and reports
+
+_QUEUE = "WITH q AS (SELECT o_custkey AS hotel_id, o_orderkey AS a_id, round(o_totalprice / 10000, 1) AS score, CASE o_orderkey % 4 WHEN 0 THEN ' Yes' WHEN 1 THEN 'approve' WHEN 2 THEN 'no' END AS decision FROM orders), n AS (SELECT *, row_number() OVER (ORDER BY score DESC, hotel_id, a_id) + 100 AS row_id FROM q) "
+
+
+def _queue(spark, d):
+    rows = _table(spark, d, "orders").selectExpr("o_custkey AS hotel_id", "o_orderkey AS a_id", "round(o_totalprice / 10000, 1) AS score", "CASE o_orderkey % 4 WHEN 0 THEN ' Yes' WHEN 1 THEN 'approve' WHEN 2 THEN 'no' END AS decision")
+    return reports.review_queue(rows, 100)
+
+
+@query(_QUEUE + "SELECT hotel_id, a_id, row_id FROM n")
+def review_queue(spark, d):
+    return _queue(spark, d).select("hotel_id", "a_id", "row_id")
+
+
+@query(_QUEUE + "SELECT row_id FROM n WHERE a_id % 4 < 2")
+def apply_reviews(spark, d):
+    return _queue(spark, d).filter(reports.approved(F.col("decision"))).select("row_id")
+
+
+@query(_QUEUE + "SELECT row_id FROM n WHERE a_id % 4 >= 2")
+def queue_remaining(spark, d):
+    q = _queue(spark, d)
+    return reports.remaining(q, q.filter(reports.approved(F.col("decision")))).select("row_id")
+
+
+_STATES = _PROBE + ", s AS (SELECT hotel_id, bool_or(outcome = 'ok') AS r, bool_or(outcome = 'unavailable') AS u, bool_or(outcome = 'error') AS e FROM probe WHERE shape = 0 GROUP BY hotel_id)"
+
+
+@query(_STATES + " SELECT count(*) AS total, count(*) FILTER (r) AS resolved, count(*) FILTER (NOT r AND u) AS unavailable, count(*) FILTER (NOT r AND NOT u AND e) AS unanswered, 'ok' AS reconciled FROM s")
+def run_funnel(spark, d):
+    return reports.funnel(probing.outcomes(view(spark, d, "probe").filter("shape = 0")))
+
+
+@query(cte("log") + "SELECT reason, count(*) AS n FROM log GROUP BY reason")
+def reason_histogram(spark, d):
+    return reports.reason_histogram(view(spark, d, "log"))
+
+
+@query(_LOG + _PUB.replace(", pub", ", hotel AS (" + cte("hotel").split("AS (", 1)[1].rsplit(")", 1)[0] + "), pub") + " SELECT city_id, count(*) AS total, count(f.hotel_id) AS fresh, count(*) - count(f.hotel_id) AS runnable FROM hotel LEFT JOIN fresh f ON f.hotel_id = hotel.id GROUP BY city_id")
+def runnable_counts(spark, d):
+    return reports.runnable(view(spark, d, "hotel").select("id", "city_id"), _fresh(spark, d))
+
+
+@query(_PROBE + "SELECT hotel_id, CASE WHEN sum(n_rooms) > 0 THEN sum(n_rooms)::BIGINT::VARCHAR WHEN bool_or(outcome = 'unavailable') THEN '0(unsellable)' WHEN bool_or(outcome = 'error') THEN '0(no answer)' ELSE '0(verified)' END AS label FROM probe WHERE shape = 1 GROUP BY hotel_id")
+def bm_label(spark, d):
+    p = view(spark, d, "probe").filter("shape = 1").groupBy("hotel_id").agg(F.sum("n_rooms").alias("n"), F.bool_or(F.col("outcome") == "unavailable").alias("u"), F.bool_or(F.col("outcome") == "error").alias("e"))
+    return p.select("hotel_id", reports.count_label(F.col("n"), F.lit(True), F.col("u"), F.col("e")).alias("label"))
+
+
+@query(_PROBE + ", r AS (SELECT *, sum((outcome <> 'error')::INT) OVER (PARTITION BY hotel_id ORDER BY event_id) AS isle FROM probe), n AS (SELECT hotel_id, isle, count(*) FILTER (outcome = 'error') AS n FROM r GROUP BY ALL) SELECT hotel_id, max(n) AS longest, arg_max(n, isle) AS trailing, sum(n // 3)::BIGINT AS rotations, arg_max(n, isle) >= 8 AS degraded FROM n GROUP BY hotel_id")
+def failure_streaks(spark, d):
+    p = view(spark, d, "probe").withColumn("failed", F.col("outcome") == "error")
+    return probing.failure_streaks(p, "hotel_id", ["event_id"], "failed")
+
+
+@query("SELECT hotel_id, room_key, CASE WHEN n > 0 THEN first END AS thumbnail, greatest(n - 1, 0)::INT AS n_gallery FROM (SELECT o_custkey AS hotel_id, o_orderpriority AS room_key, count(*) FILTER (o_orderkey % 3 > 0) AS n, arg_min('h' || o_orderkey, o_orderkey) FILTER (o_orderkey % 3 > 0) AS first FROM orders GROUP BY ALL)")
+def mirror_fan_out(spark, d):
+    r = _table(spark, d, "orders").select(F.col("o_custkey").alias("hotel_id"), F.col("o_orderpriority").alias("room_key"), F.col("o_orderkey").alias("pos"), F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("h"), F.col("o_orderkey").cast("string"))).alias("hosted"))
+    return reports.mirrored(r).select("hotel_id", "room_key", "thumbnail", F.size("images").alias("n_gallery"))
