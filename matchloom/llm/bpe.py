@@ -20,6 +20,7 @@ import heapq
 import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -194,7 +195,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "token_ids",
     @F.pandas_udf("array<int>")
     def ids(texts):
         t = tokenizer(file, pat)
-        return texts.map(lambda x: t.encode(x) if isinstance(x, str) else [])
+        return texts.map(lambda x: np.array(t.encode_text(x if isinstance(x, str) else "").split(), np.int32))
 
     return docs.withColumn(out_col, ids(text_col))
 
