@@ -24,13 +24,16 @@ BROADCAST_ROWS = 1_000_000
 def hashed(df: DataFrame, id_col: str, text_col: str, size: int, id_name: str) -> DataFrame:
     """(id, hashes of the word shingles); words are runs of letters and digits in lower case.
 
-    Rows with fewer than ``size`` words have no shingle and are left out.
+    Null texts and texts of fewer than ``size`` words have no shingle. The words are bound to a lambda's variable:
+    a column of their own would be merged into the expression below and worked out again for each shingle.
     """
-    plain = F.trim(F.regexp_replace(F.lower(text_col), r"[^\p{L}\p{N}]+", " "))
-    rows = df.select(F.col(id_col).alias(id_name), F.transform(F.split(plain, " "), lambda w: F.xxhash64(w)).alias("words")).filter(F.size("words") >= size)
-    w = F.col("words")
-    places = F.sequence(F.lit(0), F.size(w) - size)
-    return rows.select(id_name, F.transform(places, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)])).alias("shingles"))
+    words = F.transform(F.split(F.trim(F.regexp_replace(F.lower(text_col), r"[^\p{L}\p{N}]+", " ")), " "), lambda w: F.xxhash64(w))
+
+    def grams(w: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(w) - size)
+        return F.when(F.size(w) >= size, F.transform(places, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)])))
+
+    return df.select(F.col(id_col).alias(id_name), F.get(F.transform(F.array(words), grams), 0).alias("shingles"))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -73,22 +76,23 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     is one window. Null texts, and texts and items with fewer than ``size`` words, hold and are nothing. Rows that
     share an id are searched each, and answered once.
     """
-    bench = persisted(hashed(items, item_col, item_text, size, "item_id").withColumn("item_fp", fingerprint(F.col("shingles"))).withColumnRenamed("shingles", "item_shingles"), "items")
+    bench = persisted(hashed(items, item_col, item_text, size, "item_id").withColumnRenamed("shingles", "item_shingles"), "items").filter("item_shingles IS NOT NULL")
     # a benchmark is small, but its size is not taken on trust
     of_item = bench.select(F.explode(F.array_distinct("item_shingles")).alias("h"), "item_id", F.size("item_shingles").alias("n_item"))
     texts = hashed(docs, id_col, text_col, size, "doc_id")
-    exploded = texts.select("doc_id", F.size("shingles").alias("n"), F.posexplode("shingles").alias("pos", "h"))
-    last = F.greatest(F.col("n") - F.col("n_item"), F.lit(0))
-    met = exploded.join(_small(of_item), "h").select("doc_id", "item_id", F.least(F.col("pos"), last).alias("start"), "n_item").distinct()
-    met = persisted(met, "windows")
+    # only ids, places and hashes are exploded; the arrays stay behind
+    exploded = texts.select("doc_id", F.posexplode("shingles").alias("pos", "h"))
+    met = persisted(exploded.join(_small(of_item), "h").select("doc_id", "item_id", "pos", "n_item"), "windows")
     # a document with no shared shingle is not looked at again
     wanted = _small(met.select(F.col("doc_id").alias("d")).distinct())
     again = docs.join(wanted, docs[id_col].eqNullSafe(wanted["d"]), "left_semi")
     full = hashed(again, id_col, text_col, size, "row_id")
     rows = full.join(_small(met), F.col("row_id").eqNullSafe(F.col("doc_id")))
-    windows = rows.select("doc_id", "item_id", "start", F.slice("shingles", F.col("start") + 1, F.col("n_item")).alias("part")).filter(F.size("part") > 0)
-    marked = windows.withColumn("fp", fingerprint(F.col("part")))
-    indexed = bench.select("item_id", "item_fp", "item_shingles", F.explode(blocks(F.col("item_fp"), radius + 1)).alias("b")).select("item_id", "item_fp", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
+    start = F.least(F.col("pos"), F.greatest(F.size("shingles") - F.col("n_item"), F.lit(0)))
+    windows = rows.select("doc_id", "item_id", start.alias("start"), F.slice("shingles", start + 1, F.col("n_item")).alias("part"))
+    marked = persisted(windows.distinct().withColumn("fp", fingerprint(F.col("part"))), "parts")
+    prints = bench.select("item_id", fingerprint(F.col("item_shingles")).alias("item_fp"))
+    indexed = prints.select("item_id", "item_fp", F.explode(blocks(F.col("item_fp"), radius + 1)).alias("b")).select("item_id", "item_fp", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
     probes = marked.select("doc_id", "item_id", "start", "part", "fp", F.explode(blocks(F.col("fp"), radius + 1)).alias("b")).select("doc_id", "item_id", "start", "part", "fp", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
     near = probes.join(_small(indexed), ["item_id", "block", "value"]).withColumn("bits", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).filter(F.col("bits") <= radius)
     pairs = near.groupBy("doc_id", "item_id", "start", "fp").agg(F.first("part").alias("part"), F.first("bits").alias("bits"))
