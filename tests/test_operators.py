@@ -82,7 +82,7 @@ def test_empty_text_is_filled(spark):
 def test_ledger(spark):
     lines = [(0, "1,a,x"), (1, "9"), (2, "zz,1,1"), (3, "5,1,b,y"), (4, "6,1,c"), (5, "")]
     got = ledger.read_log(spark.createDataFrame(lines, "seq long, line string"), ["row_id", "hotel_id", "slug", "reason"])
-    assert rows(got.select("hotel_id", "row_id", "slug", "reason")) == [(1, "5", "b", "y")]
+    assert rows(got.select("hotel_id", "row_id", "slug", "reason")) == [(1, "5", "b", "y"), (6, None, "1", "c")]
     log = spark.createDataFrame([(1, "open", 1), (1, "resolved", 2), (2, "open", 3)], "hotel_id long, reason string, row_id long")
     assert rows(ledger.unresolved_ids(log)) == [(2,)]
     grown = ledger.append_rows(log, spark.createDataFrame([(2, "r" * 400)], "hotel_id long, reason string"), ["hotel_id"])
