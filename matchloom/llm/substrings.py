@@ -217,8 +217,8 @@ class _Shared:
         return self.held.value
 
 
-def candidate_windows(docs: DataFrame, shared: _Shared, width: int, hot: bool) -> DataFrame:
-    """(h, v, doc_id, tk, start) of the windows that pass the filter and whose fingerprint is hot, or is not.
+def candidate_windows(docs: DataFrame, shared: _Shared, width: int) -> DataFrame:
+    """(h, v, doc_id, tk, start, hot) of the windows that pass the filter; hot tells whether the fingerprint is.
 
     h and v (64 and 32 bits) are independent hashes of the window's words. ``docs`` has doc_id, tk and text.
     """
@@ -229,31 +229,32 @@ def candidate_windows(docs: DataFrame, shared: _Shared, width: int, hot: bool) -
         for batch in batches:
             for at in range(0, batch.num_rows, PIECE):
                 part = batch.slice(at, PIECE)
-                rows: list[list[np.ndarray]] = [[] for _ in range(4)]
+                rows: list[list[np.ndarray]] = [[] for _ in range(5)]
                 for i, text in enumerate(part.column(2).to_pylist()):
                     values = word_values(split(text))
                     fp = window_fingerprints(values, width)
                     keep = np.flatnonzero(known.passes(fp)) if len(fp) else np.zeros(0, np.int64)
-                    keep = keep[known.is_hot(fp[keep]) == hot] if len(keep) else keep
                     if len(keep):
                         rows[0].append(_rolling(values, width, _ODD)[keep])
                         rows[1].append((_rolling(values, width, _ODD2)[keep] >> np.uint64(33)).astype(np.int32))
                         rows[2].append(np.full(len(keep), i))
                         rows[3].append(keep.astype(np.int32))
+                        rows[4].append(known.is_hot(fp[keep]))
                 if rows[0]:
-                    h, v, doc, start = (np.concatenate(r) for r in rows)
+                    h, v, doc, start, hot = (np.concatenate(r) for r in rows)
                     take = pa.array(doc)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(v), part.column(0).take(take), part.column(1).take(take), pa.array(start)], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(v), part.column(0).take(take), part.column(1).take(take), pa.array(start), pa.array(hot)], schema=schema)
 
-    schema = pa.schema([pa.field("h", pa.int64()), pa.field("v", pa.int32()), pa.field("doc_id", id_type), pa.field("tk", pa.int64()), pa.field("start", pa.int32())])
-    return docs.select("doc_id", "tk", "text").mapInArrow(run, f"h long, v int, doc_id {kind}, tk long, start int")
+    schema = pa.schema([pa.field("h", pa.int64()), pa.field("v", pa.int32()), pa.field("doc_id", id_type), pa.field("tk", pa.int64()), pa.field("start", pa.int32()), pa.field("hot", pa.bool_())])
+    return docs.select("doc_id", "tk", "text").mapInArrow(run, f"h long, v int, doc_id {kind}, tk long, start int, hot boolean")
 
 
-def repeated_windows(docs: DataFrame, index: FingerprintIndex, repeated: DataFrame, max_bits: int = 1 << 31, hot_share: int = 2000) -> DataFrame:
+def repeated_windows(docs: DataFrame, index: FingerprintIndex, repeated: DataFrame, max_bits: int = 1 << 31, hot_share: int = 2000, salts: int = 64) -> DataFrame:
     """(doc_id, tk, start) of each window whose words also start earlier: smaller id, or same id and smaller start.
 
-    Fingerprints with over a ``hot_share``-th of all places (so there are fewer than ``hot_share``) go another way:
-    the first place of their windows is found by an aggregate, which combines before the shuffle, and joined.
+    Windows of fingerprints with over a ``hot_share``-th of all places (so there are fewer than ``hot_share``) are
+    dealt out over ``salts`` tasks by id: all but the first in a task are marked there, and the firsts of the tasks,
+    a few for each window, are then compared with each other.
     """
     spark = docs.sparkSession
     run = index.compact()
@@ -261,16 +262,16 @@ def repeated_windows(docs: DataFrame, index: FingerprintIndex, repeated: DataFra
     least = max(1000, total // hot_share)
     hot = np.sort(np.array([r["fp"] for r in run.filter(F.col("n") >= least).select("fp").collect()], np.int64).view(np.uint64))
     shared = _Shared(spark, (*_filter_bits(repeated, max_bits), hot))
-    cold = candidate_windows(docs, shared, index.width, False)
     # rows of one id are one document: equal places are ties, and neither is earlier
-    order = Window.partitionBy("h", "v").orderBy(F.asc_nulls_last("doc_id"), "start")
-    marked = cold.withColumn("nth", F.rank().over(order)).filter("nth > 1").select("doc_id", "tk", "start")
+    order = [F.asc_nulls_last("doc_id"), F.asc("start")]
+    salt = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(0).cast("int")
+    windows = candidate_windows(docs, shared, index.width).withColumn("salt", salt).drop("hot")
+    ranked = windows.withColumn("nth", F.rank().over(Window.partitionBy("h", "v", "salt").orderBy(*order)))
+    marked = ranked.filter("nth > 1").select("doc_id", "tk", "start")
     if len(hot):
-        warm = candidate_windows(docs, shared, index.width, True)
-        # a null id comes last
-        place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "start")
-        firsts = warm.groupBy("h", "v").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        later = warm.join(firsts, ["h", "v"]).filter(~place.eqNullSafe(F.col("first")))
+        # phrased so that it cannot be pushed below the window: both branches then share one exchange
+        firsts = ranked.filter("nth = CASE WHEN salt > 0 THEN 1 END").drop("nth")
+        later = firsts.withColumn("nth", F.rank().over(Window.partitionBy("h", "v").orderBy(*order))).filter("nth > 1")
         marked = marked.unionByName(later.select("doc_id", "tk", "start"))
     return marked
 
