@@ -218,39 +218,41 @@ class _Shared:
 
 
 def candidate_windows(docs: DataFrame, shared: _Shared, width: int) -> DataFrame:
-    """(h, v, doc_id, tk, start, hot) of the windows that pass the filter; hot tells whether the fingerprint is.
+    """(h, v, start) and the columns of ``docs`` but the text, for each window that passes the filter.
 
-    h and v (64 and 32 bits) are independent hashes of the window's words. ``docs`` has doc_id, tk and text.
+    h and v (64 and 31 bits) are independent hashes of the window's words; v is negative (all bits flipped) if the
+    fingerprint is hot. ``docs`` has doc_id, perhaps tk, and text, in this order: rows are kept narrow, as there can
+    be one for each word.
     """
-    kind, id_type = docs.schema["doc_id"].dataType.simpleString(), _arrow_type(docs, "doc_id")
+    keys = docs.columns[:-1]
+    schema = pa.schema([pa.field("h", pa.int64()), pa.field("v", pa.int32()), pa.field("start", pa.int32()), *(pa.field(c, _arrow_type(docs, c)) for c in keys)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Filter.of(shared)
         for batch in batches:
             for at in range(0, batch.num_rows, PIECE):
                 part = batch.slice(at, PIECE)
-                rows: list[list[np.ndarray]] = [[] for _ in range(5)]
-                for i, text in enumerate(part.column(2).to_pylist()):
+                rows: list[list[np.ndarray]] = [[] for _ in range(4)]
+                for i, text in enumerate(part.columns[-1].to_pylist()):
                     values = word_values(split(text))
                     fp = window_fingerprints(values, width)
                     keep = np.flatnonzero(known.passes(fp)) if len(fp) else np.zeros(0, np.int64)
                     if len(keep):
+                        v = (_rolling(values, width, _ODD2)[keep] >> np.uint64(33)).astype(np.int32)
                         rows[0].append(_rolling(values, width, _ODD)[keep])
-                        rows[1].append((_rolling(values, width, _ODD2)[keep] >> np.uint64(33)).astype(np.int32))
-                        rows[2].append(np.full(len(keep), i))
-                        rows[3].append(keep.astype(np.int32))
-                        rows[4].append(known.is_hot(fp[keep]))
+                        rows[1].append(np.where(known.is_hot(fp[keep]), ~v, v))
+                        rows[2].append(keep.astype(np.int32))
+                        rows[3].append(np.full(len(keep), i))
                 if rows[0]:
-                    h, v, doc, start, hot = (np.concatenate(r) for r in rows)
+                    h, v, start, doc = (np.concatenate(r) for r in rows)
                     take = pa.array(doc)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(v), part.column(0).take(take), part.column(1).take(take), pa.array(start), pa.array(hot)], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(v), pa.array(start), *(c.take(take) for c in part.columns[:-1])], schema=schema)
 
-    schema = pa.schema([pa.field("h", pa.int64()), pa.field("v", pa.int32()), pa.field("doc_id", id_type), pa.field("tk", pa.int64()), pa.field("start", pa.int32()), pa.field("hot", pa.bool_())])
-    return docs.select("doc_id", "tk", "text").mapInArrow(run, f"h long, v int, doc_id {kind}, tk long, start int, hot boolean")
+    return docs.mapInArrow(run, ", ".join(["h long", "v int", "start int", *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keys)]))
 
 
 def repeated_windows(docs: DataFrame, index: FingerprintIndex, repeated: DataFrame, max_bits: int = 1 << 31, hot_share: int = 2000, salts: int = 64) -> DataFrame:
-    """(doc_id, tk, start) of each window whose words also start earlier: smaller id, or same id and smaller start.
+    """(doc_id, perhaps tk, start) of each window whose words also start earlier: smaller id, or same id and smaller start.
 
     Windows of fingerprints with over a ``hot_share``-th of all places (so there are fewer than ``hot_share``) are
     dealt out over ``salts`` tasks by id: all but the first in a task are marked there, and the firsts of the tasks,
@@ -264,15 +266,17 @@ def repeated_windows(docs: DataFrame, index: FingerprintIndex, repeated: DataFra
     shared = _Shared(spark, (*_filter_bits(repeated, max_bits), hot))
     # rows of one id are one document: equal places are ties, and neither is earlier
     order = [F.asc_nulls_last("doc_id"), F.asc("start")]
-    salt = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(0).cast("int")
-    windows = candidate_windows(docs, shared, index.width).withColumn("salt", salt).drop("hot")
-    ranked = windows.withColumn("nth", F.rank().over(Window.partitionBy("h", "v", "salt").orderBy(*order)))
-    marked = ranked.filter("nth > 1").select("doc_id", "tk", "start")
+    keys = [*docs.columns[:-1], "start"]
+    # the salt is mixed into h, from which the id takes it out again
+    salt = F.when(F.col("v") < 0, F.xxhash64(F.pmod(F.xxhash64("doc_id"), F.lit(salts)))).otherwise(0)
+    salted = F.col("h").bitwiseXOR(salt).alias("h")
+    ranked = candidate_windows(docs, shared, index.width).select(salted, "v", *keys).withColumn("nth", F.rank().over(Window.partitionBy("h", "v").orderBy(*order)))
+    marked = ranked.filter("nth > 1").select(keys)
     if len(hot):
         # phrased so that it cannot be pushed below the window: both branches then share one exchange
-        firsts = ranked.filter("nth = CASE WHEN salt > 0 THEN 1 END").drop("nth")
+        firsts = ranked.filter("nth = CASE WHEN v < 0 THEN 1 END").select(salted, "v", *keys)
         later = firsts.withColumn("nth", F.rank().over(Window.partitionBy("h", "v").orderBy(*order))).filter("nth > 1")
-        marked = marked.unionByName(later.select("doc_id", "tk", "start"))
+        marked = marked.unionByName(later.select(keys))
     return marked
 
 
@@ -287,16 +291,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     ids = docs.select(F.col(id_col).alias("doc_id"))
     unique = not ids.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    tk = F.lit(0).cast("long") if unique else F.coalesce(F.xxhash64(text_col), F.lit(0))
-    rows = docs.select(F.col(id_col).alias("doc_id"), tk.alias("tk"), F.col(text_col).alias("text"))
+    # texts are told apart by a hash where rows share an id
+    tk = [] if unique else [F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tk")]
+    rows = docs.select(F.col(id_col).alias("doc_id"), *tk, F.col(text_col).alias("text"))
     index = FingerprintIndex(spark, width)
     try:
         found = [index.ingest(b) for b in _by_id(rows, batches)]
         marks = repeated_windows(rows, index, reduce(DataFrame.unionByName, found).distinct())
     finally:
         index.close()
-    per_doc = marks.groupBy("doc_id", "tk").agg(F.collect_list("start").alias("starts")).withColumnsRenamed({"doc_id": "d", "tk": "t"})
-    joined = rows.join(per_doc, rows["doc_id"].eqNullSafe(per_doc["d"]) & (rows["tk"] == per_doc["t"]), "left").select("doc_id", "text", "starts")
+    keys = rows.columns[:-1]
+    per_doc = marks.groupBy(*keys).agg(F.collect_list("start").alias("starts")).withColumnsRenamed({c: f"_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(per_doc[f"_{c}"]) for c in keys])
+    joined = rows.join(per_doc, same, "left").select("doc_id", "text", "starts")
 
     def kept(ids_: list, texts: list, starts: list) -> list:
         out: list[list] = [ids_, [], [], [], []]
