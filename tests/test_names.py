@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions import names as N
 from matchloom.functions import vocabulary as V
+from matchloom.session import cut
 
 
 def one(spark, rows, *columns, schema="a string, b string"):
@@ -96,8 +97,9 @@ def test_vetoes_and_scores(spark):
         ("King Room Sea View", "King Room City View", None),  # known: "sea view" is one word by then
     ]
     df = spark.createDataFrame([p[:2] for p in pairs], "a string, b string").select("a", "b", N.norm_room(F.col("a")).alias("na"), N.norm_room(F.col("b")).alias("nb"))
-    df = df.withColumn("fa", N.features(F.col("na"))).withColumn("fb", N.features(F.col("nb")))
-    df, fa, fb = df.withColumn("raw", N.room_score("na", "nb")).persist(), F.col("fa"), F.col("fb")
+    df = cut(cut(df, "names").withColumn("raw", N.room_score("na", "nb")), "scores")
+    df = cut(df.withColumn("fa", N.features(F.col("na"))).withColumn("fb", N.features(F.col("nb"))), "features")
+    fa, fb = F.col("fa"), F.col("fb")
     got = df.select("a", "b", N.veto(fa, fb).alias("veto"), N.adjusted(F.col("raw"), fa, fb).alias("s"), N.corroborations(fa, fb, F.col("na"), F.col("nb")).alias("cor")).collect()
     by = {(r.a, r.b): r for r in got}
     for a, b, veto in pairs:
