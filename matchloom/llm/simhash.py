@@ -137,7 +137,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: that of the least id. Rows without id stay; columns are unchanged."""
+    """``docs`` with one row of each component: that of the least id.
+
+    Rows that share an id stand or fall together. Rows without id stay; columns are unchanged.
+    """
     found = near_duplicates(docs, id_col, text_col, size)
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
