@@ -40,7 +40,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return bm25.search(docs, bm25.every_fiftieth(docs))
+    return bm25.search(docs, bm25.every_fiftieth(docs), query_terms=None, least_df=1)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
