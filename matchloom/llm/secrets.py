@@ -15,6 +15,7 @@ import bz2
 import hashlib
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -36,7 +37,11 @@ RUN = re.compile(r"[!-~]+")
 URL_ONE = re.compile(r"%[0-9A-Fa-f]{2}")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 UNICODE_ANY = re.compile(r"\\[uUx][0-9A-Fa-f]|&#")
-BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}")
+# A run may go on over line breaks; the lines after its first may be short and indented.
+BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2})*")
+BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: How gzip, zlib, zstd and bzip2 data begin in base64.
+PACKED = ("H4sI", "eA", "eJ", "eN", "eF", "KLUv", "Qlpo")
 
 
 @dataclass(frozen=True)
@@ -60,13 +65,9 @@ def scan_layer(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    odd = sum(1 for c in text if c < " " and c not in "\t\n\r")
-    return text if text and odd == 0 else None
+def _readable(data: bytes) -> str:
+    """The text of decoded bytes; what is not UTF-8 is replaced, so that the rest is still scanned."""
+    return data.decode("utf-8", "replace")
 
 
 def _inflate(data: bytes, limit: int) -> tuple[bytes, str] | None:
@@ -91,6 +92,27 @@ def _code_point(m: re.Match) -> str:
     return chr(n) if n < 0x110000 and not 0xD800 <= n < 0xE000 else m[0]
 
 
+def base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, letters) of what may be base64: each long line, and lines joined up to padding or their end.
+
+    Joined lines are read from the first of each of the four alignments, and from wherever compressed data begins,
+    so a payload is read as a whole even if words stand on the lines before it.
+    """
+    for m in BASE64_RUN.finditer(text):
+        lines = [(x.start(), x.end(), x[0].rstrip("=")) for x in BASE64_LINE.finditer(text, m.start(), m.end())]
+        yield from (x for x in lines if len(x[2]) >= 16)
+        at = 0
+        while at < len(lines):
+            last = next((j for j in range(at, len(lines)) if lines[j][1] - lines[j][0] > len(lines[j][2])), len(lines) - 1)
+            offset, read = 0, set()
+            for i in range(at, last):
+                if offset % 4 not in read or lines[i][2].startswith(PACKED):
+                    read.add(offset % 4)
+                    yield lines[i][0], lines[last][1], "".join(x[2] for x in lines[i : last + 1])
+                offset += len(lines[i][2])
+            at = last + 1
+
+
 def unwrap(text: str, limit: int) -> list[tuple[str, int, int, str | None]]:
     """(decoder, start, end, decoded text) for every encoded stretch of one layer; no text if it expands to ``limit`` bytes."""
     out: list[tuple[str, int, int, str | None]] = []
@@ -104,10 +126,8 @@ def unwrap(text: str, limit: int) -> list[tuple[str, int, int, str | None]]:
         for m in RUN.finditer(text):
             if (plain := UNICODE_ONE.sub(_code_point, m[0])) != m[0]:
                 out.append(("unicode", m.start(), m.end(), plain))
-    for m in BASE64_RUN.finditer(text):
-        body = m[0].rstrip("=")
-        if len(body) % 4 == 1:
-            continue
+    for start, end, body in base64_runs(text):
+        body = body[: len(body) - (len(body) % 4 == 1)]  # a single last letter holds no byte
         try:
             raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
@@ -116,9 +136,9 @@ def unwrap(text: str, limit: int) -> list[tuple[str, int, int, str | None]]:
         if inflated:
             raw, how = inflated[0], f"base64+{inflated[1]}"
         if inflated and len(raw) >= limit:
-            out.append((how, m.start(), m.end(), None))
+            out.append((how, start, end, None))
         elif plain := _readable(raw):
-            out.append((how, m.start(), m.end(), plain))
+            out.append((how, start, end, plain))
     return out
 
 

@@ -1,0 +1,33 @@
+"""Secrets in settings, URL parameters, wrapped payloads and between escapes."""
+
+import base64
+import gzip
+import textwrap
+
+import pytest
+
+from matchloom.llm import secrets
+
+SECRET = "password=hunter22hunter22"
+
+
+def b64(data):
+    return base64.b64encode(data if isinstance(data, bytes) else data.encode()).decode()
+
+
+@pytest.mark.parametrize("before", ["data=", "https://h/p?x=", "a==", "cfg: ", "KEY='"])
+def test_base64_after(before):
+    text = f"{before}{b64(SECRET)} end"
+    assert ("base64>assign", len(before), len(text) - 4) in secrets.scan(text)[1]
+    assert secrets.redact(text) == f"{before}[SECRET] end"
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("lead", ["", "internationalization\n"])
+def test_wrapped_base64(newline, lead):
+    for data, path in ((f"{'x' * 37} {SECRET} {'y' * 40}", "base64>assign"), (gzip.compress(f"{' '.join(map(str, range(90)))} {SECRET}".encode(), mtime=0), "base64+gzip>assign")):
+        for width in (64, 76):
+            body = newline.join(textwrap.wrap(b64(data), width))
+            text = f"see\n{lead}{body}\nend"
+            assert path in [k for k, *_ in secrets.scan(text)[1]], (data, width)
+            assert body not in secrets.redact(text) and "[SECRET]" in secrets.redact(text)
