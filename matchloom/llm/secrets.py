@@ -3,8 +3,9 @@
 A text is scanned as it stands (the *base* layer). Stretches that look encoded (URL escapes, Unicode
 escapes, base64, and gzip/zlib/zstd/bzip2 data inside base64) are decoded into new layers, which go on
 a worklist and are scanned and unwrapped in turn until nothing new appears. A layer whose content was
-seen before is not visited again, so layers that decode to each other cannot loop. Each hit in a layer
-is mapped back to the stretch of the original text that it came from.
+seen before is not visited again, so layers that decode to each other cannot loop. URL and
+Unicode escapes are decoded in place, over the whole layer, so that a secret is seen with its neighbours.
+Each hit in a layer is mapped back to the stretch of the original text that it came from.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -33,8 +35,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 KEYWORDS = re.compile(r"passw|secret|token|api", re.IGNORECASE | re.ASCII)
 
-RUN = re.compile(r"[!-~]+")
-URL_ONE = re.compile(r"%[0-9A-Fa-f]{2}")
+URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 UNICODE_ANY = re.compile(r"\\[uUx][0-9A-Fa-f]|&#")
 # A run may go on over line breaks; the lines after its first may be short and indented.
@@ -46,12 +47,21 @@ PACKED = ("H4sI", "eA", "eJ", "eN", "eF", "KLUv", "Qlpo")
 
 @dataclass(frozen=True)
 class Layer:
-    """Decoded text, the span of the source text it stands for, and the decoders applied, outermost first."""
+    """Decoded text, the span of the source text it stands for, and the decoders applied, outermost first.
+
+    ``places`` has the source's (starts, ends) of each character; None if all stand for the whole span.
+    """
 
     text: str
     start: int
     end: int
     path: tuple[str, ...]
+    places: tuple[np.ndarray, np.ndarray] | None = None
+
+    def source(self, a: int, b: int) -> tuple[int, int]:
+        if not self.path:
+            return a, b
+        return (int(self.places[0][a]), int(self.places[1][b - 1])) if self.places and a < b else (self.start, self.end)
 
 
 def scan_layer(text: str) -> list[tuple[str, int, int]]:
@@ -113,19 +123,46 @@ def base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
             at = last + 1
 
 
+def _url_chars(run: str) -> list[tuple[str, int]]:
+    """The characters of a run of %XX, and how many of its letters each takes."""
+    raw, out, at = bytes.fromhex(run.replace("%", "")), [], 0
+    while at < len(raw):
+        n = 1 if raw[at] < 0xC0 else 2 if raw[at] < 0xE0 else 3 if raw[at] < 0xF0 else 4
+        try:
+            out.append((raw[at : at + n].decode(), 3 * n))
+        except UnicodeDecodeError:
+            n = 1
+            out.append(("\ufffd", 3))
+        at += n
+    return out
+
+
+def unescaped(text: str) -> Iterator[tuple[str, str, np.ndarray, np.ndarray]]:
+    """(decoder, decoded text, start and end in ``text`` of each of its characters) for the kinds of escapes in one layer."""
+    for how, pattern, quick in (("url", URL_RUN, URL_RUN), ("unicode", UNICODE_ONE, UNICODE_ANY)):
+        if not quick.search(text):
+            continue
+        parts, starts, ends, at = [], [], [], 0
+        for m in pattern.finditer(text):
+            parts.append(text[at : m.start()])
+            starts.append(np.arange(at, m.start()))
+            ends.append(np.arange(at, m.start()) + 1)
+            at = m.start()
+            for c, n in _url_chars(m[0]) if how == "url" else [(_code_point(m), len(m[0]))] if _code_point(m) != m[0] else [(c, 1) for c in m[0]]:
+                parts.append(c)
+                starts.append(np.array([at]))
+                ends.append(np.array([at + n]))
+                at += n
+        parts.append(text[at:])
+        starts.append(np.arange(at, len(text)))
+        ends.append(np.arange(at, len(text)) + 1)
+        if (plain := "".join(parts)) != text:
+            yield how, plain, np.concatenate(starts), np.concatenate(ends)
+
+
 def unwrap(text: str, limit: int) -> list[tuple[str, int, int, str | None]]:
-    """(decoder, start, end, decoded text) for every encoded stretch of one layer; no text if it expands to ``limit`` bytes."""
+    """(decoder, start, end, decoded text) for every stretch of base64 in one layer; no text if it expands to ``limit`` bytes."""
     out: list[tuple[str, int, int, str | None]] = []
-    if URL_ONE.search(text):
-        for m in RUN.finditer(text):
-            if URL_ONE.search(m[0]):
-                raw = re.sub(rb"%([0-9A-Fa-f]{2})", lambda h: bytes([int(h[1], 16)]), m[0].encode())
-                if (plain := _readable(raw)) and plain != m[0]:
-                    out.append(("url", m.start(), m.end(), plain))
-    if UNICODE_ANY.search(text):
-        for m in RUN.finditer(text):
-            if (plain := UNICODE_ONE.sub(_code_point, m[0])) != m[0]:
-                out.append(("unicode", m.start(), m.end(), plain))
     for start, end, body in base64_runs(text):
         body = body[: len(body) - (len(body) % 4 == 1)]  # a single last letter holds no byte
         try:
@@ -151,27 +188,40 @@ def scan(text: str | None, expand_limit: int = 16 << 20) -> tuple[list[tuple[str
     if not text:
         return [], []
     base = scan_layer(text)
+    known = set(base)
     deeper: set[tuple[str, int, int]] = set()
     seen = {hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()}
     work = [Layer(text, 0, len(text), ())]
+
+    def add(layer: Layer) -> None:
+        # the same content at another place is another finding; at the same place it is a cycle or a repeat
+        key = hashlib.blake2b(f"{layer.start}:{layer.end}:".encode() + layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        if key in seen:
+            return
+        seen.add(key)
+        for kind, x, y in scan_layer(layer.text):
+            start, end = layer.source(x, y)
+            # a hit that is literally there too has been reported already
+            there = (kind, start, end) in known if layer.places else False
+            if not (there and layer.text[x:y] == text[start:end]) and not (layer.places is None and layer.text[x:y] in text[start:end]):
+                deeper.add((">".join((*layer.path, kind)), start, end))
+        work.append(layer)
+
     while work:
         layer = work.pop()
+        for how, plain, starts, ends in unescaped(layer.text):
+            if not layer.path:
+                places = (starts, ends)
+            else:
+                places = (layer.places[0][starts], layer.places[1][ends - 1]) if layer.places else None
+            add(Layer(plain, layer.start, layer.end, (*layer.path, how), places))
         for how, a, b, plain in unwrap(layer.text, expand_limit):
-            start, end = (a, b) if not layer.path else (layer.start, layer.end)
+            start, end = layer.source(a, b)
             path = (*layer.path, how)
             if plain is None:
                 deeper.add((">".join((*path, "bomb")), start, end))
-                continue
-            # the same content at another place is another finding; at the same place it is a cycle or a repeat
-            key = hashlib.blake2b(f"{start}:{end}:".encode() + plain.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            if key in seen:
-                continue
-            seen.add(key)
-            for kind, x, y in scan_layer(plain):
-                # at the base layer a hit that is literally there too has been reported already
-                if plain[x:y] not in text[start:end]:
-                    deeper.add((">".join((*path, kind)), start, end))
-            work.append(Layer(plain, start, end, path))
+            elif plain:
+                add(Layer(plain, start, end, path))
     return base, sorted(deeper)
 
 

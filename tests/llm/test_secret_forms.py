@@ -31,3 +31,35 @@ def test_wrapped_base64(newline, lead):
             text = f"see\n{lead}{body}\nend"
             assert path in [k for k, *_ in secrets.scan(text)[1]], (data, width)
             assert body not in secrets.redact(text) and "[SECRET]" in secrets.redact(text)
+
+
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("p%61ssword = hunter22hunter22", "url>assign"),
+        ('"password": "\\u0068unter22hunter22"', "unicode>assign"),
+        ("p%2561ssword = hunter22hunter22", "url>url>assign"),
+        ("p%61ssword = \\u0068unter22hunter22", "unicode>url>assign"),
+        ("%E9t%E9 p%61ssword=hunter22hunter22", "url>assign"),
+        ("%C3%A9 %1B p%61ssword=hunter22hunter22", "url>assign"),
+    ],
+)
+def test_escapes_in_place(text, kind):
+    base, deeper = secrets.scan(f"log {text} end")
+    spans = {(a, b) for k, a, b in deeper if k.split(">")[-1] == "assign"}
+    start = 4 + min(i for i in (text.find("p%"), text.find("password")) if i >= 0)
+    assert (start, 4 + len(text.rstrip('"'))) in spans, (base, deeper)
+    assert kind in {k for k, *_ in deeper}
+    assert "hunter22" not in secrets.redact(f"log {text} end") and secrets.redact(f"log {text} end").endswith(" end")
+
+
+def test_undecodable_bytes():
+    for data in (b"\x1b[0m password=hunter22hunter22", b"caf\xe9 password=hunter22hunter22"):
+        assert [k for k, *_ in secrets.scan(f"see {b64(data)} end")[1]] == ["base64>assign"]
+
+
+def test_plain_hits_stay_base():
+    base, deeper = secrets.scan("secret=abcdefgh12 at http://x/%41")
+    assert len(base) == 1 and deeper == []
+    base, deeper = secrets.scan("t%6Fken=abcdefgh12 and again secret=abcdefgh12")
+    assert len(base) == 1 and [k for k, *_ in deeper] == ["url>assign"]
