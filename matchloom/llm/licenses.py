@@ -64,7 +64,7 @@ NAMES = (
     ("openssl", r"(?:the )?openssl", "openssl"),
     ("ofl-1.1", r"(?:the )?(?:sil )?open font", "font"),
     ("odbl", r"(?:the )?(?:open database|odbl)", "o"),
-    ("cc0-1.0", r"(?:cc0|cc[ -]zero|creative commons zero)(?:[ -]1\.0)?", "cc"),
+    ("cc0-1.0", r"(?:cc0|cc[ -]zero|creative commons zero)(?:[ -]1\.0)?", "c"),
     ("cc-by-nc-nd", r"(?:cc[ -]by[ -]nc[ -]nd|creative commons attribution[ -]non-?commercial[ -]no-?deriv\w+)(?: ?[1-4]\.0)?", "c"),
     ("cc-by-nc-sa", r"(?:cc[ -]by[ -]nc[ -]sa|creative commons attribution[ -]non-?commercial[ -]share-?alike)(?: ?[1-4]\.0)?", "c"),
     ("cc-by-nc", r"(?:cc[ -]by[ -]nc|creative commons attribution[ -]non-?commercial)(?: ?[1-4]\.0)?", "c"),
@@ -142,10 +142,9 @@ class Detection:
 
 def detect(text: str) -> list[Detection]:
     """Detections of the rules in a text, by place, without the suppressed ones."""
-    low = text.translate(LOWER)
+    low = re.sub(r"\s", " ", text.translate(LOWER))
     if not any(p in low for p in PREFILTER):
         return []
-    low = re.sub(r"\s", " ", low)
     present: dict[str, bool] = {}
     found = []
     for r in rules():
