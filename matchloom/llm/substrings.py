@@ -5,8 +5,11 @@ equal windows have equal fingerprints, while neighbouring windows mostly share t
 seventh of what a list of all windows would. The index is a list of immutable runs, each sorted by
 fingerprint and bucketed alike. A new batch becomes a run of its own; it is merge-joined with the older
 runs, bucket by bucket and without a shuffle, to find the fingerprints that occur more than once. Runs are
-merged into one when they get many. Only windows whose fingerprint recurs are then verified: their
-96-bit hashes are compared, and every window but the first of its kind is marked.
+merged into one when they get many. Only windows whose fingerprint recurs are then verified, and every
+window but the first of its kind is marked. Verification compares a second hash of 64 bits of all the
+window's words; it is built from other hashes of the words than the fingerprint is, and both must agree.
+
+The runs hold fingerprints and counts, no texts: verification reads the documents of older batches again.
 """
 
 from __future__ import annotations
@@ -30,13 +33,17 @@ MEMO = 300_000
 PIECE = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Most windows that one shuffled row holds.
+RUN = 64
 
 
 class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
+    """Word to the 16 bytes of its hash: two hashes of 64 bits that do not depend on each other."""
+
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= MEMO:
             self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
+        h = self[word] = xxhash.xxh3_128_digest(word)
         return h
 
 
@@ -72,25 +79,29 @@ def _sliding(f, a: np.ndarray, width: int) -> np.ndarray:
 
 
 def word_values(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    """The two hashes of each word, in two rows."""
+    return np.ascontiguousarray(np.frombuffer(b"".join(map(_hashes.__getitem__, words)), np.uint64).reshape(-1, 2).T)
 
 
 def window_fingerprints(values: np.ndarray, width: int) -> np.ndarray:
-    """For each window its fingerprint; empty if there are fewer than ``width`` words."""
+    """For each window its fingerprint; empty if there are fewer than ``width`` words.
+
+    Least values crowd near zero, so they are mixed once more: equal ones stay equal, and all bits are even again.
+    """
     if len(values) < width:
         return values[:0]
-    return _sliding(np.minimum, _rolling(values, GRAM, _ODD), width - GRAM + 1)
+    return _mixed(_sliding(np.minimum, _rolling(values, GRAM, _ODD), width - GRAM + 1))
 
 
 def chosen_grams(values: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of the grams that are the fingerprint of some window, once for each place."""
+    """The fingerprints of the windows, once for each place of the gram that gives it."""
     if len(values) < width:
         return values[:0]
     grams = _rolling(values, GRAM, _ODD)
     span = width - GRAM + 1
     least = _sliding(np.minimum, grams, span)
     padded = np.concatenate([np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)])
-    return grams[_sliding(np.maximum, padded, span) == grams]
+    return _mixed(grams[_sliding(np.maximum, padded, span) == grams])
 
 
 class FingerprintIndex:
@@ -113,7 +124,7 @@ class FingerprintIndex:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for at in range(0, batch.num_rows, PIECE):
-                    found = [chosen_grams(word_values(split(t)), width) for t in batch.column(0).slice(at, PIECE).to_pylist()]
+                    found = [chosen_grams(word_values(split(t))[0], width) for t in batch.column(0).slice(at, PIECE).to_pylist()]
                     fp, n = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n.astype(np.int64))], ["fp", "n"])
 
@@ -183,8 +194,8 @@ class _Filter:
 
     made: dict = {}
 
-    def __init__(self, bits: int, slices: list[tuple[int, bytes]], hot: np.ndarray):
-        self.shift, self.hot = np.uint64(64 - bits), hot
+    def __init__(self, bits: int, slices: list[tuple[int, bytes]], hot: np.ndarray, salts: np.ndarray):
+        self.shift, self.hot, self.of_hot = np.uint64(64 - bits), hot, salts
         self.packed = np.zeros(1 << (bits - 3), np.uint8)
         for s, b in slices:
             self.packed[s << (SLICE - 3) : (s + 1) << (SLICE - 3)] = np.frombuffer(b, np.uint8)
@@ -200,10 +211,12 @@ class _Filter:
         at = fp >> self.shift
         return (self.packed[(at >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1)).astype(bool)
 
-    def is_hot(self, fp: np.ndarray) -> np.ndarray:
+    def salts(self, fp: np.ndarray) -> np.ndarray:
+        """Over how many tasks the windows of each fingerprint are dealt."""
         if not len(self.hot):
-            return np.zeros(len(fp), bool)
-        return self.hot[np.minimum(np.searchsorted(self.hot, fp), len(self.hot) - 1)] == fp
+            return np.ones(len(fp), np.int32)
+        at = np.minimum(np.searchsorted(self.hot, fp), len(self.hot) - 1)
+        return np.where(self.hot[at] == fp, self.of_hot[at], 1).astype(np.int32)
 
 
 class _Shared:
@@ -218,75 +231,78 @@ class _Shared:
 
 
 def candidate_windows(docs: DataFrame, shared: _Shared, width: int) -> DataFrame:
-    """(h, v, start) and the columns of ``docs`` but the text, for each window that passes the filter.
+    """(fp, salts, start, hs) and the columns of ``docs`` but the text: the windows that pass the filter.
 
-    h and v (64 and 31 bits) are independent hashes of the window's words; v is negative (all bits flipped) if the
-    fingerprint is hot. ``docs`` has doc_id, perhaps tk, and text, in this order: rows are kept narrow, as there can
-    be one for each word.
+    Neighbouring windows of one fingerprint share a row: ``hs`` has a hash of 64 bits for each, the first of which
+    begins at word ``start``. ``docs`` has doc_id, perhaps tk, and text, in this order.
     """
     keys = docs.columns[:-1]
-    schema = pa.schema([pa.field("h", pa.int64()), pa.field("v", pa.int32()), pa.field("start", pa.int32()), *(pa.field(c, _arrow_type(docs, c)) for c in keys)])
+    schema = pa.schema([pa.field("fp", pa.int64()), pa.field("salts", pa.int32()), pa.field("start", pa.int32()), pa.field("hs", pa.list_(pa.int64())), *(pa.field(c, _arrow_type(docs, c)) for c in keys)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Filter.of(shared)
         for batch in batches:
             for at in range(0, batch.num_rows, PIECE):
                 part = batch.slice(at, PIECE)
-                rows: list[list[np.ndarray]] = [[] for _ in range(4)]
+                rows: list[list[np.ndarray]] = [[] for _ in range(5)]
                 for i, text in enumerate(part.columns[-1].to_pylist()):
                     values = word_values(split(text))
-                    fp = window_fingerprints(values, width)
+                    fp = window_fingerprints(values[0], width)
                     keep = np.flatnonzero(known.passes(fp)) if len(fp) else np.zeros(0, np.int64)
                     if len(keep):
-                        v = (_rolling(values, width, _ODD2)[keep] >> np.uint64(33)).astype(np.int32)
-                        rows[0].append(_rolling(values, width, _ODD)[keep])
-                        rows[1].append(np.where(known.is_hot(fp[keep]), ~v, v))
-                        rows[2].append(keep.astype(np.int32))
-                        rows[3].append(np.full(len(keep), i))
+                        held = fp[keep]
+                        fresh = np.ones(len(keep), bool)
+                        fresh[1:] = (held[1:] != held[:-1]) | (keep[1:] != keep[:-1] + 1) | (keep[1:] % RUN == 0)
+                        first = np.flatnonzero(fresh)
+                        for column, v in zip(rows, (held[first], keep[first], np.diff(first, append=len(keep)), _rolling(values[1], width, _ODD2)[keep], np.full(len(first), i)), strict=True):
+                            column.append(v)
                 if rows[0]:
-                    h, v, start, doc = (np.concatenate(r) for r in rows)
+                    fp, start, size, hs, doc = (np.concatenate(r) for r in rows)
                     take = pa.array(doc)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(v), pa.array(start), *(c.take(take) for c in part.columns[:-1])], schema=schema)
+                    ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+                    lists = pa.ListArray.from_arrays(ends, pa.array(hs.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(known.salts(fp)), pa.array(start.astype(np.int32)), lists, *(c.take(take) for c in part.columns[:-1])], schema=schema)
 
-    return docs.mapInArrow(run, ", ".join(["h long", "v int", "start int", *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keys)]))
+    return docs.mapInArrow(run, ", ".join(["fp long", "salts int", "start int", "hs array<long>", *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keys)]))
 
 
-def repeated_windows(docs: DataFrame, index: FingerprintIndex, repeated: DataFrame, max_bits: int = 1 << 31, hot_share: int = 2000, salts: int = 64) -> DataFrame:
+def repeated_windows(docs: DataFrame, index: FingerprintIndex, repeated: DataFrame, max_bits: int = 1 << 31, hot_places: int = 20_000, most_hot: int = 1_000_000) -> DataFrame:
     """(doc_id, perhaps tk, start) of each window whose words also start earlier: smaller id, or same id and smaller start.
 
-    Windows of fingerprints with over a ``hot_share``-th of all places (so there are fewer than ``hot_share``) are
-    dealt out over ``salts`` tasks by id: all but the first in a task are marked there, and the firsts of the tasks,
-    a few for each window, are then compared with each other.
+    The windows of a fingerprint with ``hot_places`` places or more (of more, once over ``most_hot`` fingerprints could
+    have as many: the list of them is broadcast) are dealt by id over as many tasks as they have times that number of
+    places: all but the first in a task are marked there, and the firsts of the tasks, a few for each window, are then
+    compared with each other.
     """
     spark = docs.sparkSession
     run = index.compact()
     total = run.agg(F.sum("n")).first()[0] or 0
-    least = max(1000, total // hot_share)
-    hot = np.sort(np.array([r["fp"] for r in run.filter(F.col("n") >= least).select("fp").collect()], np.int64).view(np.uint64))
-    shared = _Shared(spark, (*_filter_bits(repeated, max_bits), hot))
+    least = max(hot_places, -(-total // most_hot))
+    hot = sorted((r["fp"] % (1 << 64), -(-r["n"] // least)) for r in run.filter(F.col("n") >= least).collect())
+    shared = _Shared(spark, (*_filter_bits(repeated, max_bits), np.array([h for h, _ in hot], np.uint64), np.array([n for _, n in hot], np.int32)))
     # rows of one id are one document: equal places are ties, and neither is earlier
     order = [F.asc_nulls_last("doc_id"), F.asc("start")]
     keys = [*docs.columns[:-1], "start"]
-    # the salt is mixed into h, from which the id takes it out again
-    salt = F.when(F.col("v") < 0, F.xxhash64(F.pmod(F.xxhash64("doc_id"), F.lit(salts)))).otherwise(0)
-    salted = F.col("h").bitwiseXOR(salt).alias("h")
-    ranked = candidate_windows(docs, shared, index.width).select(salted, "v", *keys).withColumn("nth", F.rank().over(Window.partitionBy("h", "v").orderBy(*order)))
-    marked = ranked.filter("nth > 1").select(keys)
-    if len(hot):
-        # phrased so that it cannot be pushed below the window: both branches then share one exchange
-        firsts = ranked.filter("nth = CASE WHEN v < 0 THEN 1 END").select(salted, "v", *keys)
-        later = firsts.withColumn("nth", F.rank().over(Window.partitionBy("h", "v").orderBy(*order))).filter("nth > 1")
+    packed = candidate_windows(docs, shared, index.width).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int"))
+    dealt = packed.repartition("fp", "salt").select("fp", "salts", "salt", *docs.columns[:-1], "start", F.posexplode("hs").alias("i", "h")).withColumn("start", F.col("start") + F.col("i")).drop("i")
+    ranked = dealt.withColumn("nth", F.rank().over(Window.partitionBy("fp", "salt", "h").orderBy(*order)))
+    # both filters ask for the same columns and cannot be pushed below the window: the branches then share one exchange
+    marked = ranked.filter("nth > CASE WHEN salts > 0 THEN 1 END").select(keys)
+    if hot:
+        firsts = ranked.filter("nth = CASE WHEN salts > 1 THEN 1 END").select("fp", "h", *keys)
+        later = firsts.withColumn("nth", F.rank().over(Window.partitionBy("fp", "h").orderBy(*order))).filter("nth > 1")
         marked = marked.unionByName(later.select(keys))
     return marked
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20, batches: int = 2, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20, batches: int = 2, with_text: bool = False, **options) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256 and, on request, the kept text.
 
     ``docs`` is fed to an index in ``batches`` batches by id. A word is removed if some window that covers it also
     starts earlier; windows are those of the input. Null, empty and short texts have no window and lose nothing
     (null counts as empty). Rows with the same id count as one document, which is not earlier than itself; each is
-    answered for its own text. Rows without id come after all others. Kept words are joined by one space.
+    answered for its own text. Rows without id come after all others. Kept words are joined by one space. An empty
+    table gives an empty result. ``options`` go to ``repeated_windows``.
     """
     spark = docs.sparkSession
     ids = docs.select(F.col(id_col).alias("doc_id"))
@@ -297,7 +313,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     index = FingerprintIndex(spark, width)
     try:
         found = [index.ingest(b) for b in _by_id(rows, batches)]
-        marks = repeated_windows(rows, index, reduce(DataFrame.unionByName, found).distinct())
+        marks = repeated_windows(rows, index, reduce(DataFrame.unionByName, found).distinct(), **options)
     finally:
         index.close()
     keys = rows.columns[:-1]
