@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session has none."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Where that setting is missing, a local folder is set if all runs in one process; on a cluster that is an error.
+    """
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = "file:///tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")
