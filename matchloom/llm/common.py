@@ -8,22 +8,16 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
+from ..session import shared_dir
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+#: Bytes of rows up to which a side of a join is broadcast.
+BROADCAST_BYTES = 16 << 20
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (tests, notebooks) a local default is set.
-    """
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        place = "file:///tmp/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", place)
-    return place.rstrip("/")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def workspace(spark: SparkSession, what: str) -> str:
@@ -35,7 +29,27 @@ def persisted(df: DataFrame, what: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: the lineage is cut, and a lost executor loses nothing."""
     path = workspace(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``persisted`` wrote, once nothing reads it any more."""
+    drop_path(df.sparkSession, df.stored_at)
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, by a count of their bytes, take at most ``most``; else the join shuffles."""
+    width = F.lit(0)
+    for f in df.schema:
+        if isinstance(f.dataType, ArrayType):
+            width = width + 16 + 8 * F.coalesce(F.size(f.name), F.lit(0))
+        elif isinstance(f.dataType, (StringType, BinaryType)):
+            width = width + 16 + F.coalesce(F.octet_length(f.name), F.lit(0))
+        else:
+            width = width + 8
+    return F.broadcast(df) if (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= most else df
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -1,24 +1,33 @@
 """Benchmark decontamination, in DataFrame functions only.
 
-Documents and benchmark items are hashed word shingle by word shingle. A window is as long as the item it
-is held against and starts at a shingle that the item has too: sliding any other window to the next such
-shingle loses no shared one, so the best window is always among these. Windows and items get SimHash
-fingerprints. A multi-index finds all fingerprints of an item within ``radius``: with radius + 1 blocks of
-bits, fingerprints that differ in at most ``radius`` bits agree in a whole block. What is found is
-verified by the exact weighted similarity of the shingles (weights are their multiplicities).
+Documents and benchmark items are hashed word shingle by word shingle. Windows of a document are as long as an item
+that it shares one of the item's rarest shingles with, and stand where these would lie over each other. Windows and
+items get SimHash fingerprints, and a multi-index finds every item of the window's length within ``radius`` bits:
+with radius + 1 blocks, fingerprints that differ in at most ``radius`` bits agree in a whole block.
+
+No radius holds all windows at a similarity of 0.8 (the mean distance there is about 9 of 64 bits, the greatest has no
+bound), and one that holds nearly all leaves blocks of three bits, which tell nothing apart. So the radius is one that
+leaves whole bytes, and pairs at whose rarest shingles a document and an item meet, but which the index does not
+return, are candidates too: to reach ``least``, a window must hold one of the rarest n - ceil(least * n) + 1 shingles
+of an item of n, so none is lost.
+
+Candidates are verified by the exact weighted similarity of the shingles (weights are their multiplicities), in all
+windows of the document at once: the k-th place of a shingle that an item has c times adds to the windows that hold
+it but not the place c before it. These are intervals of starts, and a running sum over their ends gives the shared
+shingles of each window in time linear in the document.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import persisted
+from .common import broadcast_if_small, persisted
 
-#: Rows up to which the shingles of the items, or the ids of documents with shared shingles, are broadcast.
-BROADCAST_ROWS = 1_000_000
+#: Windows of a document that are fingerprinted for each length of one item.
+STEPS = 8
 
 
 def hashed(df: DataFrame, id_col: str, text_col: str, size: int, id_name: str) -> DataFrame:
@@ -53,55 +62,115 @@ def blocks(fp: Column, count: int) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value")) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))])
 
 
-def overlap(a: Column, b: Column) -> Column:
-    """Weighted similarity of two arrays of hashes: shared multiplicities over united ones."""
+KEY = ("doc_id", "tk")
 
-    def times(x: Column, h: Column) -> Column:
-        return F.size(F.filter(x, lambda y: y == h))
 
-    shared = F.aggregate(F.array_intersect(a, b), F.lit(0), lambda s, h: s + F.least(times(a, h), times(b, h)))
-    return shared / (F.size(a) + F.size(b) - shared)
+def same_text(df: DataFrame, other: DataFrame) -> Column:
+    return reduce(Column.__and__, [df[c].eqNullSafe(other[c]) for c in KEY])
 
 
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows; otherwise the join shuffles."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def near_items(texts: DataFrame, meetings: DataFrame, bench: DataFrame, radius: int) -> DataFrame:
+    """(doc_id, tk, item_id): items with a fingerprint within ``radius`` bits of that of some window of their length.
+
+    Of the windows that begin within an ``STEPS``-th of their length the first is taken, so that the work is linear
+    in the document.
+    """
+    start = F.least(F.greatest(F.col("pos") - F.col("at"), F.lit(0)), F.greatest(F.col("size") - F.col("n"), F.lit(0)))
+    placed = meetings.withColumn("start", start).groupBy(*KEY, "n", F.floor(F.col("start") * STEPS / F.col("n")).alias("step")).agg(F.min("start").alias("start"))
+    t = texts.alias("t")
+    marked = placed.join(t, same_text(placed, texts)).select(placed["doc_id"], placed["tk"], "n", fingerprint(F.slice("t.shingles", F.col("start") + 1, F.col("n"))).alias("fp"))
+    marked = persisted(marked, "windows")
+
+    def indexed(df: DataFrame) -> DataFrame:
+        b = blocks(F.col("fp"), radius + 1)
+        return df.select("*", F.explode(b).alias("b")).select(*df.columns, "b.block", "b.value")
+
+    items = indexed(bench.select("item_id", "n", fingerprint(F.col("item_shingles")).alias("fp"))).withColumnRenamed("fp", "item_fp")
+    met = indexed(marked).join(broadcast_if_small(items), ["n", "block", "value"])
+    return met.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*KEY, "item_id").distinct()
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, least: float = 0.8, radius: int = 19) -> DataFrame:
-    """(doc_id, item_id, start_word, similarity, bits): for each document and item that it holds, the best window.
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, least: float = 0.8, radius: int = 7) -> DataFrame:
+    """(doc_id, item_id, start_word, similarity): for each document and item that it holds, the best window.
 
-    A document holds an item if some window reaches the similarity ``least``, its fingerprint being at most
-    ``radius`` bits away; ``bits`` is that distance. Ties go to the first window. A document shorter than the item
-    is one window. Null texts, and texts and items with fewer than ``size`` words, hold and are nothing. Rows that
-    share an id are searched each, and answered once.
+    A document holds an item if some window of the item's length reaches the similarity ``least``. Ties go to the
+    first window. A document shorter than the item is one window. Null texts, and texts and items with fewer than
+    ``size`` words, hold and are nothing; empty tables give an empty result. Rows that share an id are searched each,
+    and answered once. ``radius`` bears on the cost only.
     """
-    bench = persisted(hashed(items, item_col, item_text, size, "item_id").withColumnRenamed("shingles", "item_shingles"), "items").filter("item_shingles IS NOT NULL")
-    # a benchmark is small, but its size is not taken on trust
-    of_item = bench.select(F.explode(F.array_distinct("item_shingles")).alias("h"), "item_id", F.size("item_shingles").alias("n_item"))
-    texts = hashed(docs, id_col, text_col, size, "doc_id")
-    # only ids, places and hashes are exploded; the arrays stay behind
-    exploded = texts.select("doc_id", F.posexplode("shingles").alias("pos", "h"))
-    met = persisted(exploded.join(_small(of_item), "h").select("doc_id", "item_id", "pos", "n_item"), "windows")
-    # a document with no shared shingle is not looked at again
-    wanted = _small(met.select(F.col("doc_id").alias("d")).distinct())
-    again = docs.join(wanted, docs[id_col].eqNullSafe(wanted["d"]), "left_semi")
-    full = hashed(again, id_col, text_col, size, "row_id")
-    rows = full.join(_small(met), F.col("row_id").eqNullSafe(F.col("doc_id")))
-    start = F.least(F.col("pos"), F.greatest(F.size("shingles") - F.col("n_item"), F.lit(0)))
-    windows = rows.select("doc_id", "item_id", start.alias("start"), F.slice("shingles", start + 1, F.col("n_item")).alias("part"))
-    marked = persisted(windows.distinct().withColumn("fp", fingerprint(F.col("part"))), "parts")
-    prints = bench.select("item_id", fingerprint(F.col("item_shingles")).alias("item_fp"))
-    indexed = prints.select("item_id", "item_fp", F.explode(blocks(F.col("item_fp"), radius + 1)).alias("b")).select("item_id", "item_fp", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
-    probes = marked.select("doc_id", "item_id", "start", "part", "fp", F.explode(blocks(F.col("fp"), radius + 1)).alias("b")).select("doc_id", "item_id", "start", "part", "fp", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
-    near = probes.join(_small(indexed), ["item_id", "block", "value"]).withColumn("bits", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).filter(F.col("bits") <= radius)
-    pairs = near.groupBy("doc_id", "item_id", "start", "fp").agg(F.first("part").alias("part"), F.first("bits").alias("bits"))
-    verified = pairs.join(_small(bench.select("item_id", "item_shingles")), "item_id").withColumn("similarity", overlap(F.col("part"), F.col("item_shingles"))).filter(F.col("similarity") >= least)
-    best = verified.groupBy("doc_id", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "start", "bits")).alias("m"))
-    return best.select("doc_id", "item_id", F.col("m.start").cast("long").alias("start_word"), (-F.col("m.s")).alias("similarity"), F.col("m.bits").cast("long").alias("bits"))
+    hashed_items = hashed(items, item_col, item_text, size, "item_id").filter("shingles IS NOT NULL")
+    bench = persisted(hashed_items.select("item_id", F.col("shingles").alias("item_shingles"), F.size("shingles").alias("n")), "items")
+    places = bench.select("item_id", "n", F.posexplode("item_shingles").alias("at", "h"))
+    counted = places.groupBy("item_id", "n", "h").agg(F.count("*").alias("c"), F.min("at").alias("at"))
+    rarity = counted.groupBy("h").agg(F.count("*").alias("items"))
+    of_item = persisted(counted.join(rarity, "h"), "shingles")
+    by_rarity = Window.partitionBy("item_id").orderBy("items", "h").rowsBetween(Window.unboundedPreceding, -1)
+    spare = F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-6) + 1
+    anchors = of_item.withColumn("before", F.coalesce(F.sum("c").over(by_rarity), F.lit(0))).filter(F.col("before") < spare).select("h", "item_id", "n", "at")
+
+    def shingled(rows: DataFrame) -> DataFrame:
+        with_key = rows.select(F.col(id_col).alias("doc_id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tk"), F.col(text_col).alias("text"))
+        found = hashed(with_key.select(F.struct(*KEY).alias("k"), "text"), "k", "text", size, "k")
+        return found.filter("shingles IS NOT NULL").select("k.doc_id", "k.tk", "shingles")
+
+    # only keys, places and hashes are exploded
+    exploded = shingled(docs).select(*KEY, F.size("shingles").alias("size"), F.posexplode("shingles").alias("pos", "h"))
+    meetings = persisted(exploded.join(broadcast_if_small(anchors), "h").select(*KEY, "item_id", "n", "size", "pos", "at"), "meetings")
+    # a document that met nothing is not looked at again
+    wanted = broadcast_if_small(persisted(meetings.select(F.col("doc_id").alias("_met")).distinct(), "met"))
+    texts = persisted(shingled(docs.join(wanted, docs[id_col].eqNullSafe(wanted["_met"]), "left_semi")).dropDuplicates([*KEY]), "texts")
+    candidates = persisted(meetings.select(*KEY, "item_id").unionByName(near_items(texts, meetings, bench, radius)).distinct(), "candidates")
+    best = best_windows(texts, candidates, of_item)
+    found = best.filter(F.col("similarity") >= least).groupBy("doc_id", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "start")).alias("m"))
+    return found.select("doc_id", "item_id", F.col("m.start").cast("long").alias("start_word"), (-F.col("m.s")).alias("similarity"))
+
+
+def best_windows(texts: DataFrame, candidates: DataFrame, of_item: DataFrame) -> DataFrame:
+    """(doc_id, tk, item_id, start, similarity): the first of the most similar windows of each candidate."""
+    held = texts.join(candidates.select(*[F.col(c).alias(f"_{c}") for c in KEY], "item_id"), reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]))
+    exploded = held.select(*KEY, "item_id", F.size("shingles").alias("size"), F.posexplode("shingles").alias("pos", "h"))
+    shared = exploded.join(broadcast_if_small(of_item.select("item_id", "h", "n", "c")), ["item_id", "h"])
+    pair = [*KEY, "item_id", "n", "size"]
+    rows = shared.groupBy(*pair, "h", "c").agg(F.array_sort(F.collect_list("pos")).alias("p"))
+    span = F.least("n", "size")
+    # the place c before: a window that holds it too has the item's share of this shingle already
+    each = rows.select(*pair, "p", "c", F.posexplode("p").alias("i", "pos"))
+    low = F.greatest(F.coalesce(F.get("p", F.col("i") - F.col("c").cast("int")) + 1, F.lit(0)), F.col("pos") - span + 1, F.lit(0))
+    steps = each.select(*pair, low.alias("low"), "pos").select(*pair, F.explode(F.array(F.struct(F.col("low").alias("start"), F.lit(1).alias("d")), F.struct((F.col("pos") + 1).alias("start"), F.lit(-1).alias("d")))).alias("e"))
+    ends = steps.groupBy(*pair, "e.start").agg(F.sum("e.d").alias("d"))
+    running = ends.withColumn("o", F.sum("d").over(Window.partitionBy(*pair).orderBy("start").rowsBetween(Window.unboundedPreceding, 0)))
+    best = running.filter(F.col("start") <= F.col("size") - span).groupBy(*pair).agg(F.max(F.struct("o", (-F.col("start")).alias("s"))).alias("m"))
+    return best.select(*KEY, "item_id", (-F.col("m.s")).alias("start"), (F.col("m.o") / (F.col("n") + span - F.col("m.o"))).alias("similarity"))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows whose document holds an item; columns are unchanged."""
-    found = find_leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("_leaked")).distinct()
+    leaks = find_leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("_leaked")).distinct()
+    found = broadcast_if_small(persisted(leaks, "leaks"))
     return docs.join(found, docs[id_col].eqNullSafe(found["_leaked"]), "left_anti")
+
+
+ORACLE_SQL = """
+WITH texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL
+), d AS (SELECT doc_id, w, len(w) - 4 AS size FROM texts WHERE len(w) >= 5),
+b AS (
+  SELECT item_id, w, len(w) - 4 AS n FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM benchmark WHERE text IS NOT NULL)
+  WHERE len(w) >= 5
+), dg AS (SELECT doc_id, size, i AS pos, array_to_string(w[i + 1 : i + 5], ' ') AS h FROM d, LATERAL (SELECT unnest(range(size)) AS i)),
+bg AS (SELECT item_id, n, h, count(*) AS c FROM (SELECT item_id, n, array_to_string(w[i + 1 : i + 5], ' ') AS h FROM b, LATERAL (SELECT unnest(range(n)) AS i)) GROUP BY ALL),
+hits AS (SELECT doc_id, item_id, n, size, c, h, pos FROM dg JOIN bg USING (h)),
+enough AS (
+  SELECT doc_id, item_id FROM (SELECT doc_id, item_id, n, h, least(count(*), any_value(c)) AS most FROM hits GROUP BY ALL)
+  GROUP BY doc_id, item_id, n HAVING 5 * sum(most) >= 4 * n
+), starts AS (
+  SELECT DISTINCT doc_id, item_id, n, size, s
+  FROM (SELECT hits.*, unnest(range(greatest(pos - least(n, size) + 1, 0), least(pos, size - least(n, size)) + 1)) AS s FROM hits JOIN enough USING (doc_id, item_id))
+), per_shingle AS (
+  SELECT s.doc_id, s.item_id, s.n, s.size, s.s, x.h, least(count(*), any_value(x.c)) AS o
+  FROM starts s JOIN hits x ON x.doc_id = s.doc_id AND x.item_id = s.item_id AND x.pos BETWEEN s.s AND s.s + least(s.n, s.size) - 1 GROUP BY ALL
+), per_start AS (SELECT doc_id, item_id, s, sum(o) / (any_value(n) + least(any_value(n), any_value(size)) - sum(o)) AS similarity FROM per_shingle GROUP BY doc_id, item_id, s)
+SELECT doc_id, item_id, s::BIGINT AS start_word, similarity FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) AS nth FROM per_start WHERE similarity >= 0.8) WHERE nth = 1
+"""
