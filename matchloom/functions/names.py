@@ -1,6 +1,7 @@
 """Name functions: normalisation, similarity, what a name states, vetoes and corroboration.
 
-All take and give Columns. Only folding Unicode and counting common subsequences leave the JVM, as Arrow UDFs.
+All take and give Columns. Only folding what is not plain ASCII and counting common subsequences leave the JVM, as
+Arrow UDFs.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def _among(token: Column, values) -> Column:
 
 # --- normalisation
 
-_SPACED = re.compile(r"\b(?:[A-Za-z]\s){2,}[A-Za-z]\b")
+_SPACED = re.compile(V.SPACED_LETTERS)
 
 
 def fold(text: str | None) -> str:
@@ -45,8 +46,16 @@ def fold(text: str | None) -> str:
 
 
 @F.pandas_udf(StringType())
-def norm(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: fold(t if isinstance(t, str) else None))
+def _folded(texts: pd.Series) -> pd.Series:
+    return texts.map(fold, na_action="ignore")
+
+
+def norm(text: Column | str) -> Column:
+    """The normalised name; empty for null. Plain ASCII names without entities or spaced letters never leave the JVM."""
+    text = F.col(text) if isinstance(text, str) else text
+    odd = text.rlike(r"[^\x00-\x7F]|&[#A-Za-z]|" + V.SPACED_LETTERS)
+    plain = F.trim(F.regexp_replace(F.replace(F.lower(text), F.lit("&"), F.lit(" and ")), r"[^a-z0-9]+", " "))
+    return F.when(text.isNull(), F.lit("")).when(odd, _folded(F.when(odd, text))).otherwise(plain)
 
 
 def tokens(text: Column) -> Column:
@@ -164,9 +173,10 @@ def unit_marks(name: Column) -> Column:
 
 
 def same_listing(a: Column, b: Column, floor: float = V.SAME_LISTING, drop: Column | None = None) -> Column:
-    """Whether two normalised names are one and the same listing: alike as a whole, with the same unit marks."""
+    """Whether two normalised names are one and the same listing: alike as a whole, with the same unit marks; ``drop`` is a normalised phrase that does not count."""
     if drop is not None:
-        strip = lambda n: F.array_join(F.filter(tokens(n), lambda t: t != drop), " ")
+        phrase = F.coalesce(F.nullif(F.trim(drop), F.lit("")), F.lit("\n"))  # a normalised name holds no line break
+        strip = lambda n: F.array_join(tokens(F.regexp_replace(n, F.concat(F.lit(r"(?<!\S)"), phrase, F.lit(r"(?!\S)")), F.lit(" "))), " ")
         a, b = strip(a), strip(b)
     return (strict_score(a, b) >= floor) & (unit_marks(a) == unit_marks(b))
 
@@ -189,7 +199,7 @@ def view_of(name: Column) -> Column:
 
 def bedrooms(name: Column) -> Column:
     """Stated number of bedrooms; 0 for a studio, null if none is stated."""
-    number = F.regexp_extract(name, r"(\d+|" + "|".join(V.NUMBERS) + r")\s*(?:bed\s?rooms?|br|bhk)\b", 1)
+    number = F.regexp_extract(name, r"(\d+|" + "|".join(V.NUMBERS) + ")" + V.BEDROOM_WORDS, 1)
     spelled = F.create_map(*[x for w, n in V.NUMBERS.items() for x in (F.lit(w), F.lit(n))])
     return F.when(F.array_contains(tokens(name), "studio"), F.lit(0)).when(number != "", F.coalesce(F.try_element_at(spelled, number), number.try_cast("int")))
 

@@ -9,8 +9,8 @@ from ..functions import vocabulary as V
 
 
 def weekend_checkin(day: Column, weeks: Column) -> Column:
-    """The next Saturday strictly after ``day``, ``weeks - 1`` weeks on."""
-    return F.date_add(F.next_day(day, "SAT"), ((weeks - 1) * 7).cast("int"))
+    """The next Saturday strictly after ``day``, and ``weeks`` weeks on from there."""
+    return F.date_add(F.next_day(day, "SAT"), (weeks * 7).cast("int"))
 
 
 def probe_shapes(spark: SparkSession, ladder=V.BASE_LADDER) -> DataFrame:
@@ -21,13 +21,13 @@ def probe_shapes(spark: SparkSession, ladder=V.BASE_LADDER) -> DataFrame:
 
 def stays(shapes: DataFrame, days: DataFrame) -> DataFrame:
     """Check-in and check-out of each shape for each day (day)."""
-    at = F.date_add(weekend_checkin(F.col("day"), F.col("weeks") + 1), F.col("shift_days"))
+    at = F.date_add(weekend_checkin(F.col("day"), F.col("weeks")), F.col("shift_days"))
     return days.select("day").distinct().crossJoin(F.broadcast(shapes)).select("day", "label", at.alias("check_in"), F.date_add(at, F.col("nights")).alias("check_out"))
 
 
-def outcome(status: Column) -> Column:
-    """ok, unavailable (a stated fact) or error (never answered)."""
-    return F.when(status == "error", "error").when(status == "signup", "unavailable").otherwise("ok")
+def outcome(status: Column, unavailable: list[str], error: list[str]) -> Column:
+    """ok, unavailable (a stated fact) or error (never answered); no status is no answer."""
+    return F.when(status.isNull() | status.isin(*error), "error").when(status.isin(*unavailable), "unavailable").otherwise("ok")
 
 
 def outcomes(probes: DataFrame) -> DataFrame:

@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def by_city(hotels: DataFrame, city_ids: list[int]) -> DataFrame:
     """Hotels of the cities, in order of id."""
     return hotels.filter(F.col("city_id").isin(city_ids)).orderBy("id")
 
 
+def ids(hotels: DataFrame) -> DataFrame:
+    """Ids only; no other column is read."""
+    return hotels.select("id")
+
+
 def by_slug(hotels: DataFrame, slugs: DataFrame) -> DataFrame:
     """Hotels whose slug is listed; blank slugs never match."""
     wanted = slugs.select(F.trim("slug").alias("slug")).filter("slug <> ''").distinct()
@@ -22,6 +29,17 @@ def window_minus_skip(hotels: DataFrame, skip: DataFrame, limit: int, offset: in
     return hotels.orderBy("id").offset(offset).limit(limit).join(skip.select("id").distinct(), "id", "left_anti")
 
 
+def sampled(hotels: DataFrame, n: int, seed: int) -> DataFrame:
+    """``n`` hotels drawn at random, the same ones for the same seed whatever the order of the rows."""
+    return hotels.orderBy(F.xxhash64(F.col("id"), F.lit(seed)), "id").limit(n)
+
+
+def keys_of(inline: list[str], text_lines: DataFrame) -> DataFrame:
+    """Keys given directly and those of a file, in this order, each once."""
+    given = text_lines.sparkSession.createDataFrame([(i - len(inline), k) for i, k in enumerate(inline)], "pos long, line string")
+    return key_list(given.unionByName(text_lines.select(F.col("pos").cast("long").alias("pos"), "line")))
+
+
 def key_list(text_lines: DataFrame) -> DataFrame:
     """Keys of lines (pos, line): comments and blanks dropped, first place of each key kept, in order."""
     parts = text_lines.select("pos", F.posexplode(F.split(F.regexp_replace("line", "#.*$", ""), r"[,\s]+")).alias("at", "slug")).filter("slug <> ''")
@@ -58,6 +76,13 @@ def missing_categories(spark, stored: DataFrame) -> DataFrame:
     return names.join(stored.select(F.lower("name").alias("have")).distinct(), F.lower("name") == F.col("have"), "left_anti")
 
 
+def with_categories(spark, stored: DataFrame) -> DataFrame:
+    """The taxonomy (id, name) with the categories that were missing, their ids going on from the last."""
+    top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
+    new = missing_categories(spark, stored).select("name")
+    return stored.select("id", "name").unionByName(numbered(new, [F.asc("name")], "id").select((F.col("id") + top).alias("id"), "name"))
+
+
 def suggest_join(suggestions: DataFrame, models: DataFrame, kind: int = 7) -> DataFrame:
     """Suggestions of one kind with their view model, where there is one."""
     return suggestions.filter(F.col("kind") == kind).join(models, "object_id", "left")

@@ -44,3 +44,9 @@ def collapse_rate_plans(options: DataFrame) -> DataFrame:
 def matching_ids(payloads: DataFrame) -> DataFrame:
     """Payloads with whether the id inside is the id they were asked for."""
     return payloads.withColumn("id_ok", F.col("payload_id").eqNullSafe(F.col("hotel_id")))
+
+
+def ingested(options: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rooms, rejected payloads) of rate plans with payload_id: a payload about another hotel than the one asked for gives no room."""
+    checked = matching_ids(options)
+    return collapse_rate_plans(checked.filter("id_ok")), checked.filter("NOT id_ok").select("hotel_id", "payload_id").distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import vocabulary as V
-from ..operators import ledger, mapping, probing, publishing, reports, resolution, scans, unions
+from ..operators import harvest, ledger, mapping, probing, publishing, reports, resolution, rooms, scans, unions
+from ..session import shared_dir
 from ..sources import extract
+from . import oracles as O
 from .fixtures import cte, view
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,7 +64,7 @@ def scan_by_slug(spark, d):
 
 @query("SELECT s_suppkey AS id FROM supplier")
 def scan_ids(spark, d):
-    return view(spark, d, "hotel").select("id")
+    return scans.ids(view(spark, d, "hotel"))
 
 
 @query(cte("hotel") + "SELECT id FROM (SELECT id FROM hotel ORDER BY id LIMIT 40) WHERE id % 3 > 0")
@@ -114,57 +117,51 @@ def name_normalise(spark, d):
     return _table(spark, d, "customer").select(F.col("c_custkey").alias("id"), N.norm(F.concat("c_name", F.lit(" & "), "c_mktsegment")).alias("norm"))
 
 
-def _room_norm_sql(name: str) -> str:
-    """The room normalisation for plain ASCII names without spaced letters, entities or words of access."""
-    text = f"regexp_replace(regexp_replace({name}, '\\[.*?\\]', ' ', 'g'), '\\b[0-9]+\\s*%', ' ', 'g')"
-    text = f"trim(regexp_replace(replace(lower({text}), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
-    for pattern, joined in V.SPLIT_WORDS:
-        text = f"regexp_replace({text}, '{pattern}', '{joined}', 'g')"
-    short = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in V.ABBREVIATIONS.items())
-    ts = f"list_transform(string_split({text}, ' '), lambda t: CASE t {short} ELSE t END)"
-    cut = f"list_filter(list_transform({ts}, lambda t, i: CASE WHEN i > 1 AND list_contains({_list(V.PROMO_STARTS)}, t) THEN i END), lambda i: i IS NOT NULL)"
-    ts = f"list_slice({ts}, 1, coalesce(list_min({cut}) - 1, len({ts})))"
-    last = f"list_max(list_transform({ts}, lambda t, i: CASE WHEN NOT list_contains({_list(V.BOARD_CODES)}, t) THEN i ELSE 0 END))"
-    ts = f"list_slice({ts}, 1, {last})"
-    noise = _list([*V.RATE_WORDS, *V.PROMO_WORDS, *V.PERK_WORDS])
-    ts = f"list_filter({ts}, lambda t: NOT list_contains({noise}, t) AND NOT regexp_matches(t, '{V.DIMENSION}') AND NOT regexp_matches(t, '{V.YEAR}'))"
-    return f"array_to_string(list_filter({ts}, lambda t, i: list_position({ts}, t) = i), ' ')"
-
-
-@query(cte("room_b") + f"SELECT b_id, {_room_norm_sql('room_name')} AS norm FROM room_b")
+@query(cte("room_b")[:-1] + ", " + O.room_norms("room_b", "nr") + " SELECT b_id, norm FROM room_b JOIN nr USING (room_name)")
 def room_normalise(spark, d):
     return view(spark, d, "room_b").select("b_id", N.norm_room(F.col("room_name")).alias("norm"))
 
 
-@query()
+_STATED = ["lounge access", "wheelchair accessible", "access", "club lounge access", "mobility access", "accessible"]
+
+
+@query(f"WITH t AS (SELECT p_partkey, {_list(_STATED)}[p_partkey % {len(_STATED)} + 1] AS stated, lower(p_type) || ' room ' || stated AS x FROM part), w AS (SELECT *, string_split(regexp_replace(x, '{V.DISABILITY_PHRASE}', 'disabled', 'g'), ' ') AS ts FROM t) SELECT p_partkey, stated, array_to_string({O.resolved_access('ts')}, ' ') AS resolved FROM w")
 def access_sense(spark, d):
     p = _table(spark, d, "part")
-    ends = ["lounge access", "wheelchair accessible", "access", "club lounge access", "mobility access", "accessible"]
-    end = F.get(N.words(ends), (F.col("p_partkey") % len(ends)).cast("int"))
+    end = F.get(N.words(_STATED), (F.col("p_partkey") % len(_STATED)).cast("int"))
     return p.select("p_partkey", end.alias("stated"), N.resolve_access(F.concat_ws(" ", F.lower("p_type"), F.lit("room"), end)).alias("resolved"))
 
 
+_PAIRED = "WITH n AS (SELECT DISTINCT p_name, lower(p_type) AS p_type, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS nth FROM part QUALIFY nth = 1), q AS (SELECT x.p_name AS a, y.p_name || CASE WHEN length(x.p_name) % 2 = 0 THEN ' ' || y.p_type ELSE '' END AS b FROM n x JOIN n y ON substr(x.p_name, 1, 1) = substr(y.p_name, 1, 1)), " + O.similarities("q", "a", "b", "sim")
+
+
 def _name_pairs(spark, d):
-    p = _table(spark, d, "part").select("p_name").distinct()
-    return p.alias("a").join(p.alias("b"), F.substring("a.p_name", 1, 1) == F.substring("b.p_name", 1, 1)).select(F.col("a.p_name").alias("a"), F.col("b.p_name").alias("b"))
+    p = _table(spark, d, "part").groupBy("p_name").agg(F.lower(F.min_by("p_type", "p_partkey")).alias("p_type"))
+    x, y = p.alias("x"), p.alias("y")
+    tail = F.when(F.length("x.p_name") % 2 == 0, F.concat(F.lit(" "), "y.p_type")).otherwise("")
+    return x.join(y, F.substring("x.p_name", 1, 1) == F.substring("y.p_name", 1, 1)).select(F.col("x.p_name").alias("a"), F.concat("y.p_name", tail).alias("b"))
 
 
-@query()
+@query(_PAIRED + " SELECT a, b, round_even(plain, 1) AS ratio FROM sim")
 def ratio_pairs(spark, d):
     return _name_pairs(spark, d).withColumn("ratio", F.bround(N.plain_ratio("a", "b"), 1))
 
 
-@query()
+@query(_PAIRED + " SELECT a, b, round_even(strict, 1) AS strict FROM sim")
 def strict_score(spark, d):
     return _name_pairs(spark, d).withColumn("strict", F.bround(N.strict_score("a", "b"), 1))
 
 
-@query()
+@query(_PAIRED + " SELECT a, b, round_even(both_ways, 1) AS set_score FROM sim")
 def set_score(spark, d):
     return _name_pairs(spark, d).withColumn("set_score", F.bround(N.set_score("a", "b"), 1))
 
 
-@query()
+_P = cte("room_a", "room_b")[:-1] + ", " + O.pairs()
+_M = cte("room_a", "room_b")[:-1] + ", " + O.mapping()
+
+
+@query(_P + " SELECT a_id, b_id, round_even(raw, 1) AS room_score FROM p")
 def room_score(spark, d):
     p = mapping.pairs(view(spark, d, "room_a"), view(spark, d, "room_b"))
     return p.select("a_id", "b_id", F.bround("raw", 1).alias("room_score"))
@@ -177,19 +174,22 @@ def unit_marks(spark, d):
     return c.select("id", F.array_join(N.unit_marks(F.col("n")), ",").alias("marks"))
 
 
-@query()
+_K = cte("hotel", "candidate")[:-1] + ", "
+
+
+@query(_K + O.candidates() + ", " + O.same_listings("'abu dhabi'") + " SELECT hotel_id, cand_id, listed AS same FROM l")
 def same_listing(spark, d):
     c = resolution.scored(view(spark, d, "hotel"), view(spark, d, "candidate"))
-    return c.select("hotel_id", "cand_id", N.same_listing(F.col("n1"), F.col("n2"), drop=F.lit("dubai")).alias("same"))
+    return c.select("hotel_id", "cand_id", N.same_listing(F.col("n1"), F.col("n2"), drop=F.lit("abu dhabi")).alias("same"))
 
 
 def _parsed_b(spark, d):
     return mapping.parsed(view(spark, d, "room_b"))
 
 
-@query()
+@query(f"WITH t AS (SELECT p_partkey, string_split(lower(p_type) || ' ' || p_name || CASE p_partkey % 3 WHEN 0 THEN ' 2 sea' WHEN 1 THEN ' king' ELSE '' END || ' view room', ' ') AS ts FROM part) SELECT p_partkey, {O.view('ts')} AS view FROM t")
 def view_of(spark, d):
-    return _table(spark, d, "part").select("p_partkey", N.view_of(F.concat_ws(" ", F.lower("p_type"), "p_name", F.lit("view room"))).alias("view"))
+    return _table(spark, d, "part").select("p_partkey", N.view_of(F.concat(F.lower("p_type"), F.lit(" "), "p_name", F.when(F.col("p_partkey") % 3 == 0, " 2 sea").when(F.col("p_partkey") % 3 == 1, " king").otherwise(""), F.lit(" view room"))).alias("view"))
 
 
 @query(f"SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 + p_partkey % 9 WHEN 2 THEN 2 END::INT AS bedrooms FROM part")
@@ -199,7 +199,7 @@ def bedrooms(spark, d):
     return _table(spark, d, "part").select("p_partkey", N.bedrooms(F.concat_ws(" ", "p_name", stated)).cast("int").alias("bedrooms"))
 
 
-@query()
+@query(cte("room_b")[:-1] + ", " + O.room_norms("room_b", "nr") + ", " + O.features("nr", "fs") + " SELECT b_id, array_to_string(classes, ',') AS classes, view, array_to_string(beds, ',') AS beds, bedrooms, array_to_string(tiers, ',') AS tiers, accessible FROM room_b JOIN nr USING (room_name) JOIN fs USING (norm)")
 def room_features(spark, d):
     f = F.col("f")
     return _parsed_b(spark, d).select("b_id", F.array_join(f["classes"], ",").alias("classes"), f["view"].alias("view"), F.array_join(f["beds"], ",").alias("beds"), f["bedrooms"].alias("bedrooms"), F.array_join(f["tiers"], ",").alias("tiers"), f["accessible"].alias("accessible"))
@@ -217,7 +217,7 @@ def _category_sql(n: str) -> str:
     return f"CASE {' '.join(out)} ELSE 'General' END"
 
 
-@query(cte("room_b") + f", n AS (SELECT b_id, {_room_norm_sql('room_name')} AS norm FROM room_b) SELECT b_id, {_category_sql('norm')} AS category FROM n")
+@query(cte("room_b")[:-1] + ", " + O.room_norms("room_b", "nr") + f" SELECT b_id, {_category_sql('norm')} AS category FROM room_b JOIN nr USING (room_name)")
 def room_category(spark, d):
     return _parsed_b(spark, d).select("b_id", N.category(F.col("norm")).alias("category"))
 
@@ -226,17 +226,17 @@ def _pairs(spark, d):
     return mapping.pairs(view(spark, d, "room_a"), view(spark, d, "room_b"))
 
 
-@query()
+@query(_P + " SELECT a_id, b_id, score, veto FROM p")
 def room_match_veto(spark, d):
     return _pairs(spark, d).select("a_id", "b_id", "score", "veto")
 
 
-@query()
+@query(_P + " SELECT a_id, b_id, array_to_string(cor, ',') AS corroborated FROM p")
 def corroboration(spark, d):
     return _pairs(spark, d).select("a_id", "b_id", F.array_join("cor", ",").alias("corroborated"))
 
 
-@query()
+@query(_P + " SELECT a_id, b_id, soft FROM p")
 def soft_veto(spark, d):
     return _pairs(spark, d).select("a_id", "b_id", N.is_soft(F.col("veto")).alias("soft"))
 
@@ -248,30 +248,27 @@ def _mapped(spark, d):
     return mapping.map_rooms(view(spark, d, "room_a"), view(spark, d, "room_b"))
 
 
-@query()
+@query(_M + " SELECT * FROM m")
 def room_mapping(spark, d):
     return _mapped(spark, d)
 
 
-@query()
+@query(_M + " SELECT * FROM m WHERE status = 'review'")
 def mapping_review(spark, d):
     return _mapped(spark, d).filter("status = 'review'")
 
 
-@query()
+@query(_M + " SELECT * FROM m WHERE status = 'unmatched'")
 def mapping_unmatched(spark, d):
     return _mapped(spark, d).filter("status = 'unmatched'")
 
 
-@query()
+@query(_M + " SELECT hotel_id, b_id, room_name FROM m WHERE status = 'leftover'")
 def mapping_leftover(spark, d):
     return _mapped(spark, d).filter("status = 'leftover'").select("hotel_id", "b_id", "room_name")
 
 
-_KM = "12742 * asin(sqrt(pow(sin(radians(cand_lat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(cand_lat)) * pow(sin(radians(cand_lon - lon) / 2), 2)))"
-
-
-@query(cte("hotel", "candidate") + f"SELECT hotel_id, cand_id, round({_KM}, 6) AS km FROM hotel JOIN candidate ON hotel.id = hotel_id")
+@query(cte("hotel", "candidate") + f"SELECT hotel_id, cand_id, round({O.KM}, 6) AS km FROM hotel JOIN candidate ON hotel.id = hotel_id")
 def haversine_km(spark, d):
     both = view(spark, d, "hotel").withColumnRenamed("id", "hotel_id").join(view(spark, d, "candidate"), "hotel_id")
     return both.select("hotel_id", "cand_id", F.round(resolution.km(F.col("lat"), F.col("lon"), F.col("cand_lat"), F.col("cand_lon")), 6).alias("km"))
@@ -286,42 +283,77 @@ def confidence_band(spark, d):
     return c.select("l_orderkey", "l_linenumber", resolution.confidence(F.col("s"), F.col("s2"), F.col("km"), F.col("same")).alias("band"))
 
 
-@query()
+@query(_K + O.matches() + " SELECT * FROM r WHERE reason IS NULL")
 def hotel_match(spark, d):
     return resolution.match_hotels(view(spark, d, "hotel"), view(spark, d, "candidate")).filter("reason IS NULL")
 
 
-@query()
+@query(_K + O.matches() + " SELECT hotel_id, reason FROM r WHERE reason IS NOT NULL")
 def hotel_match_near_miss(spark, d):
     return resolution.match_hotels(view(spark, d, "hotel"), view(spark, d, "candidate")).filter("reason IS NOT NULL").select("hotel_id", "reason")
 
 
-@query()
+@query(_K + O.candidates() + ", t AS (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY strict DESC, score DESC, cand_id) AS nth FROM k WHERE lat IS NOT NULL), g AS (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY distance, nth) AS r FROM t WHERE nth <= 3 AND score >= 90 AND distance <= 0.25) SELECT hotel_id, cand_id, round_even(score, 1) AS score, round_even(distance, 4) AS distance FROM g WHERE r = 1")
 def verified_dual_gate(spark, d):
     return resolution.verified(view(spark, d, "hotel"), view(spark, d, "candidate"))
 
 
-@query("SELECT hotel_id, CASE WHEN n_viable > n_failed THEN 'considered' WHEN (n_candidates = 0 AND n_errors > 0) OR (n_considered > 0 AND n_failed = n_considered) OR (n_errors > 0 AND n_viable = 0) THEN 'unreachable' ELSE 'no_match' END AS outcome FROM (SELECT user_id AS hotel_id, count(*) FILTER (event_type = 'view') AS n_candidates, count(*) FILTER (event_type = 'error') AS n_errors, count(*) FILTER (event_type = 'click') AS n_considered, count(*) FILTER (event_type = 'click' AND value < 20) AS n_failed, count(*) FILTER (event_type = 'purchase') AS n_viable FROM events GROUP BY user_id)")
+@query("SELECT hotel_id, CASE WHEN (n_considered > 0 AND n_failed >= n_considered) OR (n_errors > 0 AND (n_candidates = 0 OR n_viable = 0)) THEN 'unreachable' ELSE 'no_match' END AS outcome FROM (SELECT event_id // 6 AS hotel_id, count(*) FILTER (event_type = 'view') AS n_candidates, count(*) FILTER (event_type = 'error') AS n_errors, count(*) FILTER (event_type = 'click') AS n_considered, count(*) FILTER (event_type = 'click' AND value < 20) AS n_failed, count(*) FILTER (event_type = 'purchase') AS n_viable FROM events GROUP BY event_id // 6)")
 def unreachable_or_no_match(spark, d):
     is_ = lambda t: F.col("event_type") == t
-    a = _table(spark, d, "events").groupBy(F.col("user_id").alias("hotel_id")).agg(F.count_if(is_("view")).alias("n_candidates"), F.count_if(is_("error")).alias("n_errors"), F.count_if(is_("click")).alias("n_considered"), F.count_if(is_("click") & (F.col("value") < 20)).alias("n_failed"), F.count_if(is_("purchase")).alias("n_viable"))
+    a = _table(spark, d, "events").groupBy(F.floor(F.col("event_id") / 6).alias("hotel_id")).agg(F.count_if(is_("view")).alias("n_candidates"), F.count_if(is_("error")).alias("n_errors"), F.count_if(is_("click")).alias("n_considered"), F.count_if(is_("click") & (F.col("value") < 20)).alias("n_failed"), F.count_if(is_("purchase")).alias("n_viable"))
     return resolution.unreachable(a).select("hotel_id", "outcome")
 
 
-@query("SELECT c_custkey AS id, substr(trim(regexp_replace(regexp_replace(regexp_replace(c_name || ', ' || c_mktsegment || ' street ' || (c_custkey % 90), '[^a-zA-Z0-9_\\s-]', ' ', 'g'), '\\s*\\b[0-9]{4,}\\b\\s*', ' ', 'g'), '\\s+', ' ', 'g')), 1, 80) AS query FROM customer")
+#: Kinds of addresses: text after the street, country, city, and what is left of that text.
+_PLACES = (
+    (", 10115 Berlin, United Nation Land", "United Nation Land", "Berlin", " Berlin"),
+    (", Panama City, Panama", "Panama", "Panama City", " Panama City"),
+    (" Singapore 018956", "Singapore", "Singapore", " Singapore"),
+    (", Dubai, U.A.E.", "United Arab Emirates", "Dubai", " Dubai"),
+    (", Dubai, UAE", "United Arab Emirates", "Dubai", " Dubai"),
+    (", armenia, Yerevan", "Armenia", "Yerevan", " Yerevan"),
+    (", Kuwait, Kuwait City", "Kuwait", None, " Kuwait City"),
+    ("", None, None, ""),
+)
+_STREET = "trim(regexp_replace(regexp_replace(c_name, '[^a-zA-Z0-9_\\s-]', ' ', 'g') || ' ' || c_mktsegment || ' street ' || (c_custkey % 90), '\\b[0-9]{4,}\\b', ' ', 'g'))"
+
+
+@query(f"SELECT c_custkey AS id, substr(regexp_replace({_STREET} || CASE c_custkey % {len(_PLACES)} " + " ".join(f"WHEN {k} THEN '{p[3]}'" for k, p in enumerate(_PLACES)) + " END, '\\s+', ' ', 'g'), 1, 80) AS query FROM customer")
 def address_query(spark, d):
-    c = _table(spark, d, "customer")
-    address = F.concat("c_name", F.lit(", "), "c_mktsegment", F.lit(" street "), (F.col("c_custkey") % 90).cast("string"), F.lit(", 10115 United Nation Land"))
-    return c.select(F.col("c_custkey").alias("id"), resolution.address_query(address, F.lit("United Nation Land"), F.lit("Berlin")).alias("query"))
+    at = (F.col("c_custkey") % len(_PLACES)).cast("int")
+    one = lambda k: F.get(F.array(*[F.lit(p[k]).cast("string") for p in _PLACES]), at)
+    address = F.concat("c_name", F.lit(", "), "c_mktsegment", F.lit(" street "), (F.col("c_custkey") % 90).cast("string"), one(0))
+    return _table(spark, d, "customer").select(F.col("c_custkey").alias("id"), resolution.address_query(address, one(1), one(2)).alias("query"))
+
+
+_BARE = "trim(regexp_replace(name, '\\s*\\([^)]*\\)', '', 'g'))"
+
+
+@query(cte("hotel")[:-1] + f", v AS (SELECT id, unnest([{_BARE}, CASE WHEN {_BARE} <> name THEN name END, CASE WHEN city_name IS NOT NULL AND NOT contains(lower({_BARE}), lower(city_name)) THEN {_BARE} || ' ' || city_name END, CASE WHEN id % 2 = 0 THEN 'Marina Road ' || id END]) AS query, unnest([0, 1, 2, 3]) AS k FROM hotel) SELECT id AS hotel_id, (row_number() OVER (PARTITION BY id ORDER BY k) - 1)::INT AS variant, query FROM v WHERE query IS NOT NULL")
+def query_variants(spark, d):
+    h = view(spark, d, "hotel").withColumn("address", F.when(F.col("id") % 2 == 0, F.concat(F.lit("Marina Road, "), F.col("id").cast("string"), F.lit(", Oman")))).withColumn("country", F.lit("Oman"))
+    return resolution.query_variants(h.withColumnRenamed("city_name", "destination"))
+
+
+_SUGGESTED = "WITH s AS (SELECT o_custkey AS query, o_orderkey AS seq, CASE WHEN o_orderkey % 5 < 2 THEN 1 ELSE 2 END AS kind, o_orderkey % 40 AS object_id FROM orders), m AS (SELECT o_custkey AS query, o_orderkey AS seq, o_orderkey % 40 AS object_id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 7 END AS city_id, CASE o_orderkey % 40 % 4 WHEN 0 THEN 'AE' WHEN 1 THEN 'om' WHEN 2 THEN '' END AS iso FROM orders), "
+
+
+@query(_SUGGESTED + "i AS (SELECT query, object_id, arg_min(nullif(lower(iso), ''), seq) FILTER (nullif(iso, '') IS NOT NULL) AS country FROM m GROUP BY ALL), a AS (SELECT * FROM (SELECT s.query, s.object_id AS city_id, i.country, row_number() OVER (PARTITION BY s.query ORDER BY coalesce(i.country = 'om', false) DESC, s.seq) AS r FROM s LEFT JOIN i ON i.query = s.query AND i.object_id = s.object_id WHERE kind = 1) WHERE r = 1), b AS (SELECT * FROM (SELECT query, city_id, nullif(lower(iso), '') AS country, row_number() OVER (PARTITION BY query ORDER BY seq) AS r FROM m WHERE city_id IS NOT NULL) WHERE r = 1) SELECT q.query, CASE WHEN a.query IS NOT NULL THEN a.city_id ELSE b.city_id END AS city_id, CASE WHEN a.query IS NOT NULL THEN a.country ELSE b.country END AS country FROM (SELECT DISTINCT query FROM s) q LEFT JOIN a USING (query) LEFT JOIN b USING (query)")
+def resolve_destination(spark, d):
+    o = _table(spark, d, "orders")
+    s = o.selectExpr("o_custkey AS query", "o_orderkey AS seq", "CASE WHEN o_orderkey % 5 < 2 THEN 1 ELSE 2 END AS kind", "o_orderkey % 40 AS object_id")
+    m = o.selectExpr("o_custkey AS query", "o_orderkey AS seq", "o_orderkey % 40 AS object_id", "CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 7 END AS city_id", "CASE o_orderkey % 40 % 4 WHEN 0 THEN 'AE' WHEN 1 THEN 'om' WHEN 2 THEN '' END AS iso")
+    return resolution.destinations(s, m, F.lit("OM"))
 
 
 # --- ladders and unions
 
 
-@query("WITH d AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders) SELECT day, (day + ((5 - dayofweek(day) + 7) % 7 + 1)::INT + 7 * (w - 1)::INT)::DATE AS check_in, w::INT AS weeks FROM d, (SELECT unnest([1, 2, 3]) AS w)")
+@query("WITH d AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders) SELECT day, (day + ((5 - dayofweek(day) + 7) % 7 + 1)::INT + 7 * w::INT)::DATE AS check_in, w::INT AS weeks FROM d, (SELECT unnest([0, 1, 2]) AS w)")
 def weekend_dates(spark, d):
     days = _table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    return days.select("day", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("weeks")).select("day", probing.weekend_checkin(F.col("day"), F.col("weeks")).alias("check_in"), "weeks")
+    return days.select("day", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("weeks")).select("day", probing.weekend_checkin(F.col("day"), F.col("weeks")).alias("check_in"), "weeks")
 
 
 _LADDER = ", ".join(f"({i}, {w}, {a}, {n})" for i, (w, a, n) in enumerate(V.BASE_LADDER))
@@ -365,7 +397,7 @@ _PROBE = cte("probe")
 
 @query(_PROBE + "SELECT hotel_id, bool_or(outcome = 'ok') AS resolved, bool_or(outcome = 'unavailable') AS unavailable, bool_or(outcome = 'error') AS errored, count(*) FILTER (outcome = 'ok') AS n_ok FROM probe GROUP BY hotel_id")
 def probe_outcomes(spark, d):
-    return probing.outcomes(view(spark, d, "probe").drop("outcome").withColumn("outcome", probing.outcome(F.col("event_type"))))
+    return probing.outcomes(view(spark, d, "probe").drop("outcome").withColumn("outcome", probing.outcome(F.col("event_type"), ["signup"], ["error"])))
 
 
 @query(cte("probe", "observation") + ", g AS (SELECT shape, count(*) AS n FROM (SELECT hotel_id, room_no, min(shape) AS shape FROM observation GROUP BY ALL) GROUP BY shape) SELECT p.shape, count(DISTINCT hotel_id) AS hotels_probed, count(*) FILTER (outcome = 'ok') AS answered, count(*) FILTER (outcome = 'unavailable') AS unavailable, count(*) FILTER (outcome = 'error') AS errors, coalesce(any_value(g.n), 0) AS new_rooms FROM probe p LEFT JOIN g ON g.shape = p.shape GROUP BY p.shape")
@@ -374,11 +406,77 @@ def probe_metrics(spark, d):
     return probing.metrics(view(spark, d, "probe"), rooms)
 
 
-@query(_PROBE + "SELECT DISTINCT hotel_id FROM probe WHERE hotel_id NOT IN (SELECT hotel_id FROM probe WHERE shape < 2 AND n_rooms > 0) AND hotel_id NOT IN (SELECT hotel_id FROM probe WHERE shape < 2 AND outcome = 'unavailable')")
+@query(cte("stage_probe") + "SELECT DISTINCT hotel_id FROM stage_probe WHERE hotel_id NOT IN (SELECT hotel_id FROM stage_probe WHERE phase = 'base' AND has_room) AND hotel_id NOT IN (SELECT hotel_id FROM stage_probe WHERE phase = 'base' AND outcome = 'unavailable')")
 def zero_escalation(spark, d):
-    p = view(spark, d, "probe")
-    base = p.filter("shape < 2")
-    return probing.needs_wider(p.select("hotel_id").distinct(), base.filter("n_rooms > 0"), probing.outcomes(base))
+    p = view(spark, d, "stage_probe")
+    base = p.filter("phase = 'base'")
+    return probing.needs_wider(p.select("hotel_id").distinct(), base.filter("has_room"), probing.outcomes(base))
+
+
+_HARVEST = cte("stage_probe")[:-1] + """, ranked AS (SELECT *, CASE phase WHEN 'base' THEN 0 ELSE 10 END + seq AS place FROM stage_probe),
+gone AS (SELECT hotel_id, min(place) AS gone FROM ranked WHERE outcome = 'unavailable' GROUP BY hotel_id),
+known AS (SELECT r.* FROM ranked r LEFT JOIN gone USING (hotel_id) WHERE gone IS NULL OR place <= gone),
+held AS (SELECT DISTINCT hotel_id FROM known WHERE phase = 'base' AND has_room AND outcome = 'ok'),
+wider AS (SELECT DISTINCT hotel_id FROM stage_probe WHERE hotel_id NOT IN (SELECT hotel_id FROM held) AND hotel_id NOT IN (SELECT hotel_id FROM gone WHERE gone < 10)),
+used AS (SELECT * FROM known WHERE phase = 'base' OR hotel_id IN (SELECT hotel_id FROM wider)),
+shown AS (SELECT * FROM used WHERE has_room AND outcome = 'ok'),
+firsts AS (SELECT hotel_id, room_name, min(place) AS place FROM shown GROUP BY ALL)"""
+
+
+def _harvested(spark, d):
+    p = view(spark, d, "stage_probe").withColumn("seq", F.col("seq") + F.when(F.col("phase") == "wider", 10).otherwise(0))
+    hotels = p.select("hotel_id", F.lit("slug").alias("slug")).distinct()
+    return harvest.harvest(hotels, p.select("hotel_id", "phase", "seq", "outcome"), p.filter("has_room").select("hotel_id", "phase", "seq", "room_name"))
+
+
+@query(_HARVEST + " SELECT hotel_id, room_name, CASE WHEN place < 10 THEN 'base' ELSE 'wider' END AS phase, place::INT AS seq FROM firsts")
+def harvest_rooms(spark, d):
+    return _harvested(spark, d)[0]
+
+
+@query(_HARVEST + " SELECT u.hotel_id, bool_or(outcome = 'ok') AS resolved, bool_or(outcome = 'unavailable') AS unavailable, bool_or(outcome = 'error') AS errored, coalesce(any_value(n), 0) AS n_rooms FROM used u LEFT JOIN (SELECT hotel_id, count(*) AS n FROM firsts GROUP BY hotel_id) f USING (hotel_id) GROUP BY u.hotel_id")
+def harvest_states(spark, d):
+    return _harvested(spark, d)[1]
+
+
+@query(_HARVEST + " SELECT phase, u.place::INT AS seq, count(DISTINCT hotel_id) AS hotels_probed, count(*) FILTER (outcome = 'ok') AS answered, count(*) FILTER (outcome = 'unavailable') AS unavailable, count(*) FILTER (outcome = 'error') AS errors, coalesce(any_value(n), 0) AS new_rooms FROM used u LEFT JOIN (SELECT place, count(*) AS n FROM firsts GROUP BY place) f ON f.place = u.place GROUP BY ALL")
+def harvest_metrics(spark, d):
+    return _harvested(spark, d)[2]
+
+
+@query(_HARVEST + " SELECT DISTINCT phase, place::INT AS seq FROM used WHERE place % 2 = 1 EXCEPT SELECT phase, place::INT FROM used WHERE place < 3")
+def harvest_resume(spark, d):
+    """The shapes with odd numbers that a checkpoint of the first three does not hold."""
+    m = _harvested(spark, d)[2].select("phase", "seq", F.concat_ws(":", "phase", "seq").alias("tag"))
+    path = f"{shared_dir(spark)}/probes-{uuid.uuid4().hex}"
+    harvest.save_checkpoint(m.filter("seq < 3").select("tag"), path, "s1")
+    done = harvest.load_checkpoint(spark, path, "s1", "tag string")
+    return harvest.remaining_shapes(m.filter("seq % 2 = 1"), done).select("phase", "seq")
+
+
+_SOURCED = "WITH e AS (SELECT event_id // 5 AS hotel_id, CASE event_id % 5 WHEN 0 THEN 'cache' WHEN 1 THEN 'http' WHEN 2 THEN 'browser' ELSE 'escalation' END AS source, event_id % 7 * (event_id % 3 > 0)::INT AS n, event_id % 4 = 0 AS complete FROM events WHERE event_id % 5 < 4), w AS (SELECT hotel_id, max(n) FILTER (source = 'cache') AS c, max(n) FILTER (source = 'http') AS h, max(n) FILTER (source = 'browser') AS b, max(n) FILTER (source = 'escalation') AS e, coalesce(bool_or(source = 'cache' AND complete), false) AS done FROM e GROUP BY hotel_id), f AS (SELECT *, CASE WHEN c > 0 THEN c WHEN h > 0 THEN h WHEN b > 0 THEN b ELSE 0 END AS n0, CASE WHEN coalesce(c, 0) = 0 AND coalesce(h, 0) = 0 AND b > 0 THEN 'browser' ELSE 'http' END AS s0 FROM w)"
+
+
+@query(_SOURCED + " SELECT hotel_id, (CASE WHEN c > 0 AND done THEN c WHEN coalesce(e, 0) > n0 THEN e ELSE n0 END)::INT AS n_rooms, CASE WHEN c > 0 AND done THEN 'cache' WHEN coalesce(e, 0) > n0 THEN 'escalation' ELSE s0 END AS source FROM f")
+def source_priority(spark, d):
+    e = _table(spark, d, "events").filter("event_id % 5 < 4").selectExpr("floor(event_id / 5) AS hotel_id", "CASE event_id % 5 WHEN 0 THEN 'cache' WHEN 1 THEN 'http' WHEN 2 THEN 'browser' ELSE 'escalation' END AS source", "CASE WHEN event_id % 3 > 0 AND event_id % 7 > 0 THEN sequence(1L, event_id % 7) ELSE array() END AS rooms", "event_id % 4 = 0 AS complete")
+    return harvest.by_priority(e).select("hotel_id", F.size("rooms").alias("n_rooms"), "source")
+
+
+@query(f"SELECT property_id, kind AS source, date_diff('day', ts::DATE, DATE '{TODAY}') <= 7 AS fresh, CASE WHEN date_diff('day', ts::DATE, DATE '{TODAY}') <= 7 THEN 1 ELSE 0 END AS n_rooms FROM (SELECT user_id AS property_id, 'http' AS kind, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r FROM events WHERE event_type = 'view') WHERE r = 1")
+def property_cache(spark, d):
+    """Records appended to the cache, and the latest of each property with rooms that are fresh."""
+    e = _table(spark, d, "events").filter("event_type = 'view'").select(F.col("user_id").alias("property_id"), F.array(F.lit("room")).alias("rooms"), F.lit(True).alias("complete"), "ts")
+    path = f"{shared_dir(spark)}/cache-{uuid.uuid4().hex}"
+    harvest.append_cache(e, path, "http", "p1", F.col("ts"))
+    found = harvest.cached(spark, path, "property_id long, rooms array<string>, complete boolean, source string, probe string, rooms_at timestamp", F.lit(TODAY).cast("date"))
+    return found.select("property_id", "source", "fresh", F.size("rooms").alias("n_rooms"))
+
+
+@query("SELECT hotel_id, attempt, outcome, CASE WHEN outcome = 'unreachable' AND attempt < 2 THEN 'requeued' ELSE outcome END AS state FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY attempt DESC) AS r FROM (SELECT event_id // 3 AS hotel_id, event_id % 3 + 1 AS attempt, CASE event_type WHEN 'error' THEN 'unreachable' WHEN 'view' THEN 'no_match' ELSE 'matched' END AS outcome FROM events WHERE (event_id // 3) % 2 = 0 OR event_id % 3 = 0) WHERE attempt <= 2) WHERE r = 1")
+def requeue_once(spark, d):
+    a = _table(spark, d, "events").filter("floor(event_id / 3) % 2 = 0 OR event_id % 3 = 0").selectExpr("floor(event_id / 3) AS hotel_id", "event_id % 3 + 1 AS attempt", "CASE event_type WHEN 'error' THEN 'unreachable' WHEN 'view' THEN 'no_match' ELSE 'matched' END AS outcome")
+    return harvest.settled(a)
 
 
 @query(_PROBE + "SELECT hotel_id, bool_and(outcome <> 'error') AS complete, sum(n_rooms)::BIGINT AS n_rooms, CASE WHEN sum(n_rooms) > 0 THEN 'rooms' WHEN bool_and(outcome <> 'error') THEN 'zero' ELSE 'unknown' END AS state FROM probe WHERE shape < 3 GROUP BY hotel_id")
@@ -429,13 +527,23 @@ def unresolved_ids(spark, d):
 
 @query(_LOG + _PUB + " SELECT hotel_id FROM fresh WHERE hotel_id NOT IN (SELECT hotel_id FROM latest WHERE reason <> 'resolved')")
 def phase2_skip(spark, d):
-    return _fresh(spark, d).join(ledger.unresolved_ids(view(spark, d, "log")), "hotel_id", "left_anti")
+    return ledger.skip_ids(_published(spark, d), view(spark, d, "log"), F.lit(TODAY).cast("date"), 3)
 
 
-@query(cte("log") + "SELECT hotel_id, reason, happened, row_id FROM log WHERE row_id < 50 UNION ALL SELECT hotel_id, reason, happened, 50 + row_number() OVER (ORDER BY row_id) - 1 AS row_id FROM log WHERE row_id >= 50 AND row_id < 80")
+@query(cte("log")[:-1] + ", h AS (SELECT count(*) // 2 AS n FROM log) SELECT hotel_id, reason, happened, row_id FROM log, h WHERE row_id < n UNION ALL SELECT hotel_id, reason, happened, n - 1 + row_number() OVER (ORDER BY happened DESC, row_id) AS row_id FROM log, h WHERE row_id >= n")
 def ledger_append(spark, d):
+    """The later half of the log added to its first half, in another order."""
+    log = view(spark, d, "log")
+    half = log.count() // 2
+    new = log.filter(F.col("row_id") >= half).withColumns({"old": F.col("row_id"), "recent": -F.unix_micros(F.col("happened").cast("timestamp"))})
+    return ledger.append_rows(log.filter(F.col("row_id") < half), new, ["recent", "old"])
+
+
+@query(cte("hotel", "log")[:-1] + ", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY row_id DESC) AS r FROM log) WHERE r = 1)" + _PUB + ", op AS (SELECT hotel_id FROM latest WHERE reason <> 'resolved'), s AS (SELECT hotel_id FROM fresh WHERE hotel_id NOT IN (SELECT hotel_id FROM op)) SELECT count(*) AS in_scope, count(*) FILTER (id IN (SELECT hotel_id FROM s)) AS skipped, count(*) FILTER (id IN (SELECT hotel_id FROM fresh) AND id IN (SELECT hotel_id FROM op)) AS backfill, count(*) FILTER (id NOT IN (SELECT hotel_id FROM s)) AS todo FROM hotel")
+def skip_counts(spark, d):
     log = view(spark, d, "log")
-    return ledger.append_rows(log.filter("row_id < 50"), log.filter("row_id >= 50 AND row_id < 80").withColumnRenamed("row_id", "old"), ["old"])
+    skip = ledger.skip_ids(_published(spark, d), log, F.lit(TODAY).cast("date"), 3)
+    return reports.skip_counts(view(spark, d, "hotel").select(F.col("id").alias("hotel_id")), skip, _fresh(spark, d), ledger.unresolved_ids(log))
 
 
 # --- gaps and publishing
@@ -533,9 +641,59 @@ def image_extension(spark, d):
     return _table(spark, d, "pages").select("page_id", extract.image_extension(clean, F.when(k == 0, "image/png; q=1").when(k == 1, "image/jpeg")).alias("extension"))
 
 
-@query("SELECT event_id, (props->>'$.k')::INT AS k FROM events")
+@query("SELECT p_partkey AS hotel_id, p_partkey * 10 AS b_id, p_name AS room_name, (1 + p_size % 4)::INT AS max_occupancy, (p_size % 3)::INT AS rate_plan_count, CASE WHEN p_partkey % 2 = 0 THEN 'https://img/' || p_partkey END AS image, CASE WHEN p_partkey % 3 = 0 THEN 1000 + p_size END::INT AS size_sqft FROM part WHERE p_partkey % 5 > 0")
 def json_props(spark, d):
-    return _table(spark, d, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+    """Rooms of property payloads; a stay of no night (one in five) gives none."""
+    p = _table(spark, d, "part")
+    image = F.when(F.col("p_partkey") % 2 == 0, F.array(F.concat(F.lit("//img/"), F.col("p_partkey").cast("string")))).otherwise(F.array().cast("array<string>"))
+    title = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Room size: 93 m²/1,"), F.lpad(F.col("p_size").cast("string"), 3, "0"), F.lit(" ft²"))).otherwise("Balcony")
+    plans = F.transform(F.sequence(F.lit(1), F.lit(2)), lambda k: k.cast("string"))
+    room = F.struct((F.col("p_partkey") * 10).alias("id"), F.concat(F.lit(" "), "p_name").alias("name"), (1 + F.col("p_size") % 4).alias("maxOccupancy"), F.slice(plans, F.lit(1), F.col("p_size") % 3).alias("rooms"), image.alias("images"), F.array(F.struct(title.alias("title"))).alias("features"))
+    bodies = p.select(F.col("p_partkey").alias("hotel_id"), F.to_json(F.struct(F.array(room).alias("masterRooms"))).alias("body"), F.lit("2024-06-01").alias("check_in"), F.when(F.col("p_partkey") % 5 > 0, "2024-06-03").otherwise("2024-06-01").alias("check_out"))
+    return extract.property_rooms(bodies).select("hotel_id", "b_id", "room_name", "max_occupancy", "rate_plan_count", F.get("images", F.lit(0)).alias("image"), "size_sqft")
+
+
+def _plans(spark, d):
+    li = _table(spark, d, "lineitem")
+    option = F.struct(F.concat(F.lit("plan "), "l_returnflag").alias("Title"), F.array(F.struct(F.when(F.col("l_partkey") % 3 > 0, F.concat(F.lit("room "), (F.col("l_partkey") % 20).cast("string"))).otherwise(" ").alias("Name"), (1 + F.col("l_partkey") % 4).cast("int").alias("MaxOccupancy"))).alias("Rooms"))
+    options = F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", option.alias("o")))), lambda x: x["o"])
+    body = F.to_json(F.struct(F.struct(options.alias("Options"), F.struct((F.first("l_suppkey") + F.when(F.first("l_suppkey") % 4 == 0, 1).otherwise(0)).alias("CommonID")).alias("Property")).alias("Itinerary")))
+    return extract.availability(li.groupBy(F.col("l_suppkey").alias("hotel_id")).agg(body.alias("body")))
+
+
+@query("SELECT hotel_id, room_name, max_occupancy FROM (SELECT l_suppkey AS hotel_id, CASE WHEN l_partkey % 3 > 0 THEN 'room ' || l_partkey % 20 ELSE 'plan ' || l_returnflag END AS room_name, (1 + l_partkey % 4)::INT AS max_occupancy, row_number() OVER (PARTITION BY l_suppkey, CASE WHEN l_partkey % 3 > 0 THEN 'room ' || l_partkey % 20 ELSE 'plan ' || l_returnflag END ORDER BY l_orderkey, l_linenumber) AS r FROM lineitem WHERE l_suppkey % 4 > 0) WHERE r = 1")
+def availability_ingest(spark, d):
+    """Rooms of captured availability payloads; those about another hotel than the one asked for give none."""
+    return unions.ingested(_plans(spark, d))[0]
+
+
+@query("SELECT DISTINCT l_suppkey AS hotel_id, l_suppkey + 1 AS payload_id FROM lineitem WHERE l_suppkey % 4 = 0")
+def id_mismatch(spark, d):
+    return unions.ingested(_plans(spark, d))[1]
+
+
+@query("SELECT event_id AS hotel_id FROM events WHERE event_id % 3 = 0")
+def landing_check(spark, d):
+    e = _table(spark, d, "events")
+    url = F.concat(F.lit("https://host/search?x=1&hotel="), F.when(F.col("event_id") % 3 == 0, F.col("event_id").cast("string")).when(F.col("event_id") % 3 == 1, "7777777").otherwise("none"))
+    return extract.landed(e.select(F.col("event_id").alias("hotel_id"), F.col("event_id").alias("property_id"), url.alias("final_url"))).select("hotel_id")
+
+
+@query("SELECT p_partkey AS page_id, p_partkey::VARCHAR AS room_id, p_name AS room_name FROM part WHERE p_partkey % 4 > 0")
+def redirect_reject(spark, d):
+    p = _table(spark, d, "part")
+    html = F.concat(F.lit('{"b_id": '), F.col("p_partkey").cast("string"), F.lit(', "b_name": "'), "p_name", F.lit('"}'))
+    url = F.when(F.col("p_partkey") % 4 > 0, F.concat(F.lit("https://host/hotel/ae/inn-"), F.col("p_partkey").cast("string"), F.lit(".html"))).otherwise("https://host/searchresults.html")
+    return extract.dated_rooms(p.select(F.col("p_partkey").alias("page_id"), html.alias("html"), url.alias("final_url"))).select("page_id", "room_id", "room_name")
+
+
+@query("SELECT s_suppkey AS id, lower(replace(s_name, '#', '-')) || '_2' AS slug, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS local FROM supplier")
+def own_slug(spark, d):
+    slug = F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))), F.lit("_2"))
+    payload = F.to_json(F.struct(F.struct(F.lit("/help/hotel.html").alias("help")).alias("a"), F.array(F.lit("x"), F.concat(F.lit("/"), slug, F.lit("/hotel/town-ae.html"))).alias("links")))
+    names = F.to_json(F.struct(F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise("").alias("en"), F.lit("x").alias("ar")))
+    # paths are written with plain slashes
+    return _table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), extract.own_slug(F.replace(payload, F.lit("\\/"), F.lit("/"))).alias("slug"), extract.local_name(names).alias("local"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN (1000 + p_size)::INT END AS size_sqft FROM part")
@@ -545,7 +703,7 @@ def parse_size(spark, d):
     return _table(spark, d, "part").select("p_partkey", extract.size_sqft(titles).alias("size_sqft"))
 
 
-@query("SELECT s_suppkey AS id, lower(replace(s_name, '#', '-')) AS slug, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-') AS derived FROM supplier")
+@query(cte("hotel") + "SELECT id, slug, trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') AS derived FROM hotel")
 def slug_from_url(spark, d):
     h = view(spark, d, "hotel")
     url = F.concat(F.lit("https://host.example/"), "slug", F.lit("/hotel/town-ae.html?x=1"))
@@ -595,12 +753,12 @@ def queue_remaining(spark, d):
     return reports.remaining(q, q.filter(reports.approved(F.col("decision")))).select("row_id")
 
 
-_STATES = _PROBE + ", s AS (SELECT hotel_id, bool_or(outcome = 'ok') AS r, bool_or(outcome = 'unavailable') AS u, bool_or(outcome = 'error') AS e FROM probe WHERE shape = 0 GROUP BY hotel_id)"
+_STATES = _PROBE + ", s AS (SELECT h, bool_or(outcome = 'ok') AS r, bool_or(outcome = 'unavailable') AS u, bool_or(outcome = 'error') AS e FROM (SELECT *, event_id // 4 AS h FROM probe) GROUP BY h)"
 
 
 @query(_STATES + " SELECT count(*) AS total, count(*) FILTER (r) AS resolved, count(*) FILTER (NOT r AND u) AS unavailable, count(*) FILTER (NOT r AND NOT u AND e) AS unanswered, 'ok' AS reconciled FROM s")
 def run_funnel(spark, d):
-    return reports.funnel(probing.outcomes(view(spark, d, "probe").filter("shape = 0")))
+    return reports.funnel(probing.outcomes(view(spark, d, "probe").withColumn("hotel_id", F.floor(F.col("event_id") / 4))))
 
 
 @query(cte("log") + "SELECT reason, count(*) AS n FROM log GROUP BY reason")
@@ -613,9 +771,9 @@ def runnable_counts(spark, d):
     return reports.runnable(view(spark, d, "hotel").select("id", "city_id"), _fresh(spark, d))
 
 
-@query(_PROBE + "SELECT hotel_id, CASE WHEN sum(n_rooms) > 0 THEN sum(n_rooms)::BIGINT::VARCHAR WHEN bool_or(outcome = 'unavailable') THEN '0(unsellable)' WHEN bool_or(outcome = 'error') THEN '0(no answer)' ELSE '0(verified)' END AS label FROM probe WHERE shape = 1 GROUP BY hotel_id")
+@query(_PROBE + "SELECT event_id // 2 AS hotel_id, CASE WHEN sum(n_rooms) > 0 THEN sum(n_rooms)::BIGINT::VARCHAR WHEN bool_or(outcome = 'unavailable') THEN '0(unsellable)' WHEN bool_or(outcome = 'error') THEN '0(no answer)' ELSE '0(verified)' END AS label FROM probe GROUP BY event_id // 2")
 def bm_label(spark, d):
-    p = view(spark, d, "probe").filter("shape = 1").groupBy("hotel_id").agg(F.sum("n_rooms").alias("n"), F.bool_or(F.col("outcome") == "unavailable").alias("u"), F.bool_or(F.col("outcome") == "error").alias("e"))
+    p = view(spark, d, "probe").groupBy(F.floor(F.col("event_id") / 2).alias("hotel_id")).agg(F.sum("n_rooms").alias("n"), F.bool_or(F.col("outcome") == "unavailable").alias("u"), F.bool_or(F.col("outcome") == "error").alias("e"))
     return p.select("hotel_id", reports.count_label(F.col("n"), F.lit(True), F.col("u"), F.col("e")).alias("label"))
 
 
@@ -629,3 +787,112 @@ def failure_streaks(spark, d):
 def mirror_fan_out(spark, d):
     r = _table(spark, d, "orders").select(F.col("o_custkey").alias("hotel_id"), F.col("o_orderpriority").alias("room_key"), F.col("o_orderkey").alias("pos"), F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("h"), F.col("o_orderkey").cast("string"))).alias("hosted"))
     return reports.mirrored(r).select("hotel_id", "room_key", "thumbnail", F.size("images").alias("n_gallery"))
+
+
+# --- rooms as they are published
+
+
+def _categories(spark):
+    names = N.all_categories()
+    return spark.createDataFrame([(k + 1, c.upper() if k % 2 else c) for k, c in enumerate(names)], "id long, name string")
+
+
+_TAXONOMY = "taxonomy AS (SELECT * FROM (VALUES " + ", ".join(f"({k + 1}::BIGINT, '{c}')" for k, c in enumerate(N.all_categories())) + ") t(category_id, category))"
+_PUBLISHED = _M + f""", {_TAXONOMY}, ready AS (SELECT hotel_id, a_id, CASE WHEN status <> 'unmatched' THEN m.b_id END AS b_id, room_name, status FROM m WHERE status <> 'review'),
+dressed AS (SELECT r.*, coalesce(b.n_images, 0) AS n_images, {O.norm('r.room_name')} AS norm FROM ready r LEFT JOIN room_b b ON b.hotel_id = r.hotel_id AND b.b_id = r.b_id),
+made AS (SELECT *, {_category_sql('norm')} AS category FROM dressed)"""
+
+
+def _publishable(spark, d):
+    b = view(spark, d, "room_b")
+    urls = F.when(F.col("n_images") > 0, F.transform(F.sequence(F.lit(1), F.col("n_images").cast("int")), lambda k: F.concat(F.lit("u"), k.cast("string")))).otherwise(F.array().cast("array<string>"))
+    offered = b.withColumn("images", urls).withColumn("size_sqft", F.when(F.col("b_id") % 3 == 0, 300).cast("int"))
+    return rooms.publishable(mapping.map_rooms(view(spark, d, "room_a"), b), offered, _categories(spark))
+
+
+@query(_PUBLISHED + " SELECT hotel_id, a_id, b_id, room_name, status, category, category_id, n_images::INT AS n_images, CASE WHEN b_id % 3 = 0 THEN 300 END::INT AS size_sqft, CASE WHEN n_images > 0 THEN 'b' ELSE '' END AS image_source, row_number() OVER (PARTITION BY hotel_id ORDER BY a_id NULLS LAST, b_id) AS seq FROM made LEFT JOIN taxonomy USING (category)")
+def publishable_rooms(spark, d):
+    return _publishable(spark, d).select("hotel_id", "a_id", "b_id", "room_name", "status", "category", "category_id", F.size("images").alias("n_images"), "size_sqft", "image_source", "seq")
+
+
+_STORE = _ACT + ", top AS (SELECT max(id) AS top FROM room), firsts AS (SELECT hotel_id, lower(substr(trim(name), 1, 191)) AS room_key, min(id) AS id FROM room GROUP BY ALL), f AS (SELECT x.id, k.* FROM k JOIN firsts x USING (hotel_id, room_key) WHERE action = 'fill')"
+
+
+def _published_store(spark, d):
+    """A store that was published to twice: the rooms there are, then the incoming ones."""
+    path = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    view(spark, d, "room").select("id", "hotel_id", "name", "thumbnail", "size_sqft", "category_id").write.parquet(f"{path}/v1/rooms")
+    spark.createDataFrame([], rooms.GALLERY).write.parquet(f"{path}/v1/gallery")
+    return path, rooms.publish(_incoming(spark, d), path)
+
+
+@query(_STORE + " SELECT r.id, r.hotel_id, r.name, CASE WHEN f.id IS NULL THEN r.thumbnail ELSE coalesce(nullif(trim(r.thumbnail), ''), nullif(trim(f.thumbnail), '')) END AS thumbnail, CASE WHEN f.id IS NULL THEN r.size_sqft ELSE coalesce(r.size_sqft, f.size_sqft) END AS size_sqft, CASE WHEN f.id IS NULL THEN r.category_id ELSE coalesce(r.category_id, f.category_id) END AS category_id FROM room r LEFT JOIN f ON f.id = r.id UNION ALL SELECT top + row_number() OVER (ORDER BY hotel_id, seq, room_key), hotel_id, substr(trim(room_name), 1, 191), nullif(trim(thumbnail), ''), size_sqft, category_id FROM k, top WHERE action = 'insert'")
+def publish_store(spark, d):
+    return rooms.stored(spark, _published_store(spark, d)[0])
+
+
+@query(_ACT + " SELECT hotel_id, room_key, (p - 1)::INT AS pos, 'u' || p AS url FROM k, unnest(range(2, n_images + 1)) t(p) WHERE action = 'insert' OR (action = 'fill' AND ft)")
+def publish_gallery(spark, d):
+    return rooms.stored(spark, _published_store(spark, d)[0], "gallery")
+
+
+@query(f"WITH {_TAXONOMY}, n AS (SELECT p_partkey, p_brand, p_name || CASE p_partkey % 4 WHEN 0 THEN ' Suite' WHEN 1 THEN ' 2 Bedroom Apartment' WHEN 2 THEN '' ELSE ' Deluxe Room' END AS room_name, p_size FROM part), m AS (SELECT *, lower(room_name) AS norm FROM n), c AS (SELECT *, {_category_sql('norm')} AS category FROM m) SELECT p_partkey AS row_id, room_name, category, category_id, CASE WHEN p_size % 20 > 0 THEN least(p_size % 20, 15) ELSE 0 END::INT AS n_images, CASE WHEN p_size % 20 > 0 THEN 'c' ELSE '' END AS image_source FROM c LEFT JOIN taxonomy USING (category)")
+def plan_rooms(spark, d):
+    p = _table(spark, d, "part")
+    name = F.concat("p_name", F.when(F.col("p_partkey") % 4 == 0, " Suite").when(F.col("p_partkey") % 4 == 1, " 2 Bedroom Apartment").when(F.col("p_partkey") % 4 == 2, "").otherwise(" Deluxe Room"))
+    images = F.when(F.col("p_size") % 20 > 0, F.transform(F.sequence(F.lit(1), F.col("p_size") % 20), lambda k: k.cast("string"))).otherwise(F.array().cast("array<string>"))
+    rows = p.select(F.col("p_partkey").alias("row_id"), F.lit(1).alias("hotel_id"), name.alias("room_name"), images.alias("images"), F.lit(None).cast("int").alias("size_sqft"), F.lit("c").alias("image_source"))
+    return rooms.from_plan(rows, _categories(spark)).select("row_id", "room_name", "category", "category_id", F.size("images").alias("n_images"), "image_source")
+
+
+_REVIEWS = "WITH q AS (SELECT o_orderkey AS row_id, o_custkey AS hotel_id, CASE o_orderkey % 4 WHEN 0 THEN ' Yes' WHEN 1 THEN 'approve' WHEN 2 THEN 'no' END AS decision, o_orderkey % 5 AS n_images, o_orderkey % 3 > 0 AS hosted FROM orders), y AS (SELECT *, n_images = 0 OR hosted AS done FROM q WHERE row_id % 4 < 2)"
+
+
+def _reviewed(spark, d):
+    o = _table(spark, d, "orders")
+    decision = F.when(F.col("o_orderkey") % 4 == 0, " Yes").when(F.col("o_orderkey") % 4 == 1, "approve").when(F.col("o_orderkey") % 4 == 2, "no")
+    urls = F.when(F.col("o_orderkey") % 5 > 0, F.array_join(F.transform(F.sequence(F.lit(1), (F.col("o_orderkey") % 5).cast("int")), lambda k: k.cast("string")), "|"))
+    queue = o.select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("hotel_id"), F.lit("King Suite").alias("room_name"), decision.alias("decision"), urls.alias("candidate_images"), F.lit("120").alias("candidate_size_sqft"))
+    hosted = queue.filter("candidate_images IS NOT NULL").select("row_id", F.when(F.col("row_id") % 3 > 0, "t").alias("thumbnail"), F.when((F.col("row_id") % 3 > 0) & (F.col("row_id") % 5 > 1), F.array(F.lit("g"))).otherwise(F.array().cast("array<string>")).alias("images"))
+    return rooms.apply_reviews(queue, hosted, _categories(spark))
+
+
+@query(_REVIEWS + " SELECT row_id, hotel_id, 'Suite' AS category, 120 AS size_sqft, CASE WHEN n_images = 0 THEN 0 WHEN n_images = 1 THEN 1 ELSE 2 END AS n_hosted FROM y WHERE done")
+def reviewed_rooms(spark, d):
+    return _reviewed(spark, d)[0].select("row_id", "hotel_id", "category", "size_sqft", F.size("images").alias("n_hosted"))
+
+
+@query(_REVIEWS + " SELECT row_id FROM q WHERE row_id NOT IN (SELECT row_id FROM y WHERE done)")
+def reviews_left(spark, d):
+    return _reviewed(spark, d)[1].select("row_id")
+
+
+@query("SELECT count(*) AS planned, count(*) FILTER (c_custkey % 3 > 0) AS mapped, count(*) FILTER (c_custkey % 3 > 0 AND c_custkey % 5 = 0) AS mapped_blind, count(*) FILTER (c_custkey % 3 = 0) AS not_mapped, 'ok' AS reconciled FROM customer")
+def gate_summary(spark, d):
+    return reports.gate_summary(_table(spark, d, "customer"), F.col("c_custkey") % 5 == 0, F.col("c_custkey") % 3 > 0)
+
+
+@query("SELECT (SELECT count(*) FROM customer) AS hotels_total, (SELECT count(*) FROM customer WHERE c_custkey % 2 = 0) AS hotels_resolved, (SELECT count(*) FROM customer WHERE c_custkey % 2 = 1 AND c_custkey % 3 = 0) AS hotels_unavailable, (SELECT count(*) FROM customer WHERE c_custkey % 2 = 1 AND c_custkey % 3 > 0 AND c_custkey % 5 = 0) AS hotels_unanswered, (SELECT count(*) FROM customer WHERE c_custkey % 4 = 0) AS hotels_matched, (SELECT count(*) FROM customer WHERE c_custkey % 4 > 0 AND c_custkey % 7 > 0) AS hotels_no_match, (SELECT count(*) FROM customer WHERE c_custkey % 4 > 0 AND c_custkey % 7 = 0) AS hotels_unreachable, (SELECT sum(c_custkey % 3)::BIGINT FROM customer) AS gaps, (SELECT sum(c_custkey % 2)::BIGINT FROM customer) AS gaps_filled, (SELECT count(*) FROM customer WHERE c_custkey % 3 > 0 AND c_custkey % 2 >= c_custkey % 3) AS hotels_gaps_closed, (SELECT count(*) FROM k) AS rooms_total, (SELECT count(*) FROM k WHERE action = 'insert') AS published_insert, (SELECT count(*) FROM k WHERE action = 'fill') AS published_fill, (SELECT count(*) FROM k WHERE n_images > 0) AS rooms_with_images".replace("SELECT (SELECT", _ACT + " SELECT (SELECT", 1))
+def run_counters(spark, d):
+    h = _table(spark, d, "customer").selectExpr("c_custkey % 2 = 0 AS resolved", "c_custkey % 3 = 0 AS unavailable", "c_custkey % 5 = 0 AS errored", "c_custkey % 4 = 0 AS matched", "c_custkey % 7 > 0 AS reachable", "false AS blind", "false AS requeued", "c_custkey % 3 AS n_gaps", "c_custkey % 2 AS n_filled")
+    r = _acted(spark, d).withColumn("status", F.lit("publish"))
+    return reports.run_counters(h, r).select("hotels_total", "hotels_resolved", "hotels_unavailable", "hotels_unanswered", "hotels_matched", "hotels_no_match", "hotels_unreachable", "gaps", "gaps_filled", "hotels_gaps_closed", "rooms_total", "published_insert", "published_fill", "rooms_with_images")
+
+
+def _filling(spark, d):
+    """Rooms of the catalogue as gaps, offers of six shapes, and a verified counterpart for most hotels."""
+    gaps, o = view(spark, d, "room_a"), view(spark, d, "offer")
+    urls = F.when(F.col("n_images") > 0, F.transform(F.sequence(F.lit(1), F.col("n_images")), lambda k: F.concat(F.col("b_id").cast("string"), F.lit("/"), k.cast("string")))).otherwise(F.array().cast("array<string>"))
+    hotels = gaps.select("hotel_id").union(o.select("hotel_id")).distinct()
+    verified = hotels.filter("hotel_id % 5 > 0").select("hotel_id", F.concat(F.lit("h-"), F.col("hotel_id").cast("string")).alias("slug"))
+    return harvest.fill_gaps(gaps, verified, o.withColumn("images", urls), hotels, 2)
+
+
+@query()
+def third_source_fill(spark, d):
+    return _filling(spark, d)[0].select("hotel_id", "a_id", "filled", F.array_join("images", ",").alias("images"))
+
+
+@query()
+def third_source_notes(spark, d):
+    return _filling(spark, d)[1]

@@ -3,10 +3,14 @@
 import datetime
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from matchloom.functions import names as N
 from matchloom.functions import vocabulary as V
-from matchloom.operators import ledger, mapping, probing, publishing, reports, resolution, scans, unions
+from matchloom.operators import harvest, ledger, mapping, probing, publishing, reports, resolution, rooms, scans, unions
+from matchloom.operators.numbering import numbered
+from matchloom.options import Options
 from matchloom.sources import extract, readers
 from matchloom.streaming.ledger import outcome_windows, upsert_latest
 
@@ -103,7 +107,8 @@ def test_union_shuffle(spark):
 
 def test_ladders(spark):
     day = spark.createDataFrame([(datetime.date(2024, 6, 8),), (datetime.date(2024, 6, 9),)], "day date")
-    assert [r[0] for r in day.select(probing.weekend_checkin(F.col("day"), F.lit(1))).collect()] == [datetime.date(2024, 6, 15)] * 2
+    assert [r[0] for r in day.select(probing.weekend_checkin(F.col("day"), F.lit(0))).collect()] == [datetime.date(2024, 6, 15)] * 2
+    assert day.select(probing.weekend_checkin(F.col("day"), F.lit(2))).first()[0] == datetime.date(2024, 6, 29)
     assert probing.probe_shapes(spark).count() == 12 and probing.probe_shapes(spark, V.WIDER_LADDER).count() == 16
     assert probing.stays(probing.probe_shapes(spark), day).count() == 24
     g = spark.createDataFrame([(1, s, x, 3) for s, x in enumerate([1, 0, 0, 5])] + [(2, s, x, 3) for s, x in enumerate([1, 2, 9])], "hotel_id int, shape int, gained long, n_gaps int")
@@ -116,12 +121,23 @@ def test_breaker(spark):
     assert (got[1].trailing, got[1].degraded, got[1].rotations) == (9, True, 3) and not got[2].degraded
 
 
-def test_addresses():
-    assert resolution.locality("vardanants 15/4, 0010, armenia, yerevan", "Armenia", "Yerevan") == "vardanants 15 4 yerevan"
-    assert resolution.locality("Calle 50, Panama City, Panama", "Panama", "Panama City") == "Calle 50 Panama City"
-    assert resolution.locality("1 Marina Road, Singapore 018956", "Singapore", "Singapore") == "1 Marina Road Singapore"
-    assert resolution.locality("Sheikh Zayed Rd, Dubai, U.A.E.", "United Arab Emirates", "Dubai").startswith("Sheikh Zayed Rd Dubai")
-    assert resolution.locality("x 1", "A", "B") is None and resolution.locality(None, None, None) is None
+def test_addresses(spark):
+    cases = [
+        ("vardanants 15/4, 0010, armenia, yerevan", "Armenia", "Yerevan", "vardanants 15 4 yerevan"),
+        ("Calle 50, Panama City, Panama", "Panama", "Panama City", "Calle 50 Panama City"),
+        ("Panama City, Panama", "Panama", "Panama City", "Panama City"),
+        ("1 Marina Road, Singapore 018956", "Singapore", "Singapore", "1 Marina Road Singapore"),
+        ("Sheikh Zayed Rd, Dubai, U.A.E.", "United Arab Emirates", "Dubai", "Sheikh Zayed Rd Dubai"),
+        ("Sheikh Zayed Rd, UAE, Dubai", "United Arab Emirates", "Dubai", "Sheikh Zayed Rd Dubai"),
+        ("10 Rue de Rivoli, France, Paris, FRANCE", "France", None, "10 Rue de Rivoli France Paris"),
+        ("x 1", "A", "B", None),
+        (None, None, None, None),
+        ("Plain Street 12", None, None, "Plain Street 12"),
+        ("word " * 40, None, "Y", ("word " * 40).strip()[:80]),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, a string, c string, t string, want string")
+    for r in df.withColumn("got", resolution.address_query(F.col("a"), F.col("c"), F.col("t"))).collect():
+        assert r.got == r.want, r
 
 
 def test_extraction(spark):
@@ -136,12 +152,123 @@ def test_extraction(spark):
     assert [tuple(x.p) if x.p else None for x in r] == [(2, 5), (4, 0), None, None]
 
 
+HOTEL = "id long, name string, city_id long, city_name string, lat double, lon double"
+CANDIDATE = "hotel_id long, cand_id long, cand_name string, cand_city long, cand_lat double, cand_lon double, is_private boolean, variant int"
+
+
 def test_resolution_reasons(spark):
-    h = spark.createDataFrame([(1, "Grand Palm Hotel", 1, 25.0, 55.0), (2, "Lost Inn", 1, 25.0, 55.0), (3, "Nobody", 1, None, None)], "id long, name string, city_id long, lat double, lon double")
-    c = spark.createDataFrame([(1, 10, "Grand Palm Hotel", 1, 25.001, 55.0, False, 0), (1, 11, "Grand Palm Hotel", 1, 25.0, 55.0, True, 0), (1, 12, "Grand Palm", 2, 25.0005, 55.0, True, 1), (2, 13, "Other", 1, 25.0, 55.0, False, 0)], "hotel_id long, cand_id long, cand_name string, cand_city long, cand_lat double, cand_lon double, is_private boolean, variant int")
+    h = spark.createDataFrame([(1, "Grand Palm Hotel", 1, "Dubai", 25.0, 55.0), (2, "Lost Inn", 1, None, 25.0, 55.0), (3, "Nobody", 1, None, None, None), (4, "Royal Plaza", 1, None, 25.0, 55.0), (5, "Blue Bay Inn", 1, None, 25.0, 55.0)], HOTEL)
+    c = spark.createDataFrame([
+        (1, 10, "Grand Palm Hotel", 1, 25.001, 55.0, False, 0), (1, 11, "Grand Palm Hotel Dubai", 1, 25.0, 55.0, True, 0), (1, 12, "Grand Palm", 2, 25.0005, 55.0, True, 1),
+        (2, 13, "Other", 1, 25.0, 55.0, False, 0), (4, 14, "Royal Plaza", 2, 30.0, 55.0, False, 0), (4, 15, "Royal Plaza Suites Tower 9", 2, 25.0, 55.0, True, 0), (5, 16, "Blue Bay Inn Unit 7", 1, 25.0, 55.0, True, 0),
+    ], CANDIDATE)
+    got = {r.hotel_id: r for r in resolution.match_hotels(h, c).collect()}
+    assert (got[1].cand_id, got[1].confidence) == (11, "high")  # a private listing that is the hotel but for the city's name
+    assert got[2].reason == "no candidate above name threshold" and got[3].reason == "no suggestion"
+    assert got[4].reason.startswith("rejected Royal Plaza name=100% strict=100% dist=5") and got[4].reason.endswith("km same_city=false")
+    assert got[5].reason == "rejected Blue Bay Inn Unit 7: private listing"
+
+
+def test_two_word_city_and_parentheses(spark):
+    h = spark.createDataFrame([(1, "Palm Residence (formerly Old Palm)", 1, "Abu Dhabi", 25.0, 55.0), (2, "Sea Inn", None, None, 25.0, 55.0)], HOTEL)
+    c = spark.createDataFrame([(1, 10, "Palm Residence Abu Dhabi", 1, 25.0, 55.0, True, 0), (2, 11, "Sea Inn Lodge", None, 26.5, 55.0, False, 0), (2, 12, "Sea Inn", 5, 25.0, 55.0, False, 1)], CANDIDATE)
     got = {r.hotel_id: r for r in resolution.match_hotels(h, c).collect()}
-    assert got[1].cand_id == 11 and got[1].confidence == "high" and got[2].reason == "no viable name" and got[3].reason == "no candidates"
-    assert rows(resolution.verified(h, c).select("hotel_id", "cand_id")) == [(1, 11)]
+    assert got[1].cand_id == 10
+    # without a city on either side the two are not in one city, and a strong name ends the search
+    assert got[2].cand_id is None and "same_city=false" in got[2].reason and "Sea Inn Lodge" in got[2].reason
+
+
+def test_floors_are_not_rounded(spark):
+    s = spark.createDataFrame([(71.96, 0.1), (72.0, 0.1), (89.96, 1.0), (90.0, 1.0)], "s double, d double")
+    got = [r[0] for r in s.select(resolution.confidence(F.col("s"), F.lit(0.0), F.col("d"), F.lit(False))).collect()]
+    assert got == [None, "high", None, "medium"]
+    long_a, long_b = "abcdefghijklmnopqrstuvwxy" * 2, "abcdefghijklmnopqrstuvwxy" * 2
+    assert resolution.scored(spark.createDataFrame([(1, long_a, 1, None, 0.0, 0.0)], HOTEL), spark.createDataFrame([(1, 1, long_b[:-11] + "zzzzzzzzzzz", 1, 0.0, 0.0, False, 0)], CANDIDATE)).first().score == 78.0
+
+
+def test_three_best_before_the_floor(spark):
+    h = spark.createDataFrame([(1, "Alpha Beach Resort", 1, None, 25.0, 55.0), (2, " ", 1, None, 25.0, 55.0), (3, "Alpha", 1, None, None, 55.0)], HOTEL)
+    near = [(1, 20, "Resort Alpha Beach", 1, 25.01, 55.0, False, 0), (1, 21, "Alpha Beach Resorts", 1, 25.02, 55.0, False, 0), (1, 22, "Alpha Beach Resort", 1, 25.03, 55.0, False, 0), (1, 23, "Alpha Beach Resort and Spa and More Rooms", 1, 25.0, 55.0, False, 0)]
+    assert resolution.verified(h, spark.createDataFrame(near + [(2, 1, "x", 1, 25.0, 55.0, False, 0), (3, 2, "Alpha", 1, 25.0, 55.0, False, 0)], CANDIDATE)).count() == 0  # the fourth would pass both gates
+    assert rows(resolution.verified(h, spark.createDataFrame(near[1:], CANDIDATE)).select("hotel_id", "cand_id")) == [(1, 23)]
+
+
+def test_unbalanced_page_is_quick():
+    import time
+
+    page = "{" * 40 + "it's <p class=\"x\">" * 1000 + '{"b_id": 1, "b_name": "A"}' + ' lorem "ipsum dolor' * 200_000 + "".join(f'{{"b_id": {i}, "q": {{"r": "}}"}}, "b_name": "N"}}' for i in range(2, 18))
+    began = time.time()
+    assert set(extract._named_rooms(page)) == {str(i) for i in range(1, 18)}
+    assert time.time() - began < 5
+
+
+def test_numbering(spark, monkeypatch):
+    df = spark.range(1000).withColumn("k", F.col("id") % 7).repartition(5)
+    got = numbered(df, [F.desc("k"), F.asc("id")], "n").collect()
+    assert [r.id for r in sorted(got, key=lambda r: r.n)] == sorted(range(1000), key=lambda i: (-(i % 7), i))
+    assert sorted(r.n for r in got) == list(range(1, 1001)) and numbered(df.limit(0), [F.asc("id")], "n").count() == 0
+
+
+def test_store_survives_a_run_that_dies(spark, tmp_path):
+    path = str(tmp_path / "store")
+    new = spark.createDataFrame([(1, 1, "King", "t", 9, 3, ["t", "g"]), (1, 2, "Twin", None, None, 1, [])], "hotel_id long, seq long, room_name string, thumbnail string, size_sqft int, category_id long, images array<string>")
+    assert rooms.stored(spark, path).count() == 0
+    first = rooms.publish(new, path).first()
+    assert (first["insert"], first["fill"]) == (2, 0)
+    (tmp_path / "store" / "v2" / "rooms").mkdir(parents=True)  # a run that died
+    assert rows(rooms.stored(spark, path).select("name", "thumbnail")) == [("King", "t"), ("Twin", None)]
+    again = rooms.publish(new.withColumn("thumbnail", F.lit("u")).withColumn("size_sqft", F.lit(5)), path).first()
+    assert (again["fill"], again["skip_existing"]) == (1, 1)
+    assert rows(rooms.stored(spark, path).select("id", "name", "thumbnail", "size_sqft")) == [(1, "King", "t", 9), (2, "Twin", "u", 5)]
+    assert rows(rooms.stored(spark, path, "gallery")) == [(1, "king", 1, "g")]
+    assert rooms.publish(new, path).first()["skip_existing"] == 2
+
+
+def test_checkpoints(spark, tmp_path):
+    path, schema = str(tmp_path / "ck"), "hotel_id long, tag string"
+    assert harvest.load_checkpoint(spark, path, "a", schema).count() == 0
+    harvest.save_checkpoint(spark.createDataFrame([(1, "x")], schema), path, "a")
+    harvest.save_checkpoint(spark.createDataFrame([(2, "y")], schema), path, "b")
+    harvest.save_checkpoint(spark.createDataFrame([(3, "z")], schema), path, "a")
+    assert rows(harvest.load_checkpoint(spark, path, "a", schema)) == [(3, "z")]
+    assert harvest.load_checkpoint(spark, path, "a", "other string").count() == 0
+    harvest.sweep_scope(spark, path, "a")
+    assert harvest.load_checkpoint(spark, path, "a", schema).count() == 0 and harvest.load_checkpoint(spark, path, "b", schema).count() == 1
+
+
+def test_filling_from_a_third_source(spark):
+    gaps = spark.createDataFrame([(1, 1, "Deluxe King Room"), (1, 2, "Captains Cabin"), (2, 3, "Suite"), (3, 4, "Twin Room"), (4, 5, "Family Room")], "hotel_id long, a_id long, room_name string")
+    offers = [(1, s, 10 + s, n, ["p"]) for s, n in enumerate(["Deluxe King Room", "Family Suite", "Penthouse"])] + [(1, 3, 11, "Family Suite", ["q"]), (1, 4, 12, "Penthouse", []), (1, 5, 19, "Captains Cabin", ["z"]), (2, 0, 20, "Suite", []), (3, 0, 30, "Presidential Villa", ["v"]), (4, 0, 40, "Family Room", ["f"])]
+    o = spark.createDataFrame(offers, "hotel_id long, shape int, b_id long, room_name string, images array<string>")
+    verified = spark.createDataFrame([(1, "h1"), (2, "h2"), (3, "h3"), (5, "h5")], "hotel_id long, slug string")
+    hotels = spark.createDataFrame([(i,) for i in range(1, 6)], "hotel_id long")
+    assert rows(harvest.shapes_needed(gaps.filter("hotel_id = 1"), o, 2)) == [(1, s) for s in range(5)]  # two shapes without a new room end it
+    filled, notes = harvest.fill_gaps(gaps, verified, o, hotels, 2)
+    assert rows(filled.filter("filled").select("a_id", "images")) == [(1, ["p"])]
+    assert rows(notes) == [(1, 1, "h1"), (2, 0, "h2: no photographed rooms"), (3, 0, "h3: 1 rooms, none matched the 1 gap(s)"), (4, 0, "no geo-verified candidate"), (5, 0, "no gaps")]
+
+
+def test_environment_and_options(spark):
+    gone = spark.createDataFrame([("unavailable",)] * 5, "outcome string")
+    assert harvest.crossed_environment(gone) and not harvest.crossed_environment(gone.limit(0))
+    assert not harvest.crossed_environment(gone.limit(4).union(spark.createDataFrame([("ok",)], "outcome string")))
+    o = Options.read({"MATCHLOOM_DESTINATION": "Dubai", "MATCHLOOM_STALE_DAYS": "30", "MATCHLOOM_COUNTRY": " ", "MATCHLOOM_RESCUE_SOFT_VETOES": "no"})
+    assert (o.destination, o.stale_days, o.country, o.rescue_soft_vetoes) == ("Dubai", 30, "", False)
+    with pytest.raises(ValueError):
+        Options.read({"MATCHLOOM_STALE_DAYS": "soon"})
+
+
+def test_csv_and_lists(spark, tmp_path):
+    q = spark.createDataFrame([(1, 7, None, "x")], "row_id long, hotel_id long, decision string, extra string")
+    reports.write_csv(q, str(tmp_path / "q"), ["row_id", "hotel_id", "decision", "missing"])
+    back = reports.read_queue(spark, str(tmp_path / "q"))
+    assert back.columns == ["row_id", "hotel_id", "decision", "missing"] and tuple(back.first()) == (1, 7, None, None)
+    lines = spark.createDataFrame([(0, "b, a # note"), (1, "c")], "pos int, line string")
+    assert [r.slug for r in scans.keys_of(["c", "z"], lines).collect()] == ["c", "z", "b", "a"]
+    h = spark.range(100)
+    assert rows(scans.sampled(h, 5, 3)) == rows(scans.sampled(h.repartition(7), 5, 3)) != rows(scans.sampled(h, 5, 4))
+    full = scans.with_categories(spark, spark.createDataFrame([(9, "general")], "id long, name string"))
+    assert full.count() == len(N.all_categories()) and scans.missing_categories(spark, full).count() == 0 and full.agg(F.min("id")).first()[0] == 9
 
 
 def test_reports(spark):
