@@ -5,7 +5,9 @@ escapes, base64, and gzip/zlib/zstd/bzip2 data inside base64) are decoded into n
 a worklist and are scanned and unwrapped in turn until nothing new appears. A layer whose content was
 seen before is not visited again, so layers that decode to each other cannot loop. URL and
 Unicode escapes are decoded in place, over the whole layer, so that a secret is seen with its neighbours.
-Each hit in a layer is mapped back to the stretch of the original text that it came from.
+Compressed data is expanded and scanned piece by piece, however long it gets; pieces overlap.
+Each hit in a layer is mapped back to the stretch of the original text that it came from: to the letters
+that hold it where the layers are escapes and base64, to the whole stretch where compressed data is among them.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ UNICODE_ANY = re.compile(r"\\[uUx][0-9A-Fa-f]|&#")
 # A run may go on over line breaks; the lines after its first may be short and indented.
 BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2})*")
 BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: Bytes of expanded data that are scanned at a time, and by how much one piece reaches into the next.
+EXPANDED, OVERLAP = 4 << 20, 1 << 16
 #: How gzip, zlib, zstd and bzip2 data begin in base64.
 PACKED = ("H4sI", "eA", "eJ", "eN", "eF", "KLUv", "Qlpo")
 
@@ -75,25 +79,35 @@ def scan_layer(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _readable(data: bytes) -> str:
-    """The text of decoded bytes; what is not UTF-8 is replaced, so that the rest is still scanned."""
-    return data.decode("utf-8", "replace")
+def _format(data: bytes) -> str | None:
+    if data[:2] == b"\x1f\x8b":
+        return "gzip"
+    if data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
+        return "zlib"
+    return "zstd" if data[:4] == b"\x28\xb5\x2f\xfd" else "bzip2" if data[:3] == b"BZh" else None
 
 
-def _inflate(data: bytes, limit: int) -> tuple[bytes, str] | None:
-    """Decompressed data, at most ``limit`` bytes of it, and the format's name; None if it is no known format."""
+def _expanded(data: bytes, how: str) -> Iterator[bytes]:
+    """The decompressed data in pieces; it ends where the data is damaged."""
     try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, limit), "gzip"
-        if data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(data, limit), "zlib"
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().stream_reader(data).read(limit), "zstd"
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, limit), "bzip2"
+        if how == "zstd":
+            reader = zstandard.ZstdDecompressor().stream_reader(data)
+            while piece := reader.read(EXPANDED):
+                yield piece
+        elif how == "bzip2":
+            coder = bz2.BZ2Decompressor()
+            piece = coder.decompress(data, EXPANDED)
+            while piece:
+                yield piece
+                piece = b"" if coder.eof else coder.decompress(b"", EXPANDED)
+        else:
+            inflater = zlib.decompressobj(31 if how == "gzip" else 15)
+            piece = inflater.decompress(data, EXPANDED)
+            while piece:
+                yield piece
+                piece = inflater.decompress(inflater.unconsumed_tail, EXPANDED)
     except (zlib.error, zstandard.ZstdError, OSError, EOFError, ValueError):
-        pass
-    return None
+        return
 
 
 def _code_point(m: re.Match) -> str:
@@ -102,15 +116,15 @@ def _code_point(m: re.Match) -> str:
     return chr(n) if n < 0x110000 and not 0xD800 <= n < 0xE000 else m[0]
 
 
-def base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, letters) of what may be base64: each long line, and lines joined up to padding or their end.
+def base64_runs(text: str) -> Iterator[tuple[int, int, list[tuple[int, str]]]]:
+    """(start, end, places and letters of its lines) of what may be base64: each long line, and lines joined up to padding or their end.
 
     Joined lines are read from the first of each of the four alignments, and from wherever compressed data begins,
     so a payload is read as a whole even if words stand on the lines before it.
     """
     for m in BASE64_RUN.finditer(text):
         lines = [(x.start(), x.end(), x[0].rstrip("=")) for x in BASE64_LINE.finditer(text, m.start(), m.end())]
-        yield from (x for x in lines if len(x[2]) >= 16)
+        yield from ((a, b, [(a, x)]) for a, b, x in lines if len(x) >= 16)
         at = 0
         while at < len(lines):
             last = next((j for j in range(at, len(lines)) if lines[j][1] - lines[j][0] > len(lines[j][2])), len(lines) - 1)
@@ -118,11 +132,22 @@ def base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
             for i in range(at, last):
                 if offset % 4 not in read or lines[i][2].startswith(PACKED):
                     read.add(offset % 4)
-                    yield lines[i][0], lines[last][1], "".join(x[2] for x in lines[i : last + 1])
+                    yield lines[i][0], lines[last][1], [(a, x) for a, _, x in lines[i : last + 1]]
                 offset += len(lines[i][2])
             at = last + 1
 
 
+def _letters_of(plain: str, lines: list[tuple[int, str]], end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end, in the layer, of the base64 letters that hold each character of the decoded text."""
+    letters = np.concatenate([np.arange(a, a + len(x)) for a, x in lines])
+    code = np.frombuffer(plain.encode("utf-32-le"), np.uint32)
+    stop = np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))  # the byte after each character
+    first = np.concatenate([[0], stop[:-1]])
+    ends = letters[(8 * stop - 1) // 6] + 1
+    ends[-1] = end  # padding too
+    return letters[8 * first // 6], ends
+
+
 def _url_chars(run: str) -> list[tuple[str, int]]:
     """The characters of a run of %XX, and how many of its letters each takes."""
     raw, out, at = bytes.fromhex(run.replace("%", "")), [], 0
@@ -160,30 +185,41 @@ def unescaped(text: str) -> Iterator[tuple[str, str, np.ndarray, np.ndarray]]:
             yield how, plain, np.concatenate(starts), np.concatenate(ends)
 
 
-def unwrap(text: str, limit: int) -> list[tuple[str, int, int, str | None]]:
-    """(decoder, start, end, decoded text) for every stretch of base64 in one layer; no text if it expands to ``limit`` bytes."""
-    out: list[tuple[str, int, int, str | None]] = []
-    for start, end, body in base64_runs(text):
+Found = tuple[str, int, int, str, tuple[np.ndarray, np.ndarray] | None]
+
+
+def unwrap(text: str) -> Iterator[Found]:
+    """(decoder, start, end, decoded text, places of its characters if known) for every stretch of base64 in one layer.
+
+    Compressed data gives one entry for each piece.
+    """
+    for start, end, lines in base64_runs(text):
+        body = "".join(x for _, x in lines)
         body = body[: len(body) - (len(body) % 4 == 1)]  # a single last letter holds no byte
         try:
             raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        how, inflated = "base64", _inflate(raw, limit)
-        if inflated:
-            raw, how = inflated[0], f"base64+{inflated[1]}"
-        if inflated and len(raw) >= limit:
-            out.append((how, start, end, None))
-        elif plain := _readable(raw):
-            out.append((how, start, end, plain))
-    return out
+        if how := _format(raw):
+            before = b""
+            for piece in _expanded(raw, how):
+                yield f"base64+{how}", start, end, (before + piece).decode("utf-8", "replace"), None
+                before = piece[-OVERLAP:]
+            if before:
+                continue
+        try:
+            plain = raw.decode()
+        except UnicodeDecodeError:  # what is not UTF-8 is replaced, so that the rest is still scanned
+            yield "base64", start, end, raw.decode("utf-8", "replace"), None
+        else:
+            if plain:
+                yield "base64", start, end, plain, _letters_of(plain, lines, end)
 
 
-def scan(text: str | None, expand_limit: int = 16 << 20) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+def scan(text: str | None, bomb: int = 16 << 20) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(base spans, spans found only in decoded layers) of one text; null counts as empty.
 
-    ``expand_limit`` bounds what one compressed stretch may expand to (a decompression bomb must not end
-    a task); a stretch that reaches it is itself reported, with the kind ``bomb``, never passed over.
+    A compressed stretch that expands to ``bomb`` bytes or more is scanned like any other, and reported as ``bomb`` too.
     """
     if not text:
         return [], []
@@ -191,13 +227,30 @@ def scan(text: str | None, expand_limit: int = 16 << 20) -> tuple[list[tuple[str
     known = set(base)
     deeper: set[tuple[str, int, int]] = set()
     seen = {hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()}
-    work = [Layer(text, 0, len(text), ())]
 
-    def add(layer: Layer) -> None:
-        # the same content at another place is another finding; at the same place it is a cycle or a repeat
+    def through(layer: Layer, places: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray] | None:
+        if not layer.path or places is None:
+            return places
+        return (layer.places[0][places[0]], layer.places[1][places[1] - 1]) if layer.places else None
+
+    def children(layer: Layer) -> Iterator[Layer]:
+        for how, plain, starts, ends in unescaped(layer.text):
+            yield Layer(plain, layer.start, layer.end, (*layer.path, how), through(layer, (starts, ends)))
+        size, at = 0, None
+        for how, a, b, plain, places in unwrap(layer.text):
+            start, end = layer.source(a, b)
+            path = (*layer.path, how)
+            size, at = (size if at == (a, b, how) else 0) + len(plain), (a, b, how)
+            if size >= bomb:
+                deeper.add((">".join((*path, "bomb")), start, end))
+            if plain:
+                yield Layer(plain, start, end, path, through(layer, places))
+
+    def fresh(layer: Layer) -> bool:
+        """Scan a layer, unless it has been: the same content at another place is another finding, at the same place a cycle or a repeat."""
         key = hashlib.blake2b(f"{layer.start}:{layer.end}:".encode() + layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
         if key in seen:
-            return
+            return False
         seen.add(key)
         for kind, x, y in scan_layer(layer.text):
             start, end = layer.source(x, y)
@@ -205,23 +258,16 @@ def scan(text: str | None, expand_limit: int = 16 << 20) -> tuple[list[tuple[str
             there = (kind, start, end) in known if layer.places else False
             if not (there and layer.text[x:y] == text[start:end]) and not (layer.places is None and layer.text[x:y] in text[start:end]):
                 deeper.add((">".join((*layer.path, kind)), start, end))
-        work.append(layer)
+        return True
 
+    # the worklist holds iterators, so that of a long expanded stretch one piece is in memory at a time
+    work = [children(Layer(text, 0, len(text), ()))]
     while work:
-        layer = work.pop()
-        for how, plain, starts, ends in unescaped(layer.text):
-            if not layer.path:
-                places = (starts, ends)
-            else:
-                places = (layer.places[0][starts], layer.places[1][ends - 1]) if layer.places else None
-            add(Layer(plain, layer.start, layer.end, (*layer.path, how), places))
-        for how, a, b, plain in unwrap(layer.text, expand_limit):
-            start, end = layer.source(a, b)
-            path = (*layer.path, how)
-            if plain is None:
-                deeper.add((">".join((*path, "bomb")), start, end))
-            elif plain:
-                add(Layer(plain, start, end, path))
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif fresh(layer):
+            work.append(children(layer))
     return base, sorted(deeper)
 
 
@@ -243,7 +289,7 @@ def redact(text: str | None, mark: str = "[SECRET]") -> str | None:
     return "".join(out) + text[at:]
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", expand_limit: int = 16 << 20) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bomb: int = 16 << 20) -> DataFrame:
     """One row per input row: id, counts of the base kinds, digest of the base spans, all spans, number of decoded hits.
 
     Null and empty texts have no spans. Repeated rows are each answered. Other columns of ``docs`` are not read.
@@ -252,7 +298,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def rows(ids: list, texts: list) -> list:
         out: list[list] = [[] for _ in range(7)]
         for i, t in zip(ids, texts, strict=True):
-            base, deeper = scan(t, expand_limit)
+            base, deeper = scan(t, bomb)
             kinds = [s[0] for s in base]
             values = (i, *(kinds.count(k) for k in KINDS), hashlib.sha256(spans_text(base).encode()).hexdigest(), spans_text([*base, *deeper]), len(deeper))
             for column, v in zip(out, values, strict=True):
