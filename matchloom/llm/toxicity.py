@@ -3,7 +3,10 @@
 The lexicon is learned from labelled rows and laid out as a trie. For a word of the text, the states of
 its Levenshtein automaton (one row of edit distances per trie node) are carried down the trie, and a
 branch is left as soon as no state is within the allowed distance; so one walk finds all terms within
-that distance, misspelled ones too. Each hit is weighed by its surroundings: inside quotation marks, or
+that distance, misspelled ones too. Words of four letters or more may have one edit (a swap of two letters
+is two edits and is not found). A word that clean rows of the sample use is never taken for a misspelling.
+Whether a word can have a hit at all is told before the walk by its forms with one letter left out; the
+walk finds which term it is. Each hit is weighed by its surroundings: inside quotation marks, or
 near words of reporting, it counts as quoted, otherwise as abuse. A logistic model on the counts gives
 the score.
 """
@@ -12,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -23,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import map_rows, may_learn
 from .secrets import _arrow_type
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Digits may stand for letters in misspellings, so they belong to words.
+WORD = re.compile(r"[^\W_]+")
 QUOTES = "\"'“”„«»‘’"
 #: Words that mark reported speech.
 REPORTING = frozenset("said says quote quoted quotes called wrote term word words phrase dit mot cité sagte wort zitat dijo palabra cita".split())
@@ -71,8 +76,8 @@ class Trie:
 
 
 def allowed(word: str) -> int:
-    """Edits that a word of this length may have: none below six letters, then one."""
-    return 0 if len(word) < 6 else 1
+    """Edits that a word of this length may have: none below four letters, then one."""
+    return 0 if len(word) < 4 else 1
 
 
 def _shortened(word: str) -> list[str]:
@@ -95,10 +100,11 @@ class _Hits(dict):
 
 @dataclass(frozen=True)
 class Model:
-    """Terms with their log-odds, and the weights of the logistic model (the last one is the constant)."""
+    """Terms with their log-odds, the weights of the logistic model (the last one is the constant), and words near a term that are no misspellings."""
 
     terms: tuple[tuple[str, float], ...]
     weights: tuple[float, ...] = field(default=())
+    clean: frozenset[str] = field(default=frozenset())
 
 
 class Matcher:
@@ -113,7 +119,7 @@ class Matcher:
     def lookup(self, word: str) -> tuple[str, int] | None:
         if word in self.odds:
             return word, 0
-        if allowed(word) and any(map(self.near.__contains__, _shortened(word))):
+        if allowed(word) and word not in self.model.clean and any(map(self.near.__contains__, _shortened(word))):
             return self.trie.within(word)
         return None
 
@@ -128,13 +134,15 @@ class Matcher:
         exact = wrong = quoted = odds = 0.0
         spans = [(m.start(), m.end()) for m in WORD.finditer(low)]
         opened = _quoted_stretches(low)
+        begins = [x for x, _ in opened]
         for i, w in enumerate(words):
             hit = known[w]
             if not hit:
                 continue
             a, b = spans[i]
             around = words[max(0, i - WINDOW) : i + WINDOW + 1]
-            if any(x <= a and b <= y for x, y in opened) or any(x in REPORTING for x in around):
+            at = bisect_right(begins, a) - 1  # stretches do not overlap
+            if (at >= 0 and b <= opened[at][1]) or any(x in REPORTING for x in around):
                 quoted += 1
                 continue
             odds += self.odds[hit[0]] * (1 if hit[1] == 0 else 0.6)
@@ -171,6 +179,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     are drawn by a hash of the id, the same on each run. A word is counted once for each different word before it,
     so that copies of one text count once. A term of the lexicon has at least ``min_contexts`` such contexts, and
     at least ``min_share`` for each toxic row, and is twenty times as frequent in toxic rows as in the others.
+    Words of clean rows that are one edit from a term are kept, so that they are not taken for it.
     Without rows of both kinds the model is empty and scores 0.
     """
     labelled = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(may_learn("id") & F.col("label").isin(0, 1)).groupBy("id").agg(F.max("label").alias("label"))
@@ -192,7 +201,16 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     terms = tuple(sorted((r["word"], float(r["odds"])) for r in top.orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "word").limit(lexicon_terms).collect()))
     if not terms:
         return Model((), (0.0,) * FEATURES + (math.log((n[1] + 0.5) / (n[0] + 0.5)),))
-    bare = docs.sparkSession.sparkContext.broadcast(Model(terms))  # at most lexicon_terms words
+    # words of clean rows that are near a term: at most what the edits of lexicon_terms words give
+    near = docs.sparkSession.sparkContext.broadcast(Model(terms))
+
+    def near_terms(found: list) -> list:
+        m = _matcher(near.value)
+        return [[w for w in found if w not in m.odds and m.known[w]]]
+
+    usual = words.filter("label = 0").select("word").distinct()
+    clean = frozenset(r["word"] for r in map_rows(usual, near_terms, [pa.field("word", pa.string())], "word string").collect())
+    bare = docs.sparkSession.sparkContext.broadcast(Model(terms, clean=clean))
 
     def rows(labels_: list, texts_: list) -> list:
         m = _matcher(bare.value)
@@ -202,7 +220,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = map_rows(sample.select("label", "text"), rows, fields, "label int, x array<double>").groupBy("label", "x").count().collect()
     x = np.array([[*r["x"], 1.0] for r in got])
     y = np.array([r["label"] for r in got], float)
-    return Model(terms, tuple(_fit(x, y, np.array([r["count"] for r in got], float))))
+    return Model(terms, tuple(_fit(x, y, np.array([r["count"] for r in got], float))), clean)
 
 
 def _fit(x: np.ndarray, y: np.ndarray, count: np.ndarray, ridge: float = 1.0) -> list[float]:
