@@ -20,6 +20,9 @@ from .secrets import _arrow_type
 
 UNDETERMINED = "und"
 BLOCK = 8192
+#: Bytes that the best dictionary must save over the next. On held-out rows of sf0.1 (634, labels with noise) none rejected:
+#: accuracy 98.9 %; 1 byte: 0.6 % rejected, 99.5 %; 2: 0.8 %, 99.7 %; 4: 1.3 %, 100 %. All that 2 rejects had been wrong.
+MIN_MARGIN = 2
 #: Short matches matter most for telling languages apart; the small tables keep a dictionary cheap to attach.
 PARAMETERS = zstandard.ZstdCompressionParameters(window_log=17, chain_log=14, hash_log=14, search_log=3, min_match=4, target_length=16, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_dict_id=False, write_checksum=False)
 #: A-Z to a-z, other ASCII but letters to a space: markup, digits and punctuation say nothing about the language.
@@ -30,14 +33,14 @@ def letters(text: str) -> bytes:
     return b" ".join(text.lower().encode("utf-8", "replace").translate(LETTERS).split())
 
 
-def learn_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dictionary_bytes: int = 32 << 10, sample_rows: int = 400, slice_chars: int = 256) -> dict[str, bytes]:
+def learn_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dictionary_bytes: int = 32 << 10, sample_rows: int = 160, slice_chars: int = 256) -> dict[str, bytes]:
     """Language to dictionary content, from a bounded sample of labelled rows.
 
     Only rows that may be learned from (see ``may_learn``) with text and language count. Of each language
-    about ``sample_rows`` rows are drawn by a hash of the id, the same rows on each run, and their texts are
-    strung together, each giving its first ``slice_chars`` letters and equal slices only once (so that neither a
-    group of copies nor one mislabelled row fills a dictionary), until ``dictionary_bytes`` is reached. The bounds
-    hold for any size of input. An empty table gives an empty dict.
+    about ``sample_rows`` rows are drawn by a hash of the id, the same rows on each run, and slices of their texts are
+    strung together: each gives ``slice_chars`` characters from a place anywhere in the text, chosen by a hash too,
+    and equal slices only once (so that neither a group of copies nor one mislabelled row fills a dictionary), until
+    ``dictionary_bytes`` is reached. The bounds hold for any size of input. An empty table gives an empty dict.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter(may_learn("id") & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -45,7 +48,8 @@ def learn_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return {}
     draw = F.pmod(F.xxhash64(F.col("id"), F.lit("dictionary")), F.lit(1 << 30)) / float(1 << 30)
     rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample_rows / n))])
-    drawn = rows.filter(draw < rate[F.col("lang")]).select("lang", draw.alias("draw"), F.substring("text", 1, slice_chars).alias("text")).collect()
+    first = F.pmod(F.xxhash64(F.col("id"), F.lit("slice")), F.greatest(F.length("text") - slice_chars + 1, F.lit(1))).cast("int") + 1
+    drawn = rows.filter(draw < rate[F.col("lang")]).select("lang", draw.alias("draw"), F.substr("text", first, F.lit(slice_chars)).alias("text")).collect()
     out: dict[str, bytes] = {}
     for lang in sorted(counts):
         parts, size = [], 0
@@ -92,7 +96,7 @@ def _identifier(items: tuple[tuple[str, bytes], ...]) -> Identifier:
     return Identifier(dict(items))
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text", min_margin: int = 1) -> DataFrame:
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text", min_margin: int = MIN_MARGIN) -> DataFrame:
     """One row per input row: id, predicted language, score, and whether the decision is rejected as too narrow.
 
     ``lang_pred`` is ``und`` (and rejected) for null texts, for texts without a letter and if no dictionary was
@@ -111,7 +115,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     return map_rows(docs.select(id_col, text_col), rows, fields, f"doc_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double, margin_bytes long, rejected boolean")
 
 
-def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", min_margin: int = 1) -> DataFrame:
+def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", min_margin: int = MIN_MARGIN) -> DataFrame:
     """``docs`` without the rows whose language decision is rejected; columns are unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(dictionaries.items())))
 
