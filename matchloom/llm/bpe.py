@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 from .common import map_rows
 from .secrets import _arrow_type
 
-LEAF = 32
+LEAF = 8
 MEMO = 400_000
+#: Children of a node of the tree that decodes.
+FAN = 16
 
 
 class Tokenizer:
@@ -119,15 +121,19 @@ class Tokenizer:
         return [int(x) for x in self.encode_text(text).split()]
 
     def decode(self, ids: list[int]) -> bytes:
-        """Concatenation up the tree: neighbours are joined pairwise until one stretch is left."""
-        parts = [self.bytes_of[i] for i in ids]
-        while len(parts) > 1:
-            parts = [b"".join(parts[i : i + 64]) for i in range(0, len(parts), 64)]
-        return parts[0] if parts else b""
+        """Concatenation up the tree."""
+        return self._up([self.bytes_of[i] for i in ids])
 
     def decode_text(self, ids: str) -> bytes:
         """``decode`` for the decimal form."""
-        return b"".join(map(self.bytes_of_text.__getitem__, ids.encode().split()))
+        return self._up([*map(self.bytes_of_text.__getitem__, ids.encode().split())])
+
+    @staticmethod
+    def _up(parts: list[bytes]) -> bytes:
+        """Neighbours are joined, ``FAN`` at each node, until one stretch is left."""
+        while len(parts) > 1:
+            parts = [b"".join(parts[i : i + FAN]) for i in range(0, len(parts), FAN)]
+        return parts[0] if parts else b""
 
 
 class _Memo(dict):
