@@ -11,6 +11,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import urllib.parse
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -20,13 +21,15 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import persisted, workspace
+from .common import drop_path, persisted, release, workspace
 from .secrets import _arrow_type
 
 STRETCH = 8 << 20
 GAP = 64 << 10
 #: Payloads below this size are always written in full.
 LEAST_SHARED = 100
+#: Bytes of payloads that are handed on at a time.
+HANDED = 16 << 20
 
 
 def open_store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -56,21 +59,39 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to) ->
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: {_urn(page_id, digest)}",
         "WARC-Date: 1970-01-01T00:00:00Z",
+        f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}",
         f"WARC-Payload-Digest: sha256:{digest}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
     ]
     if url is not None:
-        head.append("WARC-Target-URI: " + re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", url))
+        head.append(f"WARC-Target-URI: {_escaped(url)}")
     if revisit:
         head += [f"WARC-Refers-To: {_urn(refers_to, digest)}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     if page_id is not None:
-        head.append(f"X-Page-Id: {page_id}")
+        head.append(f"X-Page-Id: {_id_text(page_id)}")
     if revisit:
-        head.append(f"X-Refers-To-Page: {refers_to}")
+        head.append(f"X-Refers-To-Page: {_id_text(refers_to)}")
     return "\r\n".join(head).encode("utf-8", "replace") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def _escaped(text: str) -> str:
+    """Text for a header: what would end the line is percent-encoded."""
+    return re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", text)
+
+
+def _id_text(value) -> str:
+    """An id for a header; of texts, what is not printable and the percent sign are encoded, so that reading gives them back."""
+    return urllib.parse.quote(value, safe="/:;,?@&=+$-_.!~*'()# ") if isinstance(value, str) else str(value)
+
+
+def about() -> bytes:
+    """The record at the beginning of an archive."""
+    block = b"software: matchloom\r\nformat: WARC File Format 1.1\r\n"
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", "WARC-Date: 1970-01-01T00:00:00Z", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
 def _urn(page_id, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id}:{digest}')}>"
 
@@ -110,6 +131,9 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
                             fs, base = open_store(folder)
                             fs.create_dir(base, recursive=True)
                             out = fs.open_output_stream(f"{base}/{name.rpartition('/')[2]}", compression=None)
+                            first = gzip.compress(about(), 5, mtime=0)
+                            out.write(first)
+                            at = len(first)
                         data = gzip.compress(record(r["page_id"], r["url"], r["payload"], r["digest"], r["refers_to"]), 5, mtime=0)
                         out.write(data)
                         rows.append({"page_id": r["page_id"], "url": r["url"], "record_type": "response" if r["refers_to"] is None else "revisit", "refers_to": r["refers_to"], "payload_digest": r["digest"], "file": name, "offset": at, "length": len(data)})
@@ -135,33 +159,37 @@ def read_records(selected: DataFrame, with_payload: bool = True, gap: int = GAP,
     schema = pa.schema(fields)
 
     def value(x: str | None):
-        return None if x is None else x if whole else int(x)
+        return None if x is None else urllib.parse.unquote(x) if whole else int(x)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[tuple[str, int, int]] = []
         handle: dict = {}
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             file, start = pending[0][0], pending[0][1]
             if handle.get("name") != file:
                 fs, path = open_store(file)
                 handle.update(name=file, file=fs.open_input_file(path))
             data = handle["file"].read_at(pending[-1][1] + pending[-1][2] - start, start)
-            rows = []
+            rows, size = [], 0
             for _, offset, length in pending:
                 headers, payload = parse(zlib.decompress(data[offset - start : offset - start + length], 31))
                 response = headers["warc-type"] == "response"
                 rows.append({"page_id": value(headers.get("x-page-id")), "url": headers.get("warc-target-uri"), "record_type": headers["warc-type"], "refers_to": value(headers.get("x-refers-to-page")), "payload_digest": hashlib.sha256(payload).hexdigest() if response else headers["warc-payload-digest"].removeprefix("sha256:"), "payload_bytes": len(payload) if response else None, "payload": payload if response and with_payload else None})
+                size += len(payload) if with_payload else 0
+                if size >= HANDED:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows, size = [], 0
             pending.clear()
-            return pa.RecordBatch.from_pylist(rows, schema=schema)
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
         for batch in batches:
             for file, offset, length in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if pending and (file != pending[0][0] or offset - (pending[-1][1] + pending[-1][2]) > gap or offset + length - pending[0][1] > most):
-                    yield flush()
+                    yield from flush()
                 pending.append((file, offset, length))
         if pending:
-            yield flush()
+            yield from flush()
 
     dealt = selected.select("file", "offset", "length").withColumn("stretch", F.expr(f"offset div {most}")).repartition("file", "stretch").sortWithinPartitions("file", "offset").select("file", "offset", "length")
     return dealt.mapInArrow(read, f"page_id {kind}, url string, record_type string, refers_to {kind}, payload_digest string, payload_bytes long, payload binary")
@@ -170,9 +198,14 @@ def read_records(selected: DataFrame, with_payload: bool = True, gap: int = GAP,
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` as archives, read all of them back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    The size of a revisit's payload is that of the response with its digest, as read.
+    The size of a revisit's payload is that of the response with its digest, as read. The archives are deleted once
+    they have been read.
     """
-    got = persisted(read_records(write_archives(pages), with_payload=False).drop("payload"), "warc-read")
+    folder = workspace(pages.sparkSession, "warc")
+    index = write_archives(pages, folder=folder)
+    got = persisted(read_records(index, with_payload=False).drop("payload"), "warc-read")
+    release(index)
+    drop_path(pages.sparkSession, folder)
     full = got.filter("record_type = 'response'").groupBy(F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("full_bytes"))
     revisits = got.filter("record_type = 'revisit'")
     revisits = revisits.join(full, revisits["payload_digest"] == full["digest"], "left")
