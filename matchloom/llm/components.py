@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import persisted
+from .common import persisted, release
 
 
 def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -24,7 +24,8 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = persisted(moved.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
+        last, e = e, persisted(moved.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
+        release(last)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 

@@ -106,7 +106,9 @@ def links(distinct: DataFrame) -> DataFrame:
 
     ``distinct`` has each fingerprint once, in ``fp``.
     """
-    placed = distinct.select("fp", bit_counts(F.col("fp")).alias("cell"))
+    # what is stored may come back in a few parts, and each fingerprint goes to 33 cells
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = distinct.repartition(parts, "fp").select("fp", bit_counts(F.col("fp")).alias("cell"))
     met = placed.select("fp", F.explode(_cells(F.col("fp"), F.col("cell"))).alias("c")).select("fp", "c.cell", "c.near")
     shared = met.select("cell", "fp").groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("cell")
     values = met.join(shared, "cell", "left_semi").select("fp", F.explode("near").alias("value"))
