@@ -57,6 +57,7 @@ def test_assignment_is_greedy(spark):
             tb.add(d[2])
             want.append((1, d[1], d[2]))
     assert rows(mapping.assign(df)) == sorted(want, key=repr)
+    assert rows(mapping.assign(df, most=5)) == sorted(want, key=repr)
 
 
 def test_fixed_window(spark):
