@@ -1,11 +1,16 @@
-"""Exact top-k search: an inverted index with block-max pruning for BM25.
-
-Documents are dealt into shards of bounded size; each shard is an inverted index of its own, kept as one
-row of a table in the shared folder. Document frequencies and lengths are summed over all shards, so each
-shard scores with the same global statistics and the shards' best k can be merged exactly. Within a shard,
-documents stand in blocks; the sum, over a query's terms, of the largest contribution that a term makes in
-a block bounds the score of each document there. Blocks are taken by falling bound, and those whose bound
-is below the k-th best score so far are never scored.
+"""Exact top-k search: an inverted index with block-max WAND pruning for BM25.
+
+Documents are gathered into shards of a bounded number of postings; each shard is an inverted index of its own,
+kept as one row of a table in the shared folder. Document frequencies and lengths are summed over all shards, so
+each shard scores with the same global statistics and the shards' best k can be merged exactly. Within a shard,
+like documents stand together, in blocks, and each term knows its largest contribution in each of its blocks.
+
+WAND parts a query's terms at the pivot: the frequent ones, whose weights are low, cannot lift a document on their
+own. The postings of the others are decoded; what they give a document, plus the sum of the frequent terms' block
+maxima, bounds the score of the documents of a block. Only where the bound of a stretch of blocks reaches the k-th
+best score so far are the frequent terms' contributions added, beginning with the stretch of the highest bound; all
+other stretches are skipped. Many queries are taken at a time, and frequent terms are kept as rows of a matrix (of
+bounded size), so that bounds and scores are products of matrices.
 """
 
 from __future__ import annotations
@@ -18,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import persisted
+from .common import map_rows, persisted
 from .licenses import WORD_BYTES
 from .secrets import _arrow_type
 
 K1, B = 1.2, 0.75
-BLOCK = 64
+#: Documents of a block, blocks of a stretch, and the share of the documents that makes a term frequent.
+BLOCK, STRETCH, FREQUENT = 64, 8, 1 / 32
+#: Numbers in the matrix of frequent terms, and in that of the scores of some queries.
+DENSE, SCORES = 6_000_000, 2_000_000
 DIGITS = 6
 
 
@@ -35,28 +43,37 @@ def words(text: str | None) -> list[bytes]:
 SHARD = "ids binary, lengths binary, terms binary, ends binary, docs binary, tfs binary"
 
 
-def build_shards(docs: DataFrame, shard_docs: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per shard: ids and lengths of its documents, sorted terms, ends of the posting lists, and the postings."""
-    shards = max(1, -(-docs.count() // shard_docs))
+def build_shards(docs: DataFrame, shard_postings: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per shard: ids and lengths of its documents, sorted terms, ends of the posting lists, and the postings.
+
+    Each task makes shards of the documents that it reads, without a shuffle; a shard ends once it has
+    ``shard_postings`` postings. Documents are ordered by their most frequent word, then by length.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, lengths, number, term_of, doc_of, tf_of = [], [], {}, [], [], []
+        ids, lengths, keys, number, term_of, doc_of, tf_of = [], [], [], {}, [], [], []
 
         def shard() -> pa.RecordBatch:
             terms = sorted(number)
-            place = np.empty(len(terms), np.int64)
-            place[[number[t] for t in terms]] = np.arange(len(terms))
-            term = place[np.concatenate(term_of)] if terms else np.zeros(0, np.int64)
-            doc = np.repeat(np.arange(len(ids)), doc_of).astype(np.uint32)
-            order = np.argsort(term, kind="stable")
+            place = np.empty(len(terms), np.int32)
+            place[[number[t] for t in terms]] = np.arange(len(terms), dtype=np.int32)
+            by_key = sorted(range(len(ids)), key=keys.__getitem__)
+            at = np.empty(len(ids), np.uint32)
+            at[by_key] = np.arange(len(ids), dtype=np.uint32)
+            term = place[np.concatenate(term_of)] if terms else np.zeros(0, np.int32)
+            doc = np.repeat(at, doc_of)
+            order = np.lexsort((doc, term))
+            ends = np.cumsum(np.bincount(term, minlength=len(terms))).astype(np.int64)
             tf = np.concatenate(tf_of) if terms else np.zeros(0, np.uint32)
-            held = (pa.array(ids, id_type), np.array(lengths, np.uint32), b" ".join(terms), np.cumsum(np.bincount(term, minlength=len(terms))).astype(np.int64), doc[order], tf[order].astype(np.uint32))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, pa.schema([pa.field("id", id_type)])) as w:
-                w.write_batch(pa.RecordBatch.from_arrays([held[0]], ["id"]))
-            values = [sink.getvalue().to_pybytes(), *(x if isinstance(x, bytes) else x.tobytes() for x in held[1:])]
+                w.write_batch(pa.RecordBatch.from_arrays([pa.array([ids[i] for i in by_key], id_type)], ["id"]))
+            arrays = (np.array(lengths, np.uint32)[by_key], ends, doc[order], tf[order])
+            size, ends, doc, tf = (x.tobytes() for x in arrays)
+            values = (sink.getvalue().to_pybytes(), size, b" ".join(terms), ends, doc, tf)
             return pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], [f.split()[0] for f in SHARD.split(", ")])
 
+        held = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -65,17 +82,19 @@ def build_shards(docs: DataFrame, shard_docs: int, id_col: str, text_col: str) -
                     count = Counter(found)
                     ids.append(i)
                     lengths.append(len(found))
-                    term_of.append(np.fromiter((number.setdefault(t, len(number)) for t in count), np.int64, len(count)))
+                    keys.append((min(((-n, t) for t, n in count.items()), default=(0, b""))[1], len(found)))
+                    term_of.append(np.fromiter((number.setdefault(t, len(number)) for t in count), np.int32, len(count)))
                     tf_of.append(np.fromiter(count.values(), np.uint32, len(count)))
                     doc_of.append(len(count))
-                    if len(ids) >= 2 * shard_docs:  # the dealing was uneven: start another shard
+                    held += len(count)
+                    if held >= shard_postings:
                         yield shard()
-                        ids, lengths, number, term_of, doc_of, tf_of = [], [], {}, [], [], []
+                        ids, lengths, keys, number, term_of, doc_of, tf_of, held = [], [], [], {}, [], [], [], 0
         if ids:
             yield shard()
 
     id_type = _arrow_type(docs, id_col)
-    return docs.select(id_col, text_col).repartition(shards, id_col).mapInArrow(build, SHARD)
+    return docs.select(id_col, text_col).mapInArrow(build, SHARD)
 
 
 def _ids(blob: bytes) -> list:
@@ -110,69 +129,87 @@ def collection_size(index: DataFrame) -> tuple[int, float]:
 
 
 class Shard:
+    """An index in memory. ``visited`` counts the stretches that queries had scored, ``possible`` those that there are for them."""
+
     def __init__(self, ids: bytes, lengths: bytes, terms: bytes, ends: bytes, docs: bytes, tfs: bytes, mean: float):
-        self.ids = _ids(ids)
+        self.ids, self.visited, self.possible = _ids(ids), 0, 0
+        n = self.size = len(self.ids)
         # nulls after all others where scores tie
-        self.place = np.empty(len(self.ids), np.int64)
-        self.place[sorted(range(len(self.ids)), key=lambda i: (self.ids[i] is None, self.ids[i] if self.ids[i] is not None else 0))] = np.arange(len(self.ids))
+        self.place = np.empty(n, np.int64)
+        self.place[sorted(range(n), key=lambda i: (self.ids[i] is None, self.ids[i] if self.ids[i] is not None else 0))] = np.arange(n)
         self.number = {t: i for i, t in enumerate(terms.split(b" "))} if terms else {}
         self.ends = np.frombuffer(ends, np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
-        self.docs = np.frombuffer(docs, np.uint32).astype(np.int64)
+        self.docs = np.frombuffer(docs, np.uint32)
         tf = np.frombuffer(tfs, np.uint32).astype(np.float64)
         norm = K1 * (1 - B + B * np.frombuffer(lengths, np.uint32) / (mean or 1.0))
         self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
-        # one entry for each term and block in which it occurs: the largest contribution there
-        block = self.docs // BLOCK
-        fresh = np.ones(len(block), bool)
-        fresh[1:] = block[1:] != block[:-1]
-        fresh[self.starts[self.starts < len(block)]] = True
-        first = np.flatnonzero(fresh)
-        self.block_of = block[first]
-        self.block_max = np.maximum.reduceat(self.impact, first) if len(first) else self.impact
-        self.block_starts, self.block_ends = np.searchsorted(first, self.starts), np.searchsorted(first, self.ends)
-        self.blocks = -(-len(self.ids) // BLOCK)
-
-    def _scores(self, terms: np.ndarray, idf: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) of the chosen blocks; terms are added up in one fixed order."""
-        at, n = _ranges(self.starts[terms], self.ends[terms])
-        weight = np.repeat(idf, n)
-        take = chosen[self.docs[at] // BLOCK]
-        docs, part = self.docs[at[take]], (self.impact[at] * weight)[take]
-        total = np.bincount(docs, weights=part, minlength=len(self.ids))
-        docs = np.flatnonzero(total > 0)
-        return docs, np.round(total[docs], DIGITS)
-
-    def top(self, query: list[bytes], idf: np.ndarray, k: int) -> list[tuple[object, float]]:
-        """The k best (score falling, then id) of this shard, as (id, score)."""
-        known = [(self.number[t], w) for t, w in zip(query, idf, strict=True) if t in self.number]
-        if not known:
-            return []
-        terms = np.array([t for t, _ in known])
-        weights = np.array([w for _, w in known])
-        at, n = _ranges(self.block_starts[terms], self.block_ends[terms])
-        bound = np.bincount(self.block_of[at], weights=self.block_max[at] * np.repeat(weights, n), minlength=self.blocks)
-        alive = np.flatnonzero(bound > 0)
-        by_bound = alive[np.argsort(-bound[alive], kind="stable")]
-        docs, scores = np.zeros(0, np.int64), np.zeros(0)
-        done, step = 0, 4
-        while done < len(by_bound):
-            floor = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
-            # a bound that only equals the floor may still hold a tie with a smaller id
-            batch = [b for b in by_bound[done : done + step] if bound[b] >= floor - 10.0**-DIGITS]
-            if not batch:
-                break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[batch] = True
-            d, s = self._scores(terms, weights, chosen)
-            docs, scores = np.concatenate([docs, d]), np.concatenate([scores, s])
-            if len(docs) > k:
-                best = np.lexsort((self.place[docs], -scores))[:k]
-                docs, scores = docs[best], scores[best]
-            done += step
-            step *= 4
-        best = np.lexsort((self.place[docs], -scores))[:k]
-        return [(self.ids[docs[i]], float(scores[i])) for i in best]
+        df = self.ends - self.starts
+        frequent = np.flatnonzero(df >= FREQUENT * n)
+        frequent = frequent[np.argsort(-df[frequent], kind="stable")][: max(1, DENSE // max(1, n))]
+        self.row = np.full(len(df), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.blocks = -(-n // BLOCK)
+        self.stretches = -(-self.blocks // STRETCH)
+        self.dense = np.zeros((len(frequent), self.blocks * BLOCK))
+        for r, t in enumerate(frequent):
+            self.dense[r, self.docs[self.starts[t] : self.ends[t]]] = self.impact[self.starts[t] : self.ends[t]]
+        self.block_max = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(axis=2) if n else self.dense
+
+    def top(self, queries: list[tuple[list[bytes], np.ndarray]], k: int) -> list[list[tuple[object, float]]]:
+        """For each query (terms and weights) the k best (score falling, then id) of this shard, as (id, score)."""
+        out, step = [], max(1, SCORES // max(1, self.blocks * BLOCK))
+        for at in range(0, len(queries), step):
+            out += self._some(queries[at : at + step], k)
+        return out
+
+    def _some(self, queries: list[tuple[list[bytes], np.ndarray]], k: int) -> list[list[tuple[object, float]]]:
+        m, width = len(queries), self.blocks * BLOCK
+        term = np.array([self.number.get(t, -1) for terms, _ in queries for t in terms], np.int64)
+        query = np.repeat(np.arange(m), [len(terms) for terms, _ in queries])
+        weight = np.concatenate([np.asarray(w, np.float64) for _, w in queries])
+        query, weight, term = query[term >= 0], weight[term >= 0], term[term >= 0]
+        if not len(term):
+            return [[] for _ in range(m)]
+        row = self.row[term]
+        often = row >= 0
+        weights = np.zeros((m, len(self.dense)))
+        weights[query[often], row[often]] = weight[often]
+        at, n = _ranges(self.starts[term[~often]], self.ends[term[~often]])
+        cell = np.repeat(query[~often] * width, n) + self.docs[at]
+        partial = np.bincount(cell, weights=self.impact[at] * np.repeat(weight[~often], n), minlength=m * width).reshape(m, width)
+        bound = partial.reshape(m, self.blocks, BLOCK).max(axis=2) + weights @ self.block_max
+        bound = np.pad(bound, ((0, 0), (0, self.stretches * STRETCH - self.blocks))).reshape(m, self.stretches, STRETCH).max(axis=2)
+        best = np.zeros((m, k))  # the k best scores so far
+        hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def visit(rows: np.ndarray, stretch: int) -> None:
+            a, b = stretch * STRETCH * BLOCK, min(width, (stretch + 1) * STRETCH * BLOCK)
+            scores = np.round(partial[rows, a:b] + weights[rows] @ self.dense[:, a:b], DIGITS)
+            here = np.partition(scores, -k, axis=1)[:, -k:] if b - a > k else scores
+            best[rows] = np.partition(np.concatenate([best[rows], here], axis=1), -k, axis=1)[:, -k:]
+            r, d = np.nonzero((scores >= best[rows].min(axis=1)[:, None]) & (scores > 0))
+            hits.append((rows[r], d + a, scores[r, d]))
+            self.visited += len(rows)
+
+        first = bound.argmax(axis=1)
+        self.possible += m * self.stretches
+        for s in np.unique(first):
+            visit(np.flatnonzero(first == s), int(s))
+        for s in np.argsort(-bound.sum(axis=0), kind="stable"):
+            # a bound that only equals the k-th best score may still hold a tie with a smaller id
+            rows = np.flatnonzero((bound[:, s] >= best.min(axis=1) - 10.0**-DIGITS) & (bound[:, s] > 0) & (first != s))
+            if len(rows):
+                visit(rows, int(s))
+        rows, docs, scores = (np.concatenate(x) for x in zip(*hits, strict=True))
+        keep = scores >= best.min(axis=1)[rows]
+        rows, docs, scores = rows[keep], docs[keep], scores[keep]
+        order = np.lexsort((self.place[docs], -scores, rows))
+        out: list[list[tuple[object, float]]] = [[] for _ in range(m)]
+        for i in order:
+            if len(out[rows[i]]) < k:
+                out[rows[i]].append((self.ids[docs[i]], float(scores[i])))
+        return out
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,56 +218,60 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(n.sum()) + np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n), n
 
 
-def query_table(queries: DataFrame, frequencies: DataFrame, total: int, id_col: str, text_col: str, terms: int | None, least_df: int) -> DataFrame:
-    """(query_id, terms, idfs): each query's words, sorted, packed, with their weights."""
+def query_table(queries: DataFrame, frequencies: DataFrame, total: int, id_col: str, text_col: str) -> DataFrame:
+    """(query_id, n, terms, idfs): each query's distinct words, sorted, with their weights, both packed."""
     kind, id_type = queries.schema[id_col].dataType.simpleString(), _arrow_type(queries, id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                counts = [Counter(words(t)) for t in part.column(1).to_pylist()]
-                take = pa.array(np.repeat(np.arange(part.num_rows), [len(c) for c in counts]))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array([t for c in counts for t in c], pa.binary()), pa.array([n for c in counts for n in c.values()], pa.int64())], schema=pa.schema([pa.field("query_id", id_type), pa.field("term", pa.binary()), pa.field("tf", pa.int64())]))
+                found = [sorted(set(words(t))) for t in part.column(1).to_pylist()]
+                take = pa.array(np.repeat(np.arange(part.num_rows), [len(c) for c in found]))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array([t for c in found for t in c], pa.binary())], schema=pa.schema([pa.field("query_id", id_type), pa.field("term", pa.binary())]))
+
+    def packed(ids: list, terms: list) -> list:
+        return [ids, [len(x) for x in terms], [b" ".join(t["term"] for t in x) for x in terms], [np.array([t["idf"] for t in x]).tobytes() for x in terms]]
 
-    found = queries.select(id_col, text_col).mapInArrow(run, f"query_id {kind}, term binary, tf long").groupBy("query_id", "term").agg(F.sum("tf").alias("tf"))
+    found = queries.select(id_col, text_col).mapInArrow(run, f"query_id {kind}, term binary").distinct()
     idf = F.log(1 + (total - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighed = found.join(frequencies.filter(F.col("df") >= least_df), "term").withColumn("idf", idf)
-    if terms is not None:
-        best = Window.partitionBy("query_id").orderBy(F.desc(F.round(F.col("tf") * F.col("idf"), 9)), "term")
-        weighed = weighed.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= terms)
-    return weighed.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", "idf"))).alias("terms"))
+    grouped = found.join(frequencies, "term").groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", idf.alias("idf")))).alias("terms"))
+    fields = [pa.field("query_id", id_type), pa.field("n", pa.int64()), pa.field("terms", pa.binary()), pa.field("idfs", pa.binary())]
+    return map_rows(grouped, packed, fields, f"query_id {kind}, n long, terms binary, idfs binary")
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", query_terms: int | None = 24, least_df: int = 2, shard_docs: int = 16_384, block_terms: int = 2_000_000) -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", shard_postings: int = 4_000_000, block_terms: int = 1_500_000) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best rows of ``docs`` for each row of ``queries``, by BM25.
 
-    A query is made of the ``query_terms`` words of its whole text with the largest tf x idf (None: all words),
-    among those that occur in at least ``least_df`` documents; ties of scores, rounded to six digits, go to the
-    smaller id, ids of null last. Rows of ``queries`` with the same id are one query; a query without such words
-    has no result. Each row of ``docs`` is a document. Queries are taken in blocks of about ``block_terms``
-    words, which bounds what is broadcast; the index is read once for each block.
+    A query is made of all distinct words of its whole text that occur in ``docs``. Ties of scores, rounded to six
+    digits, go to the smaller id, ids of null last. Rows of ``queries`` with the same id are one query; a query
+    without such words has no result, and an empty table on either side gives an empty result. Each row of ``docs`` is
+    a document; null texts have no words. Queries are taken in blocks of about ``block_terms`` words, packed, which
+    bounds what is broadcast; the index is read once for each block.
     """
     spark = docs.sparkSession
-    index = persisted(build_shards(docs, shard_docs, id_col, text_col), "index")
+    index = persisted(build_shards(docs, shard_postings, id_col, text_col), "index")
     total, mean = collection_size(index)
-    table = persisted(query_table(queries, term_frequencies(index), total, id_col, text_col, query_terms, least_df), "queries")
-    blocks = max(1, -(-int(table.agg(F.sum(F.size("terms"))).first()[0] or 0) // block_terms))
+    table = persisted(query_table(queries, term_frequencies(index), total, id_col, text_col), "queries")
+    blocks = max(1, -(-int(table.agg(F.sum("n")).first()[0] or 0) // block_terms))
     kind, id_type = docs.schema[id_col].dataType.simpleString(), _arrow_type(docs, id_col)
     query_kind, query_type = queries.schema[id_col].dataType.simpleString(), _arrow_type(queries, id_col)
     schema = pa.schema([pa.field("query_id", query_type), pa.field("doc_id", id_type), pa.field("score", pa.float64())])
 
     def scored(block: int) -> DataFrame:
-        rows = table.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        held = spark.sparkContext.broadcast([(r["query_id"], [bytes(t["term"]) for t in r["terms"]], np.array([t["idf"] for t in r["terms"]])) for r in rows.collect()])
+        rows = table.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).toArrow()
+        held = spark.sparkContext.broadcast([x.to_pylist() if c == "query_id" else [bytes(v.as_buffer()) for v in x] for c, x in zip(rows.column_names, rows.columns, strict=True) if c != "n"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
                     shard = Shard(*(c[i].as_py() for c in batch.columns), mean)
-                    out = [(q, d, s) for q, terms, idf in held.value for d, s in shard.top(terms, idf, k)]
-                    q, d, s = zip(*out, strict=True) if out else ((), (), ())
-                    yield pa.RecordBatch.from_arrays([pa.array(q, query_type), pa.array(d, id_type), pa.array(s, pa.float64())], schema=schema)
+                    for at in range(0, len(held.value[0]), 512):
+                        some, terms, idfs = (x[at : at + 512] for x in held.value)
+                        found = shard.top([(t.split(b" "), np.frombuffer(w)) for t, w in zip(terms, idfs, strict=True)], k)
+                        out = [(q, d, s) for q, best in zip(some, found, strict=True) for d, s in best]
+                        q, d, s = zip(*out, strict=True) if out else ((), (), ())
+                        yield pa.RecordBatch.from_arrays([pa.array(q, query_type), pa.array(d, id_type), pa.array(s, pa.float64())], schema=schema)
 
         return index.mapInArrow(run, f"query_id {query_kind}, doc_id {kind}, score double")
 
@@ -254,10 +295,7 @@ WITH docs AS (
 ), stats AS (SELECT count(*) AS total, avg(len(w)) AS mean FROM docs),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM docs) GROUP BY ALL),
 df AS (SELECT term, count(*) AS df, ln(1 + (any_value(total) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, stats GROUP BY term),
-q AS (
-  SELECT doc_id AS query_id, term, idf FROM (
-    SELECT doc_id, term, idf, row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf, 9) DESC, encode(term)) AS nth
-    FROM tf JOIN df USING (term) WHERE doc_id % 50 = 0 AND df >= 2) WHERE nth <= 24
+q AS (SELECT doc_id AS query_id, term, idf FROM tf JOIN df USING (term) WHERE doc_id % 50 = 0
 ), scored AS (
   SELECT query_id, tf.doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(w) / mean))), 6) AS score
   FROM q JOIN tf USING (term) JOIN docs ON docs.doc_id = tf.doc_id, stats GROUP BY query_id, tf.doc_id

@@ -40,7 +40,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return bm25.search(docs, bm25.every_fiftieth(docs), query_terms=None, least_df=1)
+    return bm25.search(docs, bm25.every_fiftieth(docs))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +72,4 @@ FROM d LEFT JOIN f USING (digest)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_topk_search": bm25.ORACLE_SQL, "op9_warc": OP9_SQL}
+    return {"op1_substring_dedup": substrings.ORACLE_SQL, "op7_topk_search": bm25.ORACLE_SQL, "op9_warc": OP9_SQL, "op10_decontamination": decontaminate.ORACLE_SQL}

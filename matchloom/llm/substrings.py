@@ -29,7 +29,7 @@ from .common import drop_path, map_rows, persisted, workspace
 from .secrets import _arrow_type
 
 GRAM = 8
-MEMO = 300_000
+MEMO = 150_000
 PIECE = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -357,3 +357,14 @@ def _by_id(rows: DataFrame, batches: int) -> list[DataFrame]:
             cond &= F.col("doc_id") <= high
         out.append(rows.filter(cond))
     return out
+
+
+ORACLE_SQL = """
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+windows AS (SELECT doc_id, s, array_to_string(w[s + 1 : s + 20], ' ') AS k FROM d, LATERAL (SELECT unnest(range(len(w) - 19)) AS s)),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM windows) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM later, LATERAL (SELECT unnest(range(s, s + 20)) AS p)),
+spread AS (SELECT doc_id, p, w[p + 1] AS word FROM d, LATERAL (SELECT unnest(range(len(w))) AS p)),
+kept AS (SELECT s.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY s.p) AS line FROM spread s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.p = s.p WHERE g.p IS NULL GROUP BY s.doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(line, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -4,10 +4,10 @@ import collections
 import math
 import random
 
-from test_operators import DOCS
-
 from matchloom.llm import bm25, queries
 
+from .test_operators import DOCS
+
 
 def test_whole_texts(spark, tmp_path):
     r = random.Random(9)
