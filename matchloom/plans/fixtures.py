@@ -34,7 +34,7 @@ VIEWS = {
     "observation": "SELECT l_suppkey AS hotel_id, l_partkey % 40 AS room_no, l_linenumber AS shape, l_orderkey AS seq, l_quantity AS richness, l_returnflag AS flag FROM {lineitem}",
     "probe": "SELECT user_id AS hotel_id, CAST(event_id % 12 AS INT) AS shape, event_type, CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'unavailable' ELSE 'ok' END AS outcome, CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE CAST(floor(value) AS BIGINT) % 4 END AS n_rooms, event_id FROM {events}",
     "log": "SELECT user_id AS hotel_id, CASE WHEN event_type = 'purchase' THEN 'resolved' ELSE event_type END AS reason, ts AS happened, event_id AS row_id FROM {events}",
-    "candidate": "SELECT s_suppkey AS hotel_id, c_custkey AS cand_id, CASE c_custkey % 4 WHEN 0 THEN s_name WHEN 1 THEN s_name || CASE WHEN c_custkey % 8 = 1 THEN ' Dubai' ELSE ' Abu Dhabi' END WHEN 2 THEN 'The ' || c_mktsegment || ' ' || s_name ELSE c_name END AS cand_name, CASE WHEN c_custkey % 5 = 0 THEN -1 ELSE c_nationkey END AS cand_city, CASE WHEN c_custkey % 6 > 0 THEN CAST(25.0 + (s_suppkey % 97) * 0.001 + (c_custkey % 13) * 0.0007 AS DOUBLE) END AS cand_lat, CASE WHEN c_custkey % 6 > 0 THEN CAST(55.0 + (s_suppkey % 89) * 0.001 AS DOUBLE) END AS cand_lon, c_custkey % 7 = 0 AS is_private, CAST(c_custkey % 3 AS INT) AS variant FROM {supplier} JOIN {customer} ON s_nationkey = c_nationkey",
+    "candidate": "SELECT s_suppkey AS hotel_id, c_custkey AS cand_id, CASE WHEN s_suppkey % 5 = 4 THEN s_name || ' Tower Residences' WHEN s_suppkey % 10 = 3 THEN s_name || ' Unit ' || CAST(c_custkey % 9 AS STRING) WHEN c_custkey % 4 = 0 THEN s_name WHEN c_custkey % 4 = 1 THEN s_name || CASE WHEN c_custkey % 8 = 1 THEN ' Dubai' ELSE ' Abu Dhabi' END WHEN c_custkey % 4 = 2 THEN 'The ' || c_mktsegment || ' ' || s_name ELSE c_name END AS cand_name, CASE WHEN s_suppkey % 5 = 4 OR c_custkey % 5 = 0 THEN -1 ELSE c_nationkey END AS cand_city, CASE WHEN s_suppkey % 5 = 4 THEN CAST(27.0 + (c_custkey % 13) * 0.0007 AS DOUBLE) WHEN c_custkey % 6 > 0 THEN CAST(25.0 + (s_suppkey % 97) * 0.001 + (c_custkey % 13) * 0.0007 AS DOUBLE) END AS cand_lat, CASE WHEN s_suppkey % 5 = 4 OR c_custkey % 6 > 0 THEN CAST(55.0 + (s_suppkey % 89) * 0.001 AS DOUBLE) END AS cand_lon, s_suppkey % 10 = 3 OR c_custkey % 7 = 0 AS is_private, CAST(c_custkey % 3 AS INT) AS variant FROM {supplier} JOIN {customer} ON s_nationkey = c_nationkey",
 }
 
 
