@@ -1,14 +1,15 @@
 """Each stage of the pipeline on its own input, and the pipeline as a whole, against plain Python."""
 
-import collections
 import random
 
 import pytest
-from test_operators import DOCS, brute_fingerprint, prose
 
 import corpus_pipeline
 from matchloom.llm import bpe, langid, secrets
 
+from .test_nearcopies import brute, edited
+from .test_operators import DOCS, prose
+
 
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
@@ -17,6 +18,7 @@ def folder(spark, tmp_path_factory):
     items = [(i, prose(25, r)) for i in range(8)]
     rows = [(i, prose(r.randint(10, 90), r), "en" if i % 3 else "xx", "s", 1) for i in range(80)]
     rows += [(100 + k, rows[k][1], "en", "s", 1) for k in (2, 2, 5)]
+    rows += [(110 + k, edited(rows[k][1], r, 1), "en", "s", 1) for k in range(20, 26)]  # near copies
     rows += [(200 + k, f"{prose(5, r)} {items[k][1]} {prose(7, r)}", "en", "s", 1) for k in range(4)]
     rows += [(300, f"key password=abcdefgh12 {prose(20, r)}", "en", "s", 1), (301, None, "en", "s", 0), (302, "12 34 !!", "en", "s", 1), (303, "", None, None, None), (None, prose(30, r), None, None, None)]
     spark.createDataFrame(rows, DOCS).write.parquet(f"{where}/documents.parquet")
@@ -31,29 +33,10 @@ def test_stages_and_run(spark, folder):
     kept = []
     for row in rows:
         lang, _, margin, _ = model.predict(row[1])
-        if lang != "und" and margin >= 1:
+        if lang != "und" and margin >= langid.MIN_MARGIN:
             kept.append(row)
-    seen = collections.defaultdict(list)
-    for row in kept:
-        seen[brute_fingerprint(row[1])].append(row)
-    fps = list(seen)
-    group = {f: f for f in fps}
-
-    def root(f):
-        while group[f] != f:
-            f = group[f]
-        return f
-
-    for a in fps:
-        for b in fps:
-            if bin(a ^ b).count("1") <= 2:
-                group[root(a)] = root(b)
-    least = {}
-    for f in fps:
-        for row in seen[f]:
-            if row[0] is not None:
-                least[root(f)] = min(row[0], least.get(root(f), row[0]))
-    kept = [row for f in fps for row in seen[f] if row[0] is None or row[0] == least[root(f)]]
+    stays = brute(kept)
+    kept = [row for row in kept if (row[0], row[1]) in stays]
     kept = [row for row in kept if not any(text in (row[1] or "") for _, text in items)]
     want = {row[0]: bpe.tokenizer(*bpe.default_vocabulary()).encode(secrets.redact(row[1])) for row in kept}
     got = {x.doc_id: list(x.token_ids) for x in corpus_pipeline.run(spark, where).collect()}
