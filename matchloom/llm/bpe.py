@@ -25,10 +25,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import map_rows
+from .common import map_rows, with_mapped
 from .secrets import _arrow_type
 
-LEAF = 8
+LEAF = 32
+#: Stretches, and pairs of tokens, that a worker remembers.
 MEMO = 400_000
 #: Children of a node of the tree that decodes.
 FAN = 16
@@ -193,28 +194,22 @@ def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def encode(docs: DataFrame, text_col: str = "text", out_col: str = "token_ids", rank_file: str | None = None, pattern: str | None = None) -> DataFrame:
     """``docs`` with an array column of token ids (null text: empty array)."""
-    from pyspark.sql import functions as F
-
     file, pat = (rank_file, pattern) if rank_file else default_vocabulary()
     pat = pattern or pat
 
-    @F.pandas_udf("array<int>")
-    def ids(texts):
+    def ids(texts: list) -> list:
         t = tokenizer(file, pat)
-        return texts.map(lambda x: np.array(t.encode_text(x if isinstance(x, str) else "").split(), np.int32))
+        return [np.array(t.encode_text(x).split(), np.int32) for x in texts]
 
-    return docs.withColumn(out_col, ids(text_col))
+    return with_mapped(docs, text_col, ids, out_col, pa.list_(pa.int32()), "array<int>")
 
 
 def decode(docs: DataFrame, ids_col: str = "token_ids", out_col: str = "decoded", rank_file: str | None = None) -> DataFrame:
     """``docs`` with the bytes that an array of token ids stands for (null array: null)."""
-    from pyspark.sql import functions as F
-
     file, pat = (rank_file, None) if rank_file else default_vocabulary()
 
-    @F.pandas_udf("binary")
-    def raw(ids):
+    def raw(rows: list) -> list:
         t = tokenizer(file, pat or default_vocabulary()[1])
-        return ids.map(lambda x: None if x is None else t.decode(list(x)))
+        return [None if x is None else t.decode(x) for x in rows]
 
-    return docs.withColumn(out_col, raw(ids_col))
+    return with_mapped(docs, ids_col, raw, out_col, pa.binary(), "binary")

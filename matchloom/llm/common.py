@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
 from ..session import shared_dir
 
@@ -84,4 +84,38 @@ def map_rows(df: DataFrame, fn: Callable[[list], list], fields: list[pa.Field],
     return df.mapInArrow(run, schema)
 
 
+def with_mapped(df: DataFrame, source: str, fn: Callable[[list], list], out: str, kind: pa.DataType, sql_kind: str) -> DataFrame:
+    """``df`` with column ``out`` (new, or in the place of the one of that name) made of ``source`` by ``fn``, piece by piece.
+
+    Rows go through Arrow; only the values of ``source`` in one piece become Python objects at a time.
+    """
+    names = df.columns if out in df.columns else [*df.columns, out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE):
+                part = batch.slice(at, PIECE)
+                made = pa.array(fn(part.column(part.schema.get_field_index(source)).to_pylist()), kind)
+                yield pa.RecordBatch.from_arrays([made if c == out else part.column(part.schema.get_field_index(c)) for c in names], names)
+
+    schema = StructType([StructField(out, _parsed(df, sql_kind)) if c == out else df.schema[c] for c in names])
+    return df.mapInArrow(run, schema)
+
+
+def kept(df: DataFrame, source: str, fn: Callable[[list], list]) -> DataFrame:
+    """The rows of ``df`` for whose ``source`` the function gives true, piece by piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE):
+                part = batch.slice(at, PIECE)
+                yield part.filter(pa.array(fn(part.column(part.schema.get_field_index(source)).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def _parsed(df: DataFrame, sql_kind: str):
+    return df.sparkSession.createDataFrame([], f"x {sql_kind}").schema["x"].dataType
+
+
 PIECE = 512

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, may_learn
+from .common import kept, map_rows, may_learn
 from .secrets import _arrow_type
 
 UNDETERMINED = "und"
@@ -119,10 +119,9 @@ def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: s
     """``docs`` without the rows whose language decision is rejected; columns are unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(dictionaries.items())))
 
-    @F.pandas_udf("boolean")
-    def accepted(texts):
+    def accepted(texts: list) -> list:
         model = _identifier(shared.value)
-        found = [model.predict(t if isinstance(t, str) else None) for t in texts]
-        return texts.__class__([f[0] != UNDETERMINED and f[2] >= min_margin for f in found], dtype=bool)
+        found = [model.predict(t) for t in texts]
+        return [f[0] != UNDETERMINED and f[2] >= min_margin for f in found]
 
-    return docs.filter(accepted(text_col))
+    return kept(docs, text_col, accepted)

@@ -26,7 +26,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import map_rows
+from .common import map_rows, with_mapped
 
 KINDS = ("assign", "access", "hex")
 
@@ -312,14 +312,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the spans of secrets masked in its text column; every other column is unchanged."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import StringType
-
-    @F.pandas_udf(StringType())
-    def masked(texts):
-        return texts.map(redact, na_action="ignore")
-
-    return docs.withColumn(text_col, masked(text_col))
+    return with_mapped(docs, text_col, lambda texts: [redact(t) for t in texts], text_col, pa.string(), "string")
 
 
 def _arrow_type(df: DataFrame, column: str) -> pa.DataType:

@@ -29,7 +29,7 @@ from .common import drop_path, map_rows, persisted, workspace
 from .secrets import _arrow_type
 
 GRAM = 8
-MEMO = 150_000
+MEMO = 300_000
 PIECE = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
