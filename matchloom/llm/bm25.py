@@ -31,7 +31,7 @@ K1, B = 1.2, 0.75
 #: Documents of a block, blocks of a stretch, and the share of the documents that makes a term frequent.
 BLOCK, STRETCH, FREQUENT = 64, 8, 1 / 32
 #: Numbers in the matrix of frequent terms, and in that of the scores of some queries.
-DENSE, SCORES = 6_000_000, 2_000_000
+DENSE, SCORES = 4_000_000, 600_000
 DIGITS = 6
 
 
@@ -240,7 +240,7 @@ def query_table(queries: DataFrame, frequencies: DataFrame, total: int, id_col:
     return map_rows(grouped, packed, fields, f"query_id {kind}, n long, terms binary, idfs binary")
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", shard_postings: int = 4_000_000, block_terms: int = 1_500_000) -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", shard_postings: int = 1_500_000, block_terms: int = 1_500_000) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best rows of ``docs`` for each row of ``queries``, by BM25.
 
     A query is made of all distinct words of its whole text that occur in ``docs``. Ties of scores, rounded to six
