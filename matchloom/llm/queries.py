@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bm25, bpe, decontaminate, langid, licenses, secrets, simhash, substrings, toxicity, warc
+from . import bm25, bpe, decontaminate, impacts, langid, licenses, ngrams, secrets, simhash, substrings, toxicity, vectorcodes, warc
 from .common import held_out, table
 
 
@@ -55,8 +55,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngrams.score_documents(docs, ngrams.learn(docs.filter(ngrams.for_training("doc_id"))))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impacts.search(impacts.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_substring_dedup, op2_secret_scan, op3_language_id, op4_toxicity, op5_byte_bpe, op6_license_scan, op7_topk_search, op8_simhash, op9_warc, op10_decontamination)
+    found = (op1_substring_dedup, op2_secret_scan, op3_language_id, op4_toxicity, op5_byte_bpe, op6_license_scan, op7_topk_search, op8_simhash, op9_warc, op10_decontamination, op11_lm_scoring, op12_vector_codes, op13_ranked_search)
     return {f.__name__: f for f in found}
 
 
@@ -72,4 +85,4 @@ FROM d LEFT JOIN f USING (digest)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substrings.ORACLE_SQL, "op7_topk_search": bm25.ORACLE_SQL, "op9_warc": OP9_SQL, "op10_decontamination": decontaminate.ORACLE_SQL}
+    return {"op1_substring_dedup": substrings.ORACLE_SQL, "op7_topk_search": bm25.ORACLE_SQL, "op9_warc": OP9_SQL, "op10_decontamination": decontaminate.ORACLE_SQL, "op12_vector_codes": vectorcodes.ORACLE_SQL, "op13_ranked_search": impacts.ORACLE_SQL}
