@@ -46,7 +46,7 @@ def actions(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     key = ["hotel_id", "room_key"]
     nth = F.row_number().over(Window.partitionBy(*key).orderBy("seq"))
     new = incoming.withColumn("room_key", room_key(F.col("room_name"))).withColumn("nth", nth)
-    old = stored.withColumn("room_key", room_key(F.col("name"))).groupBy(*key).agg(*[F.min(F.struct(F.col("id"), F.col(c))).getField(c).alias(f"old_{c}") for c in ("thumbnail", "size_sqft", "category_id")], F.lit(True).alias("known"))
+    old = stored.withColumn("room_key", room_key(F.col("name"))).groupBy(*key).agg(*[F.min(F.struct(F.col("id"), F.col(c))).getField(c).alias(f"old_{c}") for c in ("thumbnail", "size_sqft", "category_id")], F.min("id").alias("old_id"), F.lit(True).alias("known"))
     both = new.join(old, key, "left")
     fills = {c: blank(F.col(f"old_{c}")).isNull() & blank(F.col(c)).isNotNull() if c == "thumbnail" else F.col(f"old_{c}").isNull() & F.col(c).isNotNull() for c in ("thumbnail", "size_sqft", "category_id")}
     action = F.when(F.col("nth") > 1, "skip_duplicate").when(F.col("known").isNull(), "insert").when(fills["thumbnail"] | fills["size_sqft"] | fills["category_id"], "fill").otherwise("skip_existing")

@@ -1,20 +1,14 @@
-"""Rooms as they are published: made from mapped pairs, plan rows and reviews, and written to the store."""
+"""Rooms as they are published: made from mapped pairs, plan rows and reviews, and given to the store."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions import vocabulary as V
-from ..session import cut
-from . import publishing, reports
-from .numbering import numbered
-
-STORED = "id long, hotel_id long, name string, thumbnail string, size_sqft int, category_id long"
-GALLERY = "hotel_id long, room_key string, pos int, url string"
+from . import reports
+from .store import Store
 
 
 def category_ids(rooms: DataFrame, categories: DataFrame, category: str = "category") -> DataFrame:
@@ -73,47 +67,19 @@ def apply_reviews(queue: DataFrame, mirrored: DataFrame, categories: DataFrame)
     return ready, reports.remaining(queue, ready.select("row_id"))
 
 
-# --- the store: numbered versions, of which the last complete one counts
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete versions: a folder counts once Spark has put its mark of success there."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = [s.getPath() for s in fs.listStatus(root)]
-    return sorted(int(p.getName()[1:]) for p in found if re.fullmatch(r"v\d+", p.getName()) and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{p}/gallery/_SUCCESS")))
+# --- the store
 
 
 def stored(spark: SparkSession, path: str, what: str = "rooms") -> DataFrame:
-    """The rooms (or ``gallery``) of the store's last complete version; empty if there is none."""
-    schema = STORED if what == "rooms" else GALLERY
-    last = _versions(spark, path)
-    return spark.read.schema(schema).parquet(f"{path}/v{last[-1]}/{what}") if last else spark.createDataFrame([], schema)
+    """The rooms (or ``gallery``) of the store's last version; empty if there is none."""
+    store = Store(spark, path)
+    return store.rooms() if what == "rooms" else store.gallery()
 
 
 def publish(incoming: DataFrame, path: str) -> DataFrame:
     """Publish rooms: insert new ones, fill what is empty, never change what is there. Returns counters per hotel.
 
-    ``incoming``: hotel_id, seq, room_name, thumbnail, size_sqft, category_id, images. The store's next version is
-    written beside the last; readers go over to it when its last file is complete, so a run that dies leaves the store
-    as it was. One run at a time publishes.
+    ``incoming``: hotel_id, seq, room_name, thumbnail, size_sqft, category_id, images. A run that dies leaves the store as
+    it was; runs at the same time do not lose what the others wrote.
     """
-    spark = incoming.sparkSession
-    last = _versions(spark, path)
-    old, old_gallery = stored(spark, path), stored(spark, path, "gallery")
-    acted = cut(publishing.actions(incoming, old), "acted")
-    fills = publishing.filled(acted.filter("action = 'fill'")).select("hotel_id", "room_key", F.struct("thumbnail", "size_sqft", "category_id").alias("f"))
-    # of several stored rooms with one key the one of the least id is filled
-    keyed = old.withColumn("room_key", publishing.room_key(F.col("name")))
-    first = keyed.groupBy("hotel_id", "room_key").agg(F.min("id").alias("id")).join(fills, ["hotel_id", "room_key"]).select("id", "f")
-    kept = old.join(first, "id", "left").select("id", "hotel_id", "name", *[F.when(F.col("f").isNull(), F.col(c)).otherwise(F.col(f"f.{c}")).alias(c) for c in ("thumbnail", "size_sqft", "category_id")])
-    top = old.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
-    fresh = acted.filter("action = 'insert'").select("hotel_id", "seq", F.substring(F.trim("room_name"), 1, V.NAME_LENGTH).alias("name"), publishing.blank(F.col("thumbnail")).alias("thumbnail"), "size_sqft", "category_id", "room_key")
-    new = numbered(fresh, [F.asc("hotel_id"), F.asc("seq"), F.asc("room_key")], "nth").select((F.col("nth") + top).alias("id"), "hotel_id", "name", "thumbnail", "size_sqft", "category_id")
-    to = f"{path}/v{last[-1] + 1 if last else 1}"
-    kept.unionByName(new).write.mode("overwrite").parquet(f"{to}/rooms")
-    old_gallery.unionByName(publishing.gallery(acted).select("hotel_id", "room_key", "pos", "url")).write.mode("overwrite").parquet(f"{to}/gallery")
-    return publishing.counters(acted)
+    return Store(incoming.sparkSession, path).publish(incoming)

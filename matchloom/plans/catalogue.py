@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..functions import vocabulary as V
 from ..operators import harvest, ledger, mapping, probing, publishing, reports, resolution, rooms, scans, unions
-from ..session import shared_dir
+from ..operators.store import Store, publishing_together
+from ..session import fresh_path, shared_dir
 from ..sources import extract
+from ..sources.logs import LedgerFiles
+from ..streaming.ledger import ledger_state, run_ledger
 from . import oracles as O
 from .fixtures import cte, view
 
@@ -539,6 +542,56 @@ def ledger_append(spark, d):
     return ledger.append_rows(log.filter(F.col("row_id") < half), new, ["recent", "old"])
 
 
+_LEDGER = "row_id long, hotel_id long, reason string, happened timestamp"
+_HALVES = cte("log")[:-1] + ", h AS (SELECT count(*) // 2 AS n FROM log)"
+
+
+def _halves(spark, d):
+    log = view(spark, d, "log").withColumn("happened", F.col("happened").cast("timestamp"))
+    half = log.count() // 2
+    return log, [log.filter(F.col("row_id") < half), log.filter(F.col("row_id") >= half)]
+
+
+def _ledger_files(spark, d):
+    """A ledger that two runs appended to, and a third left in a bad state: short, long and empty rows, keys that are no number, rows of an older form."""
+    spark.dataSource.register(LedgerFiles)
+    path = fresh_path(spark, "ledger")
+    log, halves = _halves(spark, d)
+    for half in halves:
+        rows = half.select("row_id", "hotel_id", F.concat("reason", F.lit(', "so"')).alias("reason"), "happened")
+        rows.repartitionByRange("row_id").sortWithinPartitions("row_id").write.format("ledger").mode("append").save(path)
+    at, kind = F.col("happened").cast("string"), F.col("row_id") % 5
+    older = F.concat_ws(",", "hotel_id", F.concat("reason", F.lit(" once")), at)
+    line = F.when(kind == 0, F.concat_ws(",", "row_id", "hotel_id")).when(kind == 1, F.concat_ws(",", "row_id", F.lit("n/a"), "reason", at)).when(kind == 2, older).when(kind == 3, "").otherwise(F.concat_ws(",", "row_id", "hotel_id", "reason", at, F.lit("more")))
+    log.repartitionByRange("row_id").sortWithinPartitions("row_id").select(line).write.text(f"{path}/run-{3:012d}")
+    return spark.read.format("ledger").option("key", "hotel_id").schema(f"{_LEDGER}, _file string, _at long, _fault string").load(path)
+
+
+@query(_HALVES + """, told AS (
+  SELECT row_id, hotel_id, reason || ', "so"' AS reason, happened, CASE WHEN row_id < n THEN 1 ELSE 2 END AS run, row_id AS nth FROM log, h
+  UNION ALL SELECT NULL, hotel_id, reason || ' once', happened, 3, row_id FROM log WHERE row_id % 5 = 2)
+SELECT hotel_id, row_id, reason, happened FROM told QUALIFY row_number() OVER (PARTITION BY hotel_id ORDER BY run DESC, nth DESC) = 1""")
+def ledger_files(spark, d):
+    """The last row of each hotel, in the order in which rows were appended."""
+    return unions.last_per_key(_ledger_files(spark, d).filter("_fault IS NULL"), ["hotel_id"], ["_file", "_at"]).select("hotel_id", "row_id", "reason", "happened")
+
+
+@query(cte("log") + "SELECT fault, count(*) AS n FROM (SELECT CASE row_id % 5 WHEN 0 THEN 'short' WHEN 1 THEN 'key' WHEN 2 THEN 'none' WHEN 3 THEN 'empty' ELSE 'long' END AS fault FROM log UNION ALL SELECT 'none' FROM log) GROUP BY fault")
+def ledger_faults(spark, d):
+    return _ledger_files(spark, d).groupBy(F.coalesce("_fault", F.lit("none")).alias("fault")).agg(F.count("*").alias("n"))
+
+
+@query(cte("log") + "SELECT hotel_id, row_id, reason, happened, epoch_ms(happened) + 3 * 86400000 <= (SELECT max(epoch_ms(happened)) - 3600000 FROM log) AS stale FROM log QUALIFY row_number() OVER (PARTITION BY hotel_id ORDER BY row_id DESC) = 1")
+def ledger_stream(spark, d):
+    """The ledger as a stream that stops after the first half of the log, and goes on later."""
+    path = fresh_path(spark, "ledger-stream")
+    for half in _halves(spark, d)[1]:
+        half.write.mode("append").parquet(f"{path}/in")
+        log = spark.readStream.schema(half.schema).parquet(f"{path}/in")
+        run_ledger(log, path, 3).awaitTermination()
+    return ledger_state(spark, path)
+
+
 @query(cte("hotel", "log")[:-1] + ", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY row_id DESC) AS r FROM log) WHERE r = 1)" + _PUB + ", op AS (SELECT hotel_id FROM latest WHERE reason <> 'resolved'), s AS (SELECT hotel_id FROM fresh WHERE hotel_id NOT IN (SELECT hotel_id FROM op)) SELECT count(*) AS in_scope, count(*) FILTER (id IN (SELECT hotel_id FROM s)) AS skipped, count(*) FILTER (id IN (SELECT hotel_id FROM fresh) AND id IN (SELECT hotel_id FROM op)) AS backfill, count(*) FILTER (id NOT IN (SELECT hotel_id FROM s)) AS todo FROM hotel")
 def skip_counts(spark, d):
     log = view(spark, d, "log")
@@ -818,22 +871,64 @@ def publishable_rooms(spark, d):
 _STORE = _ACT + ", top AS (SELECT max(id) AS top FROM room), firsts AS (SELECT hotel_id, lower(substr(trim(name), 1, 191)) AS room_key, min(id) AS id FROM room GROUP BY ALL), f AS (SELECT x.id, k.* FROM k JOIN firsts x USING (hotel_id, room_key) WHERE action = 'fill')"
 
 
+def _loaded_store(spark, d):
+    """A store that holds the rooms there are."""
+    store = Store(spark, fresh_path(spark, "store"))
+    store.load(view(spark, d, "room"))
+    return store
+
+
 def _published_store(spark, d):
     """A store that was published to twice: the rooms there are, then the incoming ones."""
-    path = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
-    view(spark, d, "room").select("id", "hotel_id", "name", "thumbnail", "size_sqft", "category_id").write.parquet(f"{path}/v1/rooms")
-    spark.createDataFrame([], rooms.GALLERY).write.parquet(f"{path}/v1/gallery")
-    return path, rooms.publish(_incoming(spark, d), path)
+    store = _loaded_store(spark, d)
+    store.publish(_incoming(spark, d))
+    return store
 
 
-@query(_STORE + " SELECT r.id, r.hotel_id, r.name, CASE WHEN f.id IS NULL THEN r.thumbnail ELSE coalesce(nullif(trim(r.thumbnail), ''), nullif(trim(f.thumbnail), '')) END AS thumbnail, CASE WHEN f.id IS NULL THEN r.size_sqft ELSE coalesce(r.size_sqft, f.size_sqft) END AS size_sqft, CASE WHEN f.id IS NULL THEN r.category_id ELSE coalesce(r.category_id, f.category_id) END AS category_id FROM room r LEFT JOIN f ON f.id = r.id UNION ALL SELECT top + row_number() OVER (ORDER BY hotel_id, seq, room_key), hotel_id, substr(trim(room_name), 1, 191), nullif(trim(thumbnail), ''), size_sqft, category_id FROM k, top WHERE action = 'insert'")
+@query(_STORE + " SELECT r.id, r.hotel_id, r.name, CASE WHEN f.id IS NULL THEN nullif(trim(r.thumbnail), '') ELSE coalesce(nullif(trim(r.thumbnail), ''), nullif(trim(f.thumbnail), '')) END AS thumbnail, CASE WHEN f.id IS NULL THEN r.size_sqft ELSE coalesce(r.size_sqft, f.size_sqft) END AS size_sqft, CASE WHEN f.id IS NULL THEN r.category_id ELSE coalesce(r.category_id, f.category_id) END AS category_id FROM room r LEFT JOIN f ON f.id = r.id UNION ALL SELECT top + row_number() OVER (ORDER BY hotel_id, seq, room_key), hotel_id, substr(trim(room_name), 1, 191), nullif(trim(thumbnail), ''), size_sqft, category_id FROM k, top WHERE action = 'insert'")
 def publish_store(spark, d):
-    return rooms.stored(spark, _published_store(spark, d)[0])
+    return _published_store(spark, d).rooms()
+
+
+# three runs: the first two are made against the same version, and the second of them is committed first
+_RUNS = cte("incoming", "room")[:-1] + """, top AS (SELECT max(id) AS top FROM room), turn AS (
+  SELECT *, lower(substr(trim(room_name), 1, 191)) AS room_key, CASE seq % 3 WHEN 1 THEN 1 WHEN 0 THEN 2 ELSE 3 END AS run FROM incoming
+), firsts AS (SELECT * FROM turn QUALIFY row_number() OVER (PARTITION BY hotel_id, room_key, run ORDER BY seq) = 1
+), had AS (SELECT hotel_id, lower(substr(trim(name), 1, 191)) AS room_key, min(id) AS id FROM room GROUP BY ALL
+), offered AS (
+  SELECT hotel_id, room_key, arg_min(nullif(trim(thumbnail), ''), run) AS thumbnail, arg_min(size_sqft, run) AS size_sqft, arg_min(category_id, run) AS category_id,
+    min(run) AS run, arg_min(seq, run) AS seq, arg_min(substr(trim(room_name), 1, 191), run) AS name FROM firsts GROUP BY ALL
+), new AS (SELECT o.* FROM offered o ANTI JOIN had USING (hotel_id, room_key))"""
+
+
+def _three_runs(spark, d):
+    store = _loaded_store(spark, d)
+    one, two, three = (_incoming(spark, d).filter(F.col("seq") % 3 == k) for k in (0, 1, 2))
+    counted = publishing_together(store, [one, two])
+    return store, [counted[1], counted[0], store.commit(store.prepare(three))[0].counted]
+
+
+@query(_RUNS + """
+SELECT r.id, r.hotel_id, r.name, coalesce(nullif(trim(r.thumbnail), ''), o.thumbnail) AS thumbnail, coalesce(r.size_sqft, o.size_sqft) AS size_sqft, coalesce(r.category_id, o.category_id) AS category_id
+FROM room r LEFT JOIN had ON had.id = r.id LEFT JOIN offered o ON o.hotel_id = had.hotel_id AND o.room_key = had.room_key
+UNION ALL SELECT top + row_number() OVER (ORDER BY run, hotel_id, seq, room_key), hotel_id, name, thumbnail, size_sqft, category_id FROM new, top""")
+def publish_three_times(spark, d):
+    return _three_runs(spark, d)[0].rooms()
+
+
+@query(_RUNS + """
+, dup AS (SELECT run, count(*) AS n FROM turn GROUP BY run), kinds AS (
+  SELECT f.run, count(*) AS n, count(*) FILTER (WHERE had.id IS NULL AND o.run = f.run) AS inserted FROM firsts f LEFT JOIN had USING (hotel_id, room_key) JOIN offered o USING (hotel_id, room_key) GROUP BY f.run
+) SELECT run::INT AS run, inserted AS inserted, dup.n - kinds.n AS skip_duplicate FROM kinds JOIN dup USING (run)""")
+def publish_observed(spark, d):
+    """What each run counted as it was written, and committed."""
+    counted = _three_runs(spark, d)[1]
+    return spark.createDataFrame([(i, c["insert"], c["skip_duplicate"]) for i, c in enumerate(counted, start=1)], "run int, inserted long, skip_duplicate long")
 
 
 @query(_ACT + " SELECT hotel_id, room_key, (p - 1)::INT AS pos, 'u' || p AS url FROM k, unnest(range(2, n_images + 1)) t(p) WHERE action = 'insert' OR (action = 'fill' AND ft)")
 def publish_gallery(spark, d):
-    return rooms.stored(spark, _published_store(spark, d)[0], "gallery")
+    return _published_store(spark, d).gallery()
 
 
 @query(f"WITH {_TAXONOMY}, n AS (SELECT p_partkey, p_brand, p_name || CASE p_partkey % 4 WHEN 0 THEN ' Suite' WHEN 1 THEN ' 2 Bedroom Apartment' WHEN 2 THEN '' ELSE ' Deluxe Room' END AS room_name, p_size FROM part), m AS (SELECT *, lower(room_name) AS norm FROM n), c AS (SELECT *, {_category_sql('norm')} AS category FROM m) SELECT p_partkey AS row_id, room_name, category, category_id, CASE WHEN p_size % 20 > 0 THEN least(p_size % 20, 15) ELSE 0 END::INT AS n_images, CASE WHEN p_size % 20 > 0 THEN 'c' ELSE '' END AS image_source FROM c LEFT JOIN taxonomy USING (category)")

@@ -22,8 +22,22 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, what: str) -> str:
+    """A path below the shared folder that nobody has."""
+    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame, what: str) -> DataFrame:
     """``df``, written to the shared folder and read back: planned and worked out once, safe from lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete what ``cut`` wrote, once nothing reads it any more."""
+    jvm = df.sparkSession._jvm
+    p = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
