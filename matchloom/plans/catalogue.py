@@ -13,7 +13,7 @@ from ..functions import vocabulary as V
 from ..operators import harvest, ledger, mapping, probing, publishing, reports, resolution, rooms, scans, unions
 from ..operators.store import Store, publishing_together
 from ..session import fresh_path, shared_dir
-from ..sources import extract
+from ..sources import extract, objects
 from ..sources.logs import LedgerFiles
 from ..streaming.ledger import ledger_state, run_ledger
 from . import oracles as O
@@ -740,13 +740,77 @@ def redirect_reject(spark, d):
     return extract.dated_rooms(p.select(F.col("p_partkey").alias("page_id"), html.alias("html"), url.alias("final_url"))).select("page_id", "room_id", "room_name")
 
 
-@query("SELECT s_suppkey AS id, lower(replace(s_name, '#', '-')) || '_2' AS slug, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS local FROM supplier")
+# what a payload holds varies: a slug as a value (its slashes escaped or not), as a name of a member, at another depth, not at all
+@query("SELECT s_suppkey AS id, CASE WHEN s_suppkey % 5 < 3 THEN lower(replace(s_name, '#', '-')) || '_2' WHEN s_suppkey % 5 = 3 THEN 'last' END AS slug, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS local FROM supplier")
 def own_slug(spark, d):
-    slug = F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))), F.lit("_2"))
-    payload = F.to_json(F.struct(F.struct(F.lit("/help/hotel.html").alias("help")).alias("a"), F.array(F.lit("x"), F.concat(F.lit("/"), slug, F.lit("/hotel/town-ae.html"))).alias("links")))
+    kind, quoted = F.col("s_suppkey") % 5, lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    page = F.concat(F.lit("/"), F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))), F.lit("_2/hotel/town-ae.html"))
+    other = '{"/key/hotel/a.html": ["help", "see /no/hotel/b.html"], "n": 7, "x": [null, true'
+    body = (
+        F.when(kind == 0, F.concat(F.lit(other + ", "), quoted(page), F.lit("]}")))
+        .when(kind == 1, F.concat(F.lit(other + ', {"a": {"b": [['), quoted(F.replace(page, F.lit("/"), F.lit("\\/"))), F.lit("]]}}]}")))
+        .when(kind == 2, F.concat(F.lit("[" * 9), quoted(page), F.lit("]" * 9)))
+        .when(kind == 3, F.concat(F.lit('{"a": {"links": ['), quoted(page), F.lit(', "/last/hotel/c.html"]}}')))
+        .otherwise(F.lit(other + "]}"))
+    )
     names = F.to_json(F.struct(F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise("").alias("en"), F.lit("x").alias("ar")))
-    # paths are written with plain slashes
-    return _table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), extract.own_slug(F.replace(payload, F.lit("\\/"), F.lit("/"))).alias("slug"), extract.local_name(names).alias("local"))
+    rows = _table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), body.alias("body"), extract.local_name(names).alias("local"))
+    return rows.join(extract.own_slugs(rows, "id", "body"), "id").select("id", "slug", "local")
+
+
+@query("SELECT o_custkey AS query, nth AS seq, o_orderkey AS object_id, 'inn ' || o_orderkey AS name, CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 50 END AS city_id, CASE WHEN o_orderkey % 6 IN (1, 2) THEN 'ae' END AS country_iso FROM (SELECT *, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1)::INT AS nth FROM orders) WHERE o_orderkey % 4 > 0")
+def suggestion_payloads(spark, d):
+    """Suggestions with their view models, both arrays of one payload; ids as numbers or as text, a view model given twice, or not at all."""
+    o, k = _table(spark, d, "orders"), F.col("o_orderkey")
+    text = k.cast("string")
+    ident = F.when(k % 2 == 0, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text)
+    suggestion = F.concat(F.lit('{"ObjectID": '), ident, F.lit(', "ObjectTypeID": '), F.when(k % 4 > 0, "1").otherwise('"9"'), F.lit(', "Name": "inn '), text, F.lit('"}'))
+    iso = F.when(k % 6 == 1, '"AE"').when(k % 6 == 2, '"ae"').when(k % 6 == 4, '""').otherwise("null")
+    model = F.when(k % 3 > 0, F.concat(F.lit('{"ObjectId": '), text, F.lit(', "CityId": -1}, {"ObjectId": "'), text, F.lit('", "CityId": '), (k % 50).cast("string"), F.lit(', "CountryISO": '), iso, F.lit('}, {"ObjectId": 0, "CityId": 5}')))
+    listed = lambda c: F.concat_ws(", ", F.transform(F.array_sort(F.collect_list(F.when(c.isNotNull(), F.struct(k, c.alias("c"))))), lambda x: x["c"]))
+    bodies = o.groupBy(F.col("o_custkey").alias("query")).agg(F.concat(F.lit('{"ViewModelList": ['), listed(model), F.lit('], "SuggestionList": ['), listed(suggestion), F.lit("]}")).alias("body"))
+    return extract.suggestions(bodies).select("query", "seq", "object_id", "name", "city_id", "country_iso")
+
+
+@query("SELECT l_suppkey AS hotel_id, l_suppkey AS payload_id, (row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_returnflag) - 1)::INT AS option_seq, CASE WHEN l_partkey % 7 > 0 THEN 'plan ' || l_returnflag END AS title, CASE WHEN l_partkey % 5 = 0 THEN 0 ELSE 1 END::INT AS n_rooms, CASE WHEN l_partkey % 5 IN (1, 2) THEN (1 + l_partkey % 4)::INT END AS max_occupancy FROM lineitem")
+def availability_drift(spark, d):
+    """Availability payloads whose form drifts: numbers as text, values of another kind, members that are missing."""
+    k = F.col("l_partkey")
+    most = F.when(k % 5 == 1, (1 + k % 4).cast("string")).when(k % 5 == 2, F.concat(F.lit('"'), (1 + k % 4).cast("string"), F.lit('"'))).when(k % 5 == 3, '"many"').otherwise("{}")
+    room = F.when(k % 5 == 0, '"none"').otherwise(F.concat(F.lit('[{"Name": "r", "MaxOccupancy": '), most, F.lit("}]")))
+    option = F.concat(F.lit("{"), F.when(k % 7 > 0, F.concat(F.lit('"Title": "plan '), "l_returnflag", F.lit('", '))).otherwise(""), F.lit('"Rooms": '), room, F.lit("}"))
+    options = F.concat_ws(", ", F.transform(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", option.alias("o")))), lambda x: x["o"]))
+    h = F.col("hotel_id").cast("string")
+    ident = F.when(F.col("hotel_id") % 2 == 0, F.concat(F.lit('"'), h, F.lit('"'))).otherwise(h)
+    rows = _table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("hotel_id")).agg(options.alias("options"))
+    bodies = rows.select("hotel_id", F.concat(F.lit('{"Itinerary": {"Options": ['), "options", F.lit('], "Property": {"CommonID": '), ident, F.lit("}}}")).alias("body"))
+    plans = extract.availability(bodies)
+    return plans.select("hotel_id", "payload_id", "option_seq", "title", F.size("rooms").alias("n_rooms"), F.get("rooms", F.lit(0))["max_occupancy"].alias("max_occupancy"))
+
+
+_OBJECTS = "WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), k AS (SELECT page_id, md5(html) || '.html' AS key, octet_length(encode(html))::BIGINT AS size, page_id > min(page_id) OVER (PARTITION BY html) AS reused FROM p WHERE html <> '')"
+
+
+@query(_OBJECTS + " SELECT page_id, key, size, reused, true AS reused_again, size AS stored_size, true AS intact FROM k")
+def object_store(spark, d):
+    """Pages stored as objects, twice, and what the folder holds of them afterwards; an empty page is none."""
+    folder = fresh_path(spark, "objects")
+    content = F.coalesce("html", F.lit("")).cast("binary")
+    rows = _table(spark, d, "pages").select(F.col("page_id").alias("id"), extract.content_key(content, F.lit(".html")).alias("key"), content.alias("content"))
+    first, again = (objects.store(rows, folder) for _ in range(2))
+    there = objects.stored(spark, folder).select("key", F.col("size").alias("stored_size"), (F.md5("content") == F.substring_index("key", ".", 1)).alias("intact"))
+    return first.select(F.col("id").alias("page_id"), "key", "size", "reused").join(again.select(F.col("id").alias("page_id"), F.col("reused").alias("reused_again")), "page_id").join(there, "key")
+
+
+@query("WITH f AS (SELECT page_id, '\\xFF\\xD8'::BLOB || encode(coalesce(html, '')) AS c FROM pages), k AS (SELECT page_id, CASE WHEN octet_length(c) >= 4096 THEN md5(c) || (CASE page_id % 3 WHEN 0 THEN '.png' WHEN 1 THEN '.webp' ELSE '.gif' END) END AS key FROM f), r AS (SELECT page_id % 40 AS hotel_id, 'r' || page_id % 2 AS room_key, list('s/' || key ORDER BY page_id DESC) FILTER (key IS NOT NULL) AS s FROM k GROUP BY ALL) SELECT hotel_id, room_key, s[1] AS thumbnail, coalesce(array_to_string(s[2:], ','), '') AS gallery FROM r")
+def mirrored_rooms(spark, d):
+    """Rooms whose images are stored and hosted, in the order of their addresses; what is too small is no image."""
+    p = _table(spark, d, "pages").withColumn("url", F.concat(F.lit("http://i/"), F.col("page_id").cast("string"), F.lit(".gif?x=1")))
+    kind = F.when(F.col("page_id") % 3 == 0, "image/png").when(F.col("page_id") % 3 == 1, "image/webp; q=1")
+    fetched = p.select("url", kind.alias("content_type"), F.concat(F.unhex(F.lit("FFD8")), F.coalesce("html", F.lit("")).cast("binary")).alias("content"))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("page_id", "url")), asc=False), lambda x: x["url"])
+    wanted = p.groupBy((F.col("page_id") % 40).alias("hotel_id"), F.concat(F.lit("r"), (F.col("page_id") % 2).cast("string")).alias("room_key")).agg(listed.alias("images"))
+    return objects.mirror(wanted, fetched, fresh_path(spark, "images"), "s/").select("hotel_id", "room_key", "thumbnail", F.array_join("images", ",").alias("gallery"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN (1000 + p_size)::INT END AS size_sqft FROM part")
