@@ -41,3 +41,8 @@ def drop(df: DataFrame) -> None:
     jvm = df.sparkSession._jvm
     p = jvm.org.apache.hadoop.fs.Path(df.stored_at)
     p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` dealt by columns over as many tasks as a shuffle has: for few, small rows that are costly to work on, which Spark would put together into a task or two."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
