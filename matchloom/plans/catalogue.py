@@ -106,12 +106,6 @@ def missing_keys(spark, d):
     return scans.missing_keys(h, h.filter("id % 4 <> 0"), "id")
 
 
-@query("SELECT 'General' AS name")
-def category_completeness(spark, d):
-    stored = spark.createDataFrame([(c.upper(),) for c in N.all_categories() if c != V.FALLBACK_CATEGORY], "name string")
-    return scans.missing_categories(spark, stored).select("name")
-
-
 # --- names
 
 
@@ -362,9 +356,10 @@ def weekend_dates(spark, d):
 _LADDER = ", ".join(f"({i}, {w}, {a}, {n})" for i, (w, a, n) in enumerate(V.BASE_LADDER))
 
 
-@query(f"SELECT (2 * i + k)::INT AS seq, w::INT AS weeks, a::INT AS adults, n::INT AS nights, (3 * k)::INT AS shift_days, CASE k WHEN 0 THEN 'weekend' ELSE 'midweek' END || '+' || w || 'w/' || a || 'ad/' || n || 'n' AS label FROM (VALUES {_LADDER}) t(i, w, a, n), (VALUES (0), (1)) s(k)")
-def probe_shapes(spark, d):
-    return probing.probe_shapes(spark)
+@query(f"WITH d AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders), l AS (SELECT CASE k WHEN 0 THEN 'weekend' ELSE 'midweek' END || '+' || w || 'w/' || a || 'ad/' || n || 'n' AS label, w * 7 + 3 * k AS later, n AS nights FROM (VALUES {_LADDER}) t(i, w, a, n), (VALUES (0), (1)) s(k)) SELECT day, label, day + ((12 - dayofweek(day)) % 7 + 1 + later)::INT AS check_in, day + ((12 - dayofweek(day)) % 7 + 1 + later + nights)::INT AS check_out FROM d, l")
+def probe_stays(spark, d):
+    """The stays that the ladder asks for on each day of the orders."""
+    return probing.stays(probing.probe_shapes(spark), _table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day")))
 
 
 _OBS = cte("observation")
@@ -457,34 +452,35 @@ def harvest_resume(spark, d):
     return harvest.remaining_shapes(m.filter("seq % 2 = 1"), done).select("phase", "seq")
 
 
-_SOURCED = "WITH e AS (SELECT event_id // 5 AS hotel_id, CASE event_id % 5 WHEN 0 THEN 'cache' WHEN 1 THEN 'http' WHEN 2 THEN 'browser' ELSE 'escalation' END AS source, event_id % 7 * (event_id % 3 > 0)::INT AS n, event_id % 4 = 0 AS complete FROM events WHERE event_id % 5 < 4), w AS (SELECT hotel_id, max(n) FILTER (source = 'cache') AS c, max(n) FILTER (source = 'http') AS h, max(n) FILTER (source = 'browser') AS b, max(n) FILTER (source = 'escalation') AS e, coalesce(bool_or(source = 'cache' AND complete), false) AS done FROM e GROUP BY hotel_id), f AS (SELECT *, CASE WHEN c > 0 THEN c WHEN h > 0 THEN h WHEN b > 0 THEN b ELSE 0 END AS n0, CASE WHEN coalesce(c, 0) = 0 AND coalesce(h, 0) = 0 AND b > 0 THEN 'browser' ELSE 'http' END AS s0 FROM w)"
+_SOURCED = "WITH e AS (SELECT event_id // 4 AS hotel_id, CASE event_id % 4 WHEN 0 THEN 'cache' WHEN 1 THEN 'http' WHEN 2 THEN 'browser' ELSE 'escalation' END AS source, event_id % 7 * (event_id % 3 > 0)::INT AS n, event_id % 8 < 4 AS complete FROM events), w AS (SELECT hotel_id, max(n) FILTER (source = 'cache') AS c, max(n) FILTER (source = 'http') AS h, max(n) FILTER (source = 'browser') AS b, max(n) FILTER (source = 'escalation') AS e, coalesce(bool_or(source = 'cache' AND complete), false) AS done FROM e GROUP BY hotel_id), f AS (SELECT *, CASE WHEN c > 0 THEN c WHEN h > 0 THEN h WHEN b > 0 THEN b ELSE 0 END AS n0, CASE WHEN coalesce(c, 0) = 0 AND coalesce(h, 0) = 0 AND b > 0 THEN 'browser' ELSE 'http' END AS s0 FROM w)"
 
 
 @query(_SOURCED + " SELECT hotel_id, (CASE WHEN c > 0 AND done THEN c WHEN coalesce(e, 0) > n0 THEN e ELSE n0 END)::INT AS n_rooms, CASE WHEN c > 0 AND done THEN 'cache' WHEN coalesce(e, 0) > n0 THEN 'escalation' ELSE s0 END AS source FROM f")
 def source_priority(spark, d):
-    e = _table(spark, d, "events").filter("event_id % 5 < 4").selectExpr("floor(event_id / 5) AS hotel_id", "CASE event_id % 5 WHEN 0 THEN 'cache' WHEN 1 THEN 'http' WHEN 2 THEN 'browser' ELSE 'escalation' END AS source", "CASE WHEN event_id % 3 > 0 AND event_id % 7 > 0 THEN sequence(1L, event_id % 7) ELSE array() END AS rooms", "event_id % 4 = 0 AS complete")
+    e = _table(spark, d, "events").selectExpr("floor(event_id / 4) AS hotel_id", "CASE event_id % 4 WHEN 0 THEN 'cache' WHEN 1 THEN 'http' WHEN 2 THEN 'browser' ELSE 'escalation' END AS source", "CASE WHEN event_id % 3 > 0 AND event_id % 7 > 0 THEN sequence(1L, event_id % 7) ELSE array() END AS rooms", "event_id % 8 < 4 AS complete")
     return harvest.by_priority(e).select("hotel_id", F.size("rooms").alias("n_rooms"), "source")
 
 
-@query(f"SELECT property_id, kind AS source, date_diff('day', ts::DATE, DATE '{TODAY}') <= 7 AS fresh, CASE WHEN date_diff('day', ts::DATE, DATE '{TODAY}') <= 7 THEN 1 ELSE 0 END AS n_rooms FROM (SELECT user_id AS property_id, 'http' AS kind, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r FROM events WHERE event_type = 'view') WHERE r = 1")
+@query(f"SELECT property_id, kind AS source, date_diff('day', ts::DATE, DATE '{TODAY}') <= 7 AS fresh, CASE WHEN date_diff('day', ts::DATE, DATE '{TODAY}') <= 7 THEN 1 ELSE 0 END AS n_rooms FROM (SELECT user_id AS property_id, CASE event_type WHEN 'view' THEN 'http' ELSE 'browser' END AS kind, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r FROM events) WHERE r = 1")
 def property_cache(spark, d):
-    """Records appended to the cache, and the latest of each property with rooms that are fresh."""
-    e = _table(spark, d, "events").filter("event_type = 'view'").select(F.col("user_id").alias("property_id"), F.array(F.lit("room")).alias("rooms"), F.lit(True).alias("complete"), "ts")
+    """Records of two sources appended to the cache, and the latest of each property with rooms that are fresh."""
+    e = _table(spark, d, "events").select("event_type", F.col("user_id").alias("property_id"), F.array(F.lit("room")).alias("rooms"), F.lit(True).alias("complete"), "ts")
     path = f"{shared_dir(spark)}/cache-{uuid.uuid4().hex}"
-    harvest.append_cache(e, path, "http", "p1", F.col("ts"))
+    harvest.append_cache(e.filter("event_type = 'view'").drop("event_type"), path, "http", "p1", F.col("ts"))
+    harvest.append_cache(e.filter("event_type <> 'view'").drop("event_type"), path, "browser", "p1", F.col("ts"))
     found = harvest.cached(spark, path, "property_id long, rooms array<string>, complete boolean, source string, probe string, rooms_at timestamp", F.lit(TODAY).cast("date"))
     return found.select("property_id", "source", "fresh", F.size("rooms").alias("n_rooms"))
 
 
-@query("SELECT hotel_id, attempt, outcome, CASE WHEN outcome = 'unreachable' AND attempt < 2 THEN 'requeued' ELSE outcome END AS state FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY attempt DESC) AS r FROM (SELECT event_id // 3 AS hotel_id, event_id % 3 + 1 AS attempt, CASE event_type WHEN 'error' THEN 'unreachable' WHEN 'view' THEN 'no_match' ELSE 'matched' END AS outcome FROM events WHERE (event_id // 3) % 2 = 0 OR event_id % 3 = 0) WHERE attempt <= 2) WHERE r = 1")
+@query("SELECT hotel_id, attempt, outcome, CASE WHEN outcome = 'unreachable' AND attempt < 2 THEN 'requeued' ELSE outcome END AS state FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY attempt DESC) AS r FROM (SELECT event_id // 3 * 2 + (event_id % 3 = 2)::INT AS hotel_id, (event_id % 3 = 1)::BIGINT + 1 AS attempt, CASE event_type WHEN 'error' THEN 'unreachable' WHEN 'view' THEN 'no_match' ELSE 'matched' END AS outcome FROM events)) WHERE r = 1")
 def requeue_once(spark, d):
-    a = _table(spark, d, "events").filter("floor(event_id / 3) % 2 = 0 OR event_id % 3 = 0").selectExpr("floor(event_id / 3) AS hotel_id", "event_id % 3 + 1 AS attempt", "CASE event_type WHEN 'error' THEN 'unreachable' WHEN 'view' THEN 'no_match' ELSE 'matched' END AS outcome")
+    a = _table(spark, d, "events").selectExpr("floor(event_id / 3) * 2 + CAST(event_id % 3 = 2 AS INT) AS hotel_id", "CAST(event_id % 3 = 1 AS BIGINT) + 1 AS attempt", "CASE event_type WHEN 'error' THEN 'unreachable' WHEN 'view' THEN 'no_match' ELSE 'matched' END AS outcome")
     return harvest.settled(a)
 
 
-@query(_PROBE + "SELECT hotel_id, bool_and(outcome <> 'error') AS complete, sum(n_rooms)::BIGINT AS n_rooms, CASE WHEN sum(n_rooms) > 0 THEN 'rooms' WHEN bool_and(outcome <> 'error') THEN 'zero' ELSE 'unknown' END AS state FROM probe WHERE shape < 3 GROUP BY hotel_id")
+@query(_PROBE + "SELECT event_id // 3 AS hotel_id, bool_and(outcome <> 'error') AS complete, sum(n_rooms)::BIGINT AS n_rooms, CASE WHEN sum(n_rooms) > 0 THEN 'rooms' WHEN bool_and(outcome <> 'error') THEN 'zero' ELSE 'unknown' END AS state FROM probe GROUP BY event_id // 3")
 def ladder_complete(spark, d):
-    return probing.ladder_complete(view(spark, d, "probe").filter("shape < 3"))
+    return probing.ladder_complete(view(spark, d, "probe").withColumn("hotel_id", F.floor(F.col("event_id") / 3)))
 
 
 @query(f"SELECT event_id, coalesce(date_diff('day', ts::DATE, DATE '{TODAY}') <= 7, false) AS fresh, CASE WHEN date_diff('day', ts::DATE, DATE '{TODAY}') <= 7 THEN event_type ELSE '' END AS rooms FROM (SELECT event_id, event_type, CASE WHEN event_id % 6 > 0 THEN ts END AS ts FROM events)")
@@ -502,11 +498,18 @@ def plateau_stop(spark, d):
 # --- ledgers
 
 _LOG = cte("log") + ", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY row_id DESC) AS r FROM log) WHERE r = 1)"
-_PUB = ", pub AS (SELECT hotel_id, max(happened) AS happened FROM log WHERE row_id % 3 = 0 GROUP BY hotel_id), fresh AS (SELECT hotel_id FROM pub WHERE happened::DATE >= DATE '" + TODAY + "' - 3)"
+# every row is in one of two ledgers: what was published, and what else became of a hotel
+_TOLD = "reason IN ('view', 'click')"
+_OTHER = cte("log") + f", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY row_id DESC) AS r FROM log WHERE NOT {_TOLD}) WHERE r = 1)"
+_PUB = f", pub AS (SELECT hotel_id, max(happened) AS happened FROM log WHERE {_TOLD} GROUP BY hotel_id), fresh AS (SELECT hotel_id FROM pub WHERE happened::DATE >= DATE '" + TODAY + "' - 3)"
 
 
 def _published(spark, d):
-    return view(spark, d, "log").filter("row_id % 3 = 0")
+    return view(spark, d, "log").filter(_TOLD)
+
+
+def _attempts(spark, d):
+    return view(spark, d, "log").filter(f"NOT {_TOLD}")
 
 
 def _fresh(spark, d):
@@ -528,9 +531,9 @@ def unresolved_ids(spark, d):
     return ledger.unresolved_ids(view(spark, d, "log"))
 
 
-@query(_LOG + _PUB + " SELECT hotel_id FROM fresh WHERE hotel_id NOT IN (SELECT hotel_id FROM latest WHERE reason <> 'resolved')")
+@query(_OTHER + _PUB + " SELECT hotel_id FROM fresh WHERE hotel_id NOT IN (SELECT hotel_id FROM latest WHERE reason <> 'resolved')")
 def phase2_skip(spark, d):
-    return ledger.skip_ids(_published(spark, d), view(spark, d, "log"), F.lit(TODAY).cast("date"), 3)
+    return ledger.skip_ids(_published(spark, d), _attempts(spark, d), F.lit(TODAY).cast("date"), 3)
 
 
 @query(cte("log")[:-1] + ", h AS (SELECT count(*) // 2 AS n FROM log) SELECT hotel_id, reason, happened, row_id FROM log, h WHERE row_id < n UNION ALL SELECT hotel_id, reason, happened, n - 1 + row_number() OVER (ORDER BY happened DESC, row_id) AS row_id FROM log, h WHERE row_id >= n")
@@ -592,9 +595,9 @@ def ledger_stream(spark, d):
     return ledger_state(spark, path)
 
 
-@query(cte("hotel", "log")[:-1] + ", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY row_id DESC) AS r FROM log) WHERE r = 1)" + _PUB + ", op AS (SELECT hotel_id FROM latest WHERE reason <> 'resolved'), s AS (SELECT hotel_id FROM fresh WHERE hotel_id NOT IN (SELECT hotel_id FROM op)) SELECT count(*) AS in_scope, count(*) FILTER (id IN (SELECT hotel_id FROM s)) AS skipped, count(*) FILTER (id IN (SELECT hotel_id FROM fresh) AND id IN (SELECT hotel_id FROM op)) AS backfill, count(*) FILTER (id NOT IN (SELECT hotel_id FROM s)) AS todo FROM hotel")
+@query(_OTHER.replace("WITH ", cte("hotel")[:-1] + ", ", 1) + _PUB + ", op AS (SELECT hotel_id FROM latest WHERE reason <> 'resolved'), s AS (SELECT hotel_id FROM fresh WHERE hotel_id NOT IN (SELECT hotel_id FROM op)) SELECT count(*) AS in_scope, count(*) FILTER (id IN (SELECT hotel_id FROM s)) AS skipped, count(*) FILTER (id IN (SELECT hotel_id FROM fresh) AND id IN (SELECT hotel_id FROM op)) AS backfill, count(*) FILTER (id NOT IN (SELECT hotel_id FROM s)) AS todo FROM hotel")
 def skip_counts(spark, d):
-    log = view(spark, d, "log")
+    log = _attempts(spark, d)
     skip = ledger.skip_ids(_published(spark, d), log, F.lit(TODAY).cast("date"), 3)
     return reports.skip_counts(view(spark, d, "hotel").select(F.col("id").alias("hotel_id")), skip, _fresh(spark, d), ledger.unresolved_ids(log))
 
@@ -1004,6 +1007,24 @@ def plan_rooms(spark, d):
     return rooms.from_plan(rows, _categories(spark)).select("row_id", "room_name", "category", "category_id", F.size("images").alias("n_images"), "image_source")
 
 
+@query(f"WITH {_TAXONOMY}, n AS (SELECT p_name || CASE p_partkey % 4 WHEN 0 THEN ' Suite' WHEN 1 THEN ' 2 Bedroom Apartment' WHEN 2 THEN '' ELSE ' Deluxe Room' END AS room_name FROM part), m AS (SELECT lower(room_name) AS norm FROM n), c AS (SELECT DISTINCT {_category_sql('norm')} AS category FROM m) SELECT category AS name FROM taxonomy WHERE category NOT IN (SELECT category FROM c)")
+def category_completeness(spark, d):
+    """The categories that none of the rooms has."""
+    name = F.concat("p_name", F.when(F.col("p_partkey") % 4 == 0, " Suite").when(F.col("p_partkey") % 4 == 1, " 2 Bedroom Apartment").when(F.col("p_partkey") % 4 == 2, "").otherwise(" Deluxe Room"))
+    there = _table(spark, d, "part").select(F.upper(N.category(N.norm(name))).alias("name")).distinct()
+    return scans.missing_categories(spark, there).select("name")
+
+
+@query("SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN 4 WHEN 1 THEN o_orderkey % 9 + 1 WHEN 2 THEN CASE WHEN o_orderkey % 9 > 0 THEN 1 END END::INT AS n, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 9 WHEN o_orderkey % 5 = 1 OR (o_orderkey % 5 = 2 AND o_orderkey % 9 > 0) THEN 0 END::INT AS start FROM orders")
+def parse_range(spark, d):
+    """Ranges of a selection as somebody typed them: "4-7", "4", "0-0", in the wrong order, and words."""
+    k = F.col("o_orderkey")
+    text = lambda c: c.cast("string")
+    low = k % 9
+    reply = F.when(k % 5 == 0, F.concat(F.lit(" "), text(low + 1), F.lit(" - "), text(low + 4))).when(k % 5 == 1, text(low + 1)).when(k % 5 == 2, F.when(low > 0, "1-1").otherwise("0-0")).when(k % 5 == 3, F.concat(text(low + 2), F.lit("-"), text(low + 1))).otherwise("all of them")
+    return _table(spark, d, "orders").select(k.alias("id"), extract.parse_range(reply).alias("r")).select("id", F.col("r.count").alias("n"), F.col("r.offset").alias("start"))
+
+
 _REVIEWS = "WITH q AS (SELECT o_orderkey AS row_id, o_custkey AS hotel_id, CASE o_orderkey % 4 WHEN 0 THEN ' Yes' WHEN 1 THEN 'approve' WHEN 2 THEN 'no' END AS decision, o_orderkey % 5 AS n_images, o_orderkey % 3 > 0 AS hosted FROM orders), y AS (SELECT *, n_images = 0 OR hosted AS done FROM q WHERE row_id % 4 < 2)"
 
 
