@@ -1,20 +1,20 @@
 """Benchmark decontamination, in DataFrame functions only.
 
 Documents and benchmark items are hashed word shingle by word shingle. Windows of a document are as long as an item
-that it shares one of the item's rarest shingles with, and stand where these would lie over each other. Windows and
-items get SimHash fingerprints, and a multi-index finds every item of the window's length within ``radius`` bits:
-with radius + 1 blocks, fingerprints that differ in at most ``radius`` bits agree in a whole block.
-
-No radius holds all windows at a similarity of 0.8 (the mean distance there is about 9 of 64 bits, the greatest has no
-bound), and one that holds nearly all leaves blocks of three bits, which tell nothing apart. So the radius is one that
-leaves whole bytes, and pairs at whose rarest shingles a document and an item meet, but which the index does not
-return, are candidates too: to reach ``least``, a window must hold one of the rarest n - ceil(least * n) + 1 shingles
-of an item of n, so none is lost.
-
-Candidates are verified by the exact weighted similarity of the shingles (weights are their multiplicities), in all
-windows of the document at once: the k-th place of a shingle that an item has c times adds to the windows that hold
-it but not the place c before it. These are intervals of starts, and a running sum over their ends gives the shared
-shingles of each window in time linear in the document.
+that it shares one of the item's rarest shingles with, and stand where these would lie over each other: to reach
+``least``, a window must hold one of the rarest n - ceil(least * n) + 1 shingles of an item of n. Windows and items get
+SimHash fingerprints, and a multi-index tells which items of the window's length are within ``radius`` bits. It has four
+blocks of sixteen bits. Of two fingerprints that differ in at most ``radius`` bits, some block differs in at most a
+quarter of these; items, which are few, stand in the index with all neighbours of their blocks that near, and a window
+looks up its four blocks, so none within the radius is missed. Equal windows are looked up once.
+
+Only what the index returns is verified, by the exact weighted similarity of the shingles (weights are their
+multiplicities), in all windows of the document at once: the k-th place of a shingle that an item has c times adds to
+the windows that hold it but not the place c before it. These are intervals of starts, and a running sum over their ends
+gives the shared shingles of each window in time linear in the document.
+
+At a similarity of 0.8 the mean distance is about 9 of 64 bits with a deviation of 3, so the radius holds all but the
+outermost; it has to be that wide, as no radius holds all.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, persisted
 
 #: Windows of a document that are fingerprinted for each length of one item.
-STEPS = 8
+STEPS = 32
+#: Bits of a block of the multi-index, and bits that fingerprints of a candidate may differ in.
+BLOCK, RADIUS = 16, 19
 
 
 def hashed(df: DataFrame, id_col: str, text_col: str, size: int, id_name: str) -> DataFrame:
@@ -56,10 +58,16 @@ def fingerprint(hashes: Column) -> Column:
     return reduce(Column.bitwiseOR, map(voted, range(64)))
 
 
-def blocks(fp: Column, count: int) -> Column:
-    """The fingerprint in ``count`` blocks of bits, as (block, value)."""
-    edges = [64 * k // count for k in range(count + 1)]
-    return F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value")) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))])
+def blocks(fp: Column) -> Column:
+    """The fingerprint in blocks of bits, as (block, value)."""
+    return F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(fp, BLOCK * k).bitwiseAND(F.lit((1 << BLOCK) - 1)).alias("value")) for k in range(64 // BLOCK)])
+
+
+def neighbours(value: Column, most: int) -> Column:
+    """All values of a block that differ from ``value`` in at most ``most`` bits."""
+    # a constant, worked out once when the query is planned
+    masks = F.filter(F.sequence(F.lit(0), F.lit((1 << BLOCK) - 1)), lambda m: F.bit_count(m) <= most)
+    return F.transform(masks, lambda m: value.bitwiseXOR(m.cast("long")))
 
 
 KEY = ("doc_id", "tk")
@@ -69,34 +77,40 @@ def same_text(df: DataFrame, other: DataFrame) -> Column:
     return reduce(Column.__and__, [df[c].eqNullSafe(other[c]) for c in KEY])
 
 
-def near_items(texts: DataFrame, meetings: DataFrame, bench: DataFrame, radius: int) -> DataFrame:
-    """(doc_id, tk, item_id): items with a fingerprint within ``radius`` bits of that of some window of their length.
+def windows(texts: DataFrame, meetings: DataFrame) -> DataFrame:
+    """(doc_id, tk, n, fp): fingerprints of windows as long as the items met, where these would lie.
 
-    Of the windows that begin within an ``STEPS``-th of their length the first is taken, so that the work is linear
-    in the document.
+    Of the windows that begin within a ``STEPS``-th of their length the first is taken, so that the work is linear in the
+    document.
     """
     start = F.least(F.greatest(F.col("pos") - F.col("at"), F.lit(0)), F.greatest(F.col("size") - F.col("n"), F.lit(0)))
     placed = meetings.withColumn("start", start).groupBy(*KEY, "n", F.floor(F.col("start") * STEPS / F.col("n")).alias("step")).agg(F.min("start").alias("start"))
     t = texts.alias("t")
-    marked = placed.join(t, same_text(placed, texts)).select(placed["doc_id"], placed["tk"], "n", fingerprint(F.slice("t.shingles", F.col("start") + 1, F.col("n"))).alias("fp"))
-    marked = persisted(marked, "windows")
+    return placed.join(t, same_text(placed, texts)).select(placed["doc_id"], placed["tk"], "n", fingerprint(F.slice("t.shingles", F.col("start") + 1, F.col("n"))).alias("fp"))
+
+
+def multi_index(bench: DataFrame, radius: int) -> DataFrame:
+    """(n, block, value, item_id, item_fp): items under every value of a block that a fingerprint within ``radius`` may have."""
+    marked = bench.select("item_id", "n", fingerprint(F.col("item_shingles")).alias("item_fp"))
+    by_block = marked.select("item_id", "n", "item_fp", F.explode(blocks(F.col("item_fp"))).alias("b"))
+    return by_block.select("item_id", "n", "item_fp", "b.block", F.explode(neighbours(F.col("b.value"), radius // (64 // BLOCK))).alias("value"))
 
-    def indexed(df: DataFrame) -> DataFrame:
-        b = blocks(F.col("fp"), radius + 1)
-        return df.select("*", F.explode(b).alias("b")).select(*df.columns, "b.block", "b.value")
 
-    items = indexed(bench.select("item_id", "n", fingerprint(F.col("item_shingles")).alias("fp"))).withColumnRenamed("fp", "item_fp")
-    met = indexed(marked).join(broadcast_if_small(items), ["n", "block", "value"])
-    return met.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(*KEY, "item_id").distinct()
+def near_items(marked: DataFrame, index: DataFrame, radius: int) -> DataFrame:
+    """(doc_id, tk, item_id): items within ``radius`` bits of some window (doc_id, tk, n, fp) of their length."""
+    asked = marked.select("n", "fp").distinct()
+    met = asked.select("n", "fp", F.explode(blocks(F.col("fp"))).alias("b")).select("n", "fp", "b.block", "b.value").join(index, ["n", "block", "value"])
+    found = met.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select("n", "fp", "item_id").distinct()
+    return marked.join(found, ["n", "fp"]).select(*KEY, "item_id").distinct()
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, least: float = 0.8, radius: int = 7) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, least: float = 0.8, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, start_word, similarity): for each document and item that it holds, the best window.
 
-    A document holds an item if some window of the item's length reaches the similarity ``least``. Ties go to the
-    first window. A document shorter than the item is one window. Null texts, and texts and items with fewer than
+    A document holds an item if some window of the item's length reaches the similarity ``least`` and the index returns it:
+    fingerprints of item and window differ in at most ``radius`` bits. Ties go to the first window. A document shorter than the item is one window. Null texts, and texts and items with fewer than
     ``size`` words, hold and are nothing; empty tables give an empty result. Rows that share an id are searched each,
-    and answered once. ``radius`` bears on the cost only.
+    and answered once.
     """
     hashed_items = hashed(items, item_col, item_text, size, "item_id").filter("shingles IS NOT NULL")
     bench = persisted(hashed_items.select("item_id", F.col("shingles").alias("item_shingles"), F.size("shingles").alias("n")), "items")
@@ -119,7 +133,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     # a document that met nothing is not looked at again
     wanted = broadcast_if_small(persisted(meetings.select(F.col("doc_id").alias("_met")).distinct(), "met"))
     texts = persisted(shingled(docs.join(wanted, docs[id_col].eqNullSafe(wanted["_met"]), "left_semi")).dropDuplicates([*KEY]), "texts")
-    candidates = persisted(meetings.select(*KEY, "item_id").unionByName(near_items(texts, meetings, bench, radius)).distinct(), "candidates")
+    marked = persisted(windows(texts, meetings), "windows")
+    candidates = persisted(near_items(marked, persisted(multi_index(bench, radius), "multi-index"), radius), "candidates")
     best = best_windows(texts, candidates, of_item)
     found = best.filter(F.col("similarity") >= least).groupBy("doc_id", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "start")).alias("m"))
     return found.select("doc_id", "item_id", F.col("m.start").cast("long").alias("start_word"), (-F.col("m.s")).alias("similarity"))
