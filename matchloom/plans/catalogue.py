@@ -290,6 +290,42 @@ def hotel_match_near_miss(spark, d):
     return resolution.match_hotels(view(spark, d, "hotel"), view(spark, d, "candidate")).filter("reason IS NOT NULL").select("hotel_id", "reason")
 
 
+# a third of the hotels has candidates whose pages mostly failed; searches failed for every second one of these
+_FETCH = "CASE WHEN hotel_id % 3 = 1 AND cand_id % 8 < 7 OR cand_id % 9 = 4 THEN 'error' WHEN cand_id % 9 = 5 THEN 'empty' ELSE 'ok' END"
+_FAILED = "SELECT s_suppkey AS hotel_id, CAST(s_suppkey % 4 AS INT) AS seq, 'timeout ' || CAST(s_suppkey % 4 AS STRING) AS error FROM supplier WHERE s_suppkey % 2 = 1"
+
+
+@query(_K.replace("candidate AS (", f"candidate AS (SELECT *, {_FETCH} AS got FROM (").rstrip(", ") + "), failure AS (" + _FAILED + "), " + O.resolutions() + " SELECT * FROM o")
+def hotel_fetch_outcomes(spark, d):
+    """Hotels resolved where searches and fetches fail: what nobody could tell is not a refusal."""
+    failures = spark.sql(_FAILED.replace("FROM supplier", "FROM {supplier}"), supplier=_table(spark, d, "supplier"))
+    found = resolution.resolve_hotels(view(spark, d, "hotel"), view(spark, d, "candidate").withColumn("fetch", F.expr(_FETCH)), failures)
+    return found.select("hotel_id", "cand_id", "confidence", "reason", "unreachable")
+
+
+_LISTING = "SELECT c_custkey AS cand_id, CASE WHEN c_custkey % 3 = 0 THEN 'Supplier#' || lpad(CAST(1 + c_custkey % 97 AS STRING), 9, '0') ELSE c_name END AS cand_name, c_nationkey AS cand_city, CASE WHEN c_custkey % 8 > 0 THEN CAST(25.0 + (c_custkey % 97) * 0.001 + (c_custkey % 13) * 0.0007 AS DOUBLE) END AS cand_lat, CAST(55.0 + (c_custkey % 89) * 0.001 + (c_custkey % 7) * 0.0005 AS DOUBLE) AS cand_lon FROM {customer}"
+_NEAR = cte("hotel")[:-1] + ", listing AS (" + _LISTING.replace("{customer}", "customer") + "), met AS (SELECT h.id AS hotel_id, l.*, " + O.KM.replace("c.", "l.") + " AS distance FROM hotel h JOIN listing l ON l.cand_lat BETWEEN h.lat - 0.02 AND h.lat + 0.02)"
+
+
+def _listings(spark, d):
+    return spark.sql(_LISTING, customer=_table(spark, d, "customer"))
+
+
+@query(_NEAR + f" SELECT hotel_id, count(*) FILTER (distance <= {V.VERIFIED_KM}) AS at_hand, count(*) AS near, round(min(distance), 4) AS nearest_km FROM met WHERE distance <= {V.FAR_KM} GROUP BY hotel_id")
+def nearby_listings(spark, d):
+    """Listings near each hotel, met by cells of a grid."""
+    hotels = view(spark, d, "hotel").select(F.col("id").alias("hotel_id"), "lat", "lon")
+    met = resolution.within(hotels, _listings(spark, d), V.FAR_KM)
+    return met.groupBy("hotel_id").agg(F.count_if(F.col("distance") <= V.VERIFIED_KM).alias("at_hand"), F.count("*").alias("near"), F.round(F.min("distance"), 4).alias("nearest_km"))
+
+
+@query(_NEAR + ", candidate AS (SELECT hotel_id, cand_id, cand_name, cand_city, cand_lat, cand_lon FROM met WHERE distance <= 1.5), " + O.candidates() + ", t AS (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY strict DESC, score DESC, cand_id) AS nth FROM k), g AS (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY distance, nth) AS r FROM t WHERE nth <= 3 AND score >= 90 AND distance <= 0.25) SELECT hotel_id, cand_id, round_even(score, 1) AS score, round_even(distance, 4) AS distance FROM g WHERE r = 1")
+def verified_nearby(spark, d):
+    """The dual gate over candidates that coordinates give."""
+    hotels = view(spark, d, "hotel")
+    return resolution.verified(hotels, resolution.nearby(hotels, _listings(spark, d)))
+
+
 @query(_K + O.candidates() + ", t AS (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY strict DESC, score DESC, cand_id) AS nth FROM k WHERE lat IS NOT NULL), g AS (SELECT *, row_number() OVER (PARTITION BY hotel_id ORDER BY distance, nth) AS r FROM t WHERE nth <= 3 AND score >= 90 AND distance <= 0.25) SELECT hotel_id, cand_id, round_even(score, 1) AS score, round_even(distance, 4) AS distance FROM g WHERE r = 1")
 def verified_dual_gate(spark, d):
     return resolution.verified(view(spark, d, "hotel"), view(spark, d, "candidate"))

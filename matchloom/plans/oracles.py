@@ -174,3 +174,19 @@ r AS (SELECT h.id AS hotel_id, hit.cand_id, round_even(hit.score, 1) AS name_sco
     'rejected ' || near.cand_name || ' name=' || round_even(near.score, 0)::INT || '% strict=' || round_even(near.strict, 0)::INT || '% dist=' || coalesce(round_even(near.distance, 2)::VARCHAR || 'km', '?') || ' same_city=' || near.same_city::VARCHAR,
     'rejected ' || private.cand_name || ': private listing', 'no candidate above name threshold') END AS reason
   FROM hotel h LEFT JOIN hit ON hit.hotel_id = h.id LEFT JOIN near ON near.hotel_id = h.id LEFT JOIN private ON private.hotel_id = h.id)"""
+
+
+def resolutions() -> str:
+    """Table o: like r of ``matches``, with failed searches (failure: hotel_id, seq, error) and candidates that have ``got``."""
+    told = matches().split(", r AS (", 1)[0].replace("r AS (SELECT h.id", "@").rsplit("\nprivate AS", 1)[0].replace("NOT is_private OR listed AS counts", "got = 'ok' AND (NOT is_private OR listed) AS counts")
+    return told + f"""
+refused AS (SELECT hotel_id, arg_min(CASE got WHEN 'error' THEN 'fetch failed' WHEN 'empty' THEN 'property returned no data' ELSE 'rejected ' || cand_name || ': private listing' END, nth) AS refused FROM seen WHERE NOT counts GROUP BY hotel_id),
+tried AS (SELECT hotel_id, count(*) AS considered, count(*) FILTER (got = 'error') AS failed FROM seen GROUP BY hotel_id),
+err AS (SELECT hotel_id, arg_min(error, seq) AS error FROM failure GROUP BY hotel_id),
+x AS (SELECT h.id AS hotel_id, hit.cand_id, hit.confidence, h.id IN (SELECT hotel_id FROM one) AS offered, refused, considered, failed, error,
+  'rejected ' || near.cand_name || ' name=' || round_even(near.score, 0)::INT || '% strict=' || round_even(near.strict, 0)::INT || '% dist=' || coalesce(round_even(near.distance, 2)::VARCHAR || 'km', '?') || ' same_city=' || near.same_city::VARCHAR AS close
+  FROM hotel h LEFT JOIN hit ON hit.hotel_id = h.id LEFT JOIN near ON near.hotel_id = h.id LEFT JOIN refused ON refused.hotel_id = h.id LEFT JOIN tried ON tried.hotel_id = h.id LEFT JOIN err ON err.hotel_id = h.id),
+o AS (SELECT hotel_id, cand_id, confidence,
+  CASE WHEN cand_id IS NOT NULL THEN NULL WHEN NOT offered THEN coalesce('search failed: ' || error, 'no suggestion') WHEN failed >= considered THEN 'every candidate fetch failed (' || failed || '): ' || coalesce(close, refused)
+    WHEN error IS NOT NULL AND considered IS NULL THEN 'search partly failed (' || error || ') and no candidate cleared the name floor' ELSE coalesce(close, refused, 'no candidate above name threshold') END AS reason,
+  cand_id IS NULL AND (coalesce(failed >= considered, false) OR (error IS NOT NULL AND considered IS NULL)) AS unreachable FROM x)"""
