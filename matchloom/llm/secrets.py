@@ -8,6 +8,9 @@ Unicode escapes are decoded in place, over the whole layer, so that a secret is
 Compressed data is expanded and scanned piece by piece, however long it gets; pieces overlap.
 Each hit in a layer is mapped back to the stretch of the original text that it came from: to the letters
 that hold it where the layers are escapes and base64, to the whole stretch where compressed data is among them.
+Escapes of escapes are layers of their own up to ``LAYERS`` in a row; what is nested deeper is decoded to its end at once,
+so that time and memory do not grow with the square of a chain. A plus sign beside an encoded or plain : or = is read as
+the space of a form too.
 """
 
 from __future__ import annotations
@@ -40,11 +43,18 @@ KEYWORDS = re.compile(r"passw|secret|token|api", re.IGNORECASE | re.ASCII)
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 UNICODE_ANY = re.compile(r"\\[uUx][0-9A-Fa-f]|&#")
+#: Signs that begin an escape, encoded again and again.
+CHAIN = re.compile(r"%(?:25)+(?=[0-9A-Fa-f]{2})|\\(?:u005[cC]|x5[cC])+(?=[uUx][0-9A-Fa-f])|&(?:#38;|#[xX]26;)+(?=#)")
+FORM = re.compile(r"\+(?=\+*(?:%3[AaDd]|[:=]))|(?<=[:=])\++|(?<=%3[AaDd])\++")
+#: Layers of escapes directly upon one another that are scanned each.
+LAYERS = 8
 # A run may go on over line breaks; the lines after its first may be short and indented.
 BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2})*")
 BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: Bytes of expanded data that are scanned at a time, and by how much one piece reaches into the next.
 EXPANDED, OVERLAP = 4 << 20, 1 << 16
+#: Bytes of compressed data that a decoder is given at a time.
+FED = 1 << 16
 #: How gzip, zlib, zstd and bzip2 data begin in base64.
 PACKED = ("H4sI", "eA", "eJ", "eN", "eF", "KLUv", "Qlpo")
 
@@ -87,27 +97,35 @@ def _format(data: bytes) -> str | None:
     return "zstd" if data[:4] == b"\x28\xb5\x2f\xfd" else "bzip2" if data[:3] == b"BZh" else None
 
 
-def _expanded(data: bytes, how: str) -> Iterator[bytes]:
-    """The decompressed data in pieces; it ends where the data is damaged."""
+def _expanded(data: memoryview, how: str) -> Iterator[bytes]:
+    """The decompressed data in pieces; it ends where the data is damaged. Input is taken in stretches of ``FED`` bytes."""
     try:
         if how == "zstd":
             reader = zstandard.ZstdDecompressor().stream_reader(data)
             while piece := reader.read(EXPANDED):
                 yield piece
-        elif how == "bzip2":
-            coder = bz2.BZ2Decompressor()
-            piece = coder.decompress(data, EXPANDED)
-            while piece:
-                yield piece
-                piece = b"" if coder.eof else coder.decompress(b"", EXPANDED)
-        else:
-            inflater = zlib.decompressobj(31 if how == "gzip" else 15)
-            piece = inflater.decompress(data, EXPANDED)
-            while piece:
-                yield piece
-                piece = inflater.decompress(inflater.unconsumed_tail, EXPANDED)
+            return
+        coder = bz2.BZ2Decompressor() if how == "bzip2" else zlib.decompressobj(31 if how == "gzip" else 15)
+        held, size = [], 0
+        for at in range(0, len(data), FED):
+            fed: bytes | memoryview = data[at : at + FED]
+            while True:
+                piece = coder.decompress(fed, EXPANDED)
+                held.append(piece)
+                size += len(piece)
+                if size >= EXPANDED:
+                    yield b"".join(held)
+                    held, size = [], 0
+                fed = b"" if how == "bzip2" else coder.unconsumed_tail
+                if coder.eof or (coder.needs_input if how == "bzip2" else not fed):
+                    break
+            if coder.eof:
+                break
+        if size:
+            yield b"".join(held)
     except (zlib.error, zstandard.ZstdError, OSError, EOFError, ValueError):
-        return
+        if how != "zstd" and held:
+            yield b"".join(held)
 
 
 def _code_point(m: re.Match) -> str:
@@ -116,24 +134,29 @@ def _code_point(m: re.Match) -> str:
     return chr(n) if n < 0x110000 and not 0xD800 <= n < 0xE000 else m[0]
 
 
-def base64_runs(text: str) -> Iterator[tuple[int, int, list[tuple[int, str]]]]:
-    """(start, end, places and letters of its lines) of what may be base64: each long line, and lines joined up to padding or their end.
+def base64_runs(text: str) -> Iterator[tuple[int, int, list[tuple[int, str]], list[tuple[int, int]]]]:
+    """(start, end, places and letters of its lines, where compressed data may begin) of what may be base64.
 
-    Joined lines are read from the first of each of the four alignments, and from wherever compressed data begins,
-    so a payload is read as a whole even if words stand on the lines before it.
+    These are each long line, and lines joined up to padding or their end. Joined lines are read from the first of each of
+    the four alignments, so a payload is read as a whole even if words stand on the lines before it. Where a later line of
+    that alignment begins as compressed data does, it is told as (number of letters before it, place in the text).
     """
     for m in BASE64_RUN.finditer(text):
         lines = [(x.start(), x.end(), x[0].rstrip("=")) for x in BASE64_LINE.finditer(text, m.start(), m.end())]
-        yield from ((a, b, [(a, x)]) for a, b, x in lines if len(x) >= 16)
+        yield from ((a, b, [(a, x)], []) for a, b, x in lines if len(x) >= 16)
         at = 0
         while at < len(lines):
             last = next((j for j in range(at, len(lines)) if lines[j][1] - lines[j][0] > len(lines[j][2])), len(lines) - 1)
-            offset, read = 0, set()
+            offset, first, packed = 0, {}, {}
             for i in range(at, last):
-                if offset % 4 not in read or lines[i][2].startswith(PACKED):
-                    read.add(offset % 4)
-                    yield lines[i][0], lines[last][1], [(a, x) for a, _, x in lines[i : last + 1]]
+                kind = offset % 4
+                if kind not in first:
+                    first[kind], packed[kind] = (i, offset), []
+                elif lines[i][2].startswith(PACKED):
+                    packed[kind].append((offset - first[kind][1], lines[i][0]))
                 offset += len(lines[i][2])
+            for kind, (i, _) in first.items():
+                yield lines[i][0], lines[last][1], [(a, x) for a, _, x in lines[i : last + 1]], packed[kind]
             at = last + 1
 
 
@@ -162,30 +185,67 @@ def _url_chars(run: str) -> list[tuple[str, int]]:
     return out
 
 
+Places = tuple[np.ndarray, np.ndarray]
+
+
+def _replaced(text: str, pattern: re.Pattern, decoded) -> tuple[str, Places]:
+    """``text`` with what ``decoded`` gives for each match, as (characters, how many letters they take); and the places of its characters."""
+    parts, starts, ends, at = [], [], [], 0
+    for m in pattern.finditer(text):
+        parts.append(text[at : m.start()])
+        starts.append(np.arange(at, m.start()))
+        ends.append(np.arange(at, m.start()) + 1)
+        found = decoded(m)
+        parts += [c for c, _ in found]
+        stop = m.start() + np.cumsum([n for _, n in found])
+        starts.append(np.concatenate([[m.start()], stop[:-1]]))
+        ends.append(stop)
+        at = m.end()
+    parts.append(text[at:])
+    starts.append(np.arange(at, len(text)))
+    ends.append(np.arange(at, len(text)) + 1)
+    return "".join(parts), (np.concatenate(starts), np.concatenate(ends))
+
+
+def _url(m: re.Match) -> list[tuple[str, int]]:
+    return _url_chars(m[0])
+
+
+def _unicode(m: re.Match) -> list[tuple[str, int]]:
+    c = _code_point(m)
+    return [(c, len(m[0]))] if c != m[0] else [(x, 1) for x in c]
+
+
+ESCAPES = (("url", URL_RUN, URL_RUN, _url), ("unicode", UNICODE_ONE, UNICODE_ANY, _unicode))
+
+
 def unescaped(text: str) -> Iterator[tuple[str, str, np.ndarray, np.ndarray]]:
     """(decoder, decoded text, start and end in ``text`` of each of its characters) for the kinds of escapes in one layer."""
-    for how, pattern, quick in (("url", URL_RUN, URL_RUN), ("unicode", UNICODE_ONE, UNICODE_ANY)):
-        if not quick.search(text):
-            continue
-        parts, starts, ends, at = [], [], [], 0
-        for m in pattern.finditer(text):
-            parts.append(text[at : m.start()])
-            starts.append(np.arange(at, m.start()))
-            ends.append(np.arange(at, m.start()) + 1)
-            at = m.start()
-            for c, n in _url_chars(m[0]) if how == "url" else [(_code_point(m), len(m[0]))] if _code_point(m) != m[0] else [(c, 1) for c in m[0]]:
-                parts.append(c)
-                starts.append(np.array([at]))
-                ends.append(np.array([at + n]))
-                at += n
-        parts.append(text[at:])
-        starts.append(np.arange(at, len(text)))
-        ends.append(np.arange(at, len(text)) + 1)
-        if (plain := "".join(parts)) != text:
-            yield how, plain, np.concatenate(starts), np.concatenate(ends)
-
-
-Found = tuple[str, int, int, str, tuple[np.ndarray, np.ndarray] | None]
+    for how, pattern, quick, decoded in ESCAPES:
+        if quick.search(text):
+            plain, (starts, ends) = _replaced(text, pattern, decoded)
+            if plain != text:
+                yield how, plain, starts, ends
+    if "+" in text and FORM.search(text):
+        spaced = FORM.sub(lambda m: " " * len(m[0]), text)
+        plain, (starts, ends) = _replaced(spaced, URL_RUN, _url)
+        yield "form", plain, starts, ends
+
+
+def unescaped_wholly(text: str) -> tuple[str, Places] | None:
+    """The text with its escapes decoded until none is left, and the places of its characters; None if there are none."""
+    whole, places = text, None
+    while True:
+        before = whole
+        for pattern, quick, decoded in ((CHAIN, CHAIN, lambda m: [(m[0][0], len(m[0]))]), *(e[1:] for e in ESCAPES)):
+            if quick.search(whole):
+                whole, (starts, ends) = _replaced(whole, pattern, decoded)
+                places = (starts, ends) if places is None else (places[0][starts], places[1][ends - 1])
+        if whole == before:
+            return None if places is None or whole == text else (whole, places)
+
+
+Found = tuple[str, int, int, str, Places | None]
 
 
 def unwrap(text: str) -> Iterator[Found]:
@@ -193,20 +253,24 @@ def unwrap(text: str) -> Iterator[Found]:
 
     Compressed data gives one entry for each piece.
     """
-    for start, end, lines in base64_runs(text):
+    for start, end, lines, packed in base64_runs(text):
         body = "".join(x for _, x in lines)
         body = body[: len(body) - (len(body) % 4 == 1)]  # a single last letter holds no byte
         try:
             raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        if how := _format(raw):
-            before = b""
-            for piece in _expanded(raw, how):
-                yield f"base64+{how}", start, end, (before + piece).decode("utf-8", "replace"), None
-                before = piece[-OVERLAP:]
-            if before:
-                continue
+        expanded = False
+        for letters, place in [(0, start), *packed]:
+            data = memoryview(raw)[letters // 4 * 3 :]
+            if how := _format(bytes(data[:4])):
+                before = b""
+                for piece in _expanded(data, how):
+                    yield f"base64+{how}", place, end, (before + piece).decode("utf-8", "replace"), None
+                    before = piece[-OVERLAP:]
+                expanded |= bool(before) and not letters
+        if expanded:
+            continue
         try:
             plain = raw.decode()
         except UnicodeDecodeError:  # what is not UTF-8 is replaced, so that the rest is still scanned
@@ -234,8 +298,12 @@ def scan(text: str | None, bomb: int = 16 << 20) -> tuple[list[tuple[str, int, i
         return (layer.places[0][places[0]], layer.places[1][places[1] - 1]) if layer.places else None
 
     def children(layer: Layer) -> Iterator[Layer]:
-        for how, plain, starts, ends in unescaped(layer.text):
-            yield Layer(plain, layer.start, layer.end, (*layer.path, how), through(layer, (starts, ends)))
+        if len(layer.path) >= LAYERS and all(h in ("url", "unicode", "form", "escapes") for h in layer.path[-LAYERS:]):
+            if whole := unescaped_wholly(layer.text):
+                yield Layer(whole[0], layer.start, layer.end, (*layer.path[:-1], "escapes"), through(layer, whole[1]))
+        else:
+            for how, plain, starts, ends in unescaped(layer.text):
+                yield Layer(plain, layer.start, layer.end, (*layer.path, how), through(layer, (starts, ends)))
         size, at = 0, None
         for how, a, b, plain, places in unwrap(layer.text):
             start, end = layer.source(a, b)
