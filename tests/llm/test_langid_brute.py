@@ -52,3 +52,17 @@ def test_slices_come_from_anywhere(spark):
     (content,) = langid.learn_dictionaries(spark.createDataFrame(rows, DOCS)).values()
     assert content.count(b"beginning") * 14 < 0.6 * len(content)
     assert langid.learn_dictionaries(spark.createDataFrame(rows, DOCS).filter(F.lit(False))) == {}
+
+
+def test_the_margin_is_chosen_without_held_out_rows(spark):
+    r = random.Random(9)
+    rows = [(i, language(i % 2, r.randint(2, 60), r), ["aa", "bb"][i % 2], "s", 1) for i in range(160)]
+    docs = spark.createDataFrame(rows, DOCS)
+    told = sorted(map(tuple, langid.margins_by_fold(docs, 3).collect()))
+    learnable = docs.filter(langid.may_learn("doc_id"))
+    assert sum(right + wrong for _, right, wrong in told) == learnable.count() < 160
+    # labels of held-out rows do not matter
+    other = docs.withColumn("lang", F.when(langid.may_learn("doc_id"), F.col("lang")).otherwise("bb"))
+    assert sorted(map(tuple, langid.margins_by_fold(other, 3).collect())) == told
+    assert langid.narrowest_margin([(0, 1, 5), (1, 2, 3), (2, 9, 1), (3, 0, 9)]) == 2
+    assert langid.narrowest_margin([]) == 0 and langid.narrowest_margin([(m, 0, 1) for m in range(20)]) == 8
