@@ -29,7 +29,7 @@ from .common import map_rows, with_mapped
 from .secrets import _arrow_type
 
 LEAF = 32
-#: Stretches, and pairs of tokens, that a worker remembers.
+#: Stretches, and pairs of tokens, that a worker remembers; of stretches as many again that were used before these.
 MEMO = 400_000
 #: Children of a node of the tree that decodes.
 FAN = 16
@@ -111,12 +111,20 @@ class Tokenizer:
     def encode_stretch(self, text: str) -> list[int]:
         return [t for m in self.pattern.findall(text) for t in self.encode_piece(m.encode("utf-8"))]
 
+    def stretches(self, text: str | None) -> list[str]:
+        """The ids of each stretch, in decimal, joined by one space; no stretch for null."""
+        if not text:
+            return []
+        first, *rest = text.split(" ")
+        try:  # a stretch that white space begins or ends, or that is empty, is never remembered
+            return [self.first[first], *map(self.rest.__getitem__, rest)]
+        except _NoStretch:
+            first, *rest = CUT.split(text)
+            return [self.first.of(first), *map(self.rest.of, rest)]
+
     def encode_text(self, text: str | None) -> str:
         """The ids in decimal, joined by one space; null is empty."""
-        if not text:
-            return ""
-        first, *rest = CUT.split(text)
-        return " ".join([self.first[first], *map(self.rest.__getitem__, rest)])
+        return " ".join(self.stretches(text))
 
     def encode(self, text: str | None) -> list[int]:
         return [int(x) for x in self.encode_text(text).split()]
@@ -137,20 +145,49 @@ class Tokenizer:
         return parts[0] if parts else b""
 
 
-class _Memo(dict):
-    """Stretch to decimal ids; ``before`` is put before the stretch. Forgets everything when full."""
+class _NoStretch(Exception):
+    """A part of a text at single spaces is no stretch: no match of the pattern need begin or end there."""
 
-    def __init__(self, owner: Tokenizer, before: str):
+
+class _Kept(dict):
+    """What was made of short texts. When full, all of it becomes the older half; what is used there again is kept."""
+
+    def __init__(self, owner: Tokenizer, longest: int):
         super().__init__()
-        self.owner, self.before = owner, before
+        self.owner, self.longest, self.older = owner, longest, {}
 
-    def __missing__(self, stretch: str) -> str:
-        ids = " ".join(map(str, self.owner.encode_stretch(self.before + stretch)))
-        if len(stretch) <= 64:
+    def made(self, text: str) -> str:
+        raise NotImplementedError
+
+    def __missing__(self, text: str) -> str:
+        if (found := self.older.get(text)) is None:
+            found = self.made(text)
+        if len(text) <= self.longest:
             if len(self) >= MEMO:
+                self.older = dict(self)
                 self.clear()
-            self[stretch] = ids
-        return ids
+            self[text] = found
+        return found
+
+
+class _Memo(_Kept):
+    """Stretch to decimal ids; ``before`` is put before the stretch."""
+
+    def __init__(self, owner: Tokenizer, before: str):
+        super().__init__(owner, 64)
+        self.before = before
+
+    def of(self, stretch: str) -> str:
+        """The ids of a stretch, of any kind."""
+        try:
+            return self[stretch]
+        except _NoStretch:
+            return " ".join(map(str, self.owner.encode_stretch(self.before + stretch)))
+
+    def made(self, text: str) -> str:
+        if not text or text[0].isspace() or text[-1].isspace():
+            raise _NoStretch
+        return " ".join(map(str, self.owner.encode_stretch(self.before + text)))
 
 
 #: One space between two characters that no definition of white space holds.
