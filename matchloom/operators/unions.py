@@ -34,11 +34,14 @@ def merge_images(rows: DataFrame, keys: list[str], order: str, images: str, name
 
 
 def collapse_rate_plans(options: DataFrame) -> DataFrame:
-    """Distinct rooms of rate plans (hotel_id, option_seq, title, rooms): a blank room name falls back to the option's title."""
+    """Distinct rooms of rate plans (hotel_id, option_seq, title, rooms): a blank room name falls back to the option's title.
+
+    Of equal places (options that share a number) the least occupancy counts, so that the order of the rows does not.
+    """
     rooms = options.select("hotel_id", "option_seq", "title", F.posexplode("rooms").alias("room_seq", "room"))
     name = F.coalesce(F.nullif(F.trim("room.name"), F.lit("")), F.nullif(F.trim("title"), F.lit("")))
     named = rooms.select("hotel_id", "option_seq", "room_seq", name.alias("room_name"), F.col("room.max_occupancy").alias("max_occupancy")).filter("room_name IS NOT NULL")
-    return first_wins(named, ["hotel_id", "room_name"], ["option_seq", "room_seq"], ["max_occupancy"])
+    return first_wins(named, ["hotel_id", "room_name"], ["option_seq", "room_seq", "max_occupancy"], ["max_occupancy"])
 
 
 def matching_ids(payloads: DataFrame) -> DataFrame:
