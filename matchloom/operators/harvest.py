@@ -108,16 +108,26 @@ def cached(spark: SparkSession, path: str, schema: str, today: Column, days: int
 # --- a third source for what is still without images
 
 
-def shapes_needed(gaps: DataFrame, offers: DataFrame, base_shapes: int, flat: int = V.FLAT_STOP) -> DataFrame:
+def _covered(gaps: DataFrame, shown: DataFrame, names: DataFrame | None) -> DataFrame:
+    """(hotel_id, a_id, at) of gaps with a counterpart among the rooms ``shown``, and the first shape that has one."""
+    x, y = mapping.sides_numbered(gaps.select("hotel_id", "a_id", "room_name"), shown.select("hotel_id", "b_id", "room_name"), names)
+    good = mapping.candidates(x, y.join(shown.select("hotel_id", "b_id", "first"), ["hotel_id", "b_id"])).filter("publishable")
+    return good.groupBy("hotel_id", "a_id").agg(F.min("first").alias("at"))
+
+
+def shapes_needed(gaps: DataFrame, offers: DataFrame, base_shapes: int, flat: int = V.FLAT_STOP, names: DataFrame | None = None) -> DataFrame:
     """(hotel_id, shape) that are probed: the base shapes, then one at a time until every gap has a counterpart or ``flat`` shapes in a row add no photographed room.
 
     ``gaps``: hotel_id, a_id, room_name; ``offers``: hotel_id, shape, b_id, room_name, images. A gap has a counterpart
     once a photographed room that its name may publish with was shown.
     """
     shown = offers.filter(F.size("images") > 0).groupBy("hotel_id", "b_id").agg(F.min("shape").alias("first"), F.min_by("room_name", "shape").alias("room_name"))
-    p = mapping.pairs(gaps, shown.select("hotel_id", "b_id", "room_name"))
-    good = p.filter(F.col("alive") & ((F.col("score") >= V.ACCEPT) | ((F.col("score") >= V.REVIEW) & (F.size("cor") > 0))))
-    covered = good.join(shown.select("hotel_id", "b_id", "first"), ["hotel_id", "b_id"]).groupBy("hotel_id", "a_id").agg(F.min("first").alias("at"))
+    shown, gaps = cut(shown, "shown"), cut(gaps, "gaps")
+    names = mapping.names_of(gaps, shown) if names is None else names
+    # what the base shapes cover needs no look at the others
+    early = cut(_covered(gaps, shown.filter(F.col("first") < base_shapes), names), "covered")
+    late = cut(_covered(gaps.join(early, ["hotel_id", "a_id"], "left_anti"), shown.filter(F.col("first") >= base_shapes), names), "covered")
+    covered = early.unionByName(late)
     per_hotel = gaps.join(covered, ["hotel_id", "a_id"], "left").groupBy("hotel_id").agg(F.when(F.count_if(F.col("at").isNull()) == 0, F.max("at")).alias("all_at"))
     gains = shown.groupBy("hotel_id", F.col("first").alias("shape")).agg(F.count("*").alias("gained"))
     asked = offers.select("hotel_id", "shape").distinct().join(gaps.select("hotel_id").distinct(), "hotel_id", "left_semi")
@@ -136,11 +146,11 @@ def fill_gaps(gaps: DataFrame, verified: DataFrame, offers: DataFrame, hotels: D
     Offers of hotels that are not among ``verified`` (hotel_id, slug) do not count. No room is added and no size
     changed. The note tells the four kinds of zero apart.
     """
-    trusted = offers.join(verified.select("hotel_id"), "hotel_id", "left_semi")
-    used = trusted.join(shapes_needed(gaps, trusted, base_shapes), ["hotel_id", "shape"], "left_semi")
+    gaps, trusted = cut(gaps, "gaps"), cut(offers.join(verified.select("hotel_id"), "hotel_id", "left_semi"), "trusted")
+    names = mapping.names_of(gaps, trusted)
+    used = trusted.join(shapes_needed(gaps, trusted, base_shapes, names=names), ["hotel_id", "shape"], "left_semi")
     rooms = cut(unions.merge_images(used, ["hotel_id", "b_id"], "shape", "images", "room_name").filter(F.size("images") > 0), "offered")
-    mapped = mapping.map_rooms(gaps.select("hotel_id", "a_id", "room_name"), rooms.select("hotel_id", "b_id", "room_name")).filter("status = 'publish'")
-    got = mapped.select("hotel_id", "a_id", "b_id").join(rooms.select("hotel_id", "b_id", F.col("images").alias("found")), ["hotel_id", "b_id"]).drop("b_id")
+    got = mapping.published(gaps.select("hotel_id", "a_id", "room_name"), rooms.select("hotel_id", "b_id", "room_name"), names=names).join(rooms.select("hotel_id", "b_id", F.col("images").alias("found")), ["hotel_id", "b_id"]).drop("b_id")
     filled = cut(gaps.join(got, ["hotel_id", "a_id"], "left").withColumn("filled", F.col("found").isNotNull()).withColumn("images", F.coalesce("found", F.array().cast("array<string>"))).drop("found"), "filled")
     per_hotel = filled.groupBy("hotel_id").agg(F.count("*").alias("n_gaps"), F.count_if("filled").alias("n_filled"))
     seen = rooms.groupBy("hotel_id").agg(F.count("*").alias("n_rooms"))
