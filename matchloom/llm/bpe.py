@@ -238,7 +238,8 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "token_ids",
         t = tokenizer(file, pat)
         return [np.array(t.encode_text(x).split(), np.int32) for x in texts]
 
-    return with_mapped(docs, text_col, ids, out_col, pa.list_(pa.int32()), "array<int>")
+    # workers outlive their tasks, and other stages need the memory
+    return with_mapped(docs, text_col, ids, out_col, pa.list_(pa.int32()), "array<int>", tokenizer.cache_clear)
 
 
 def decode(docs: DataFrame, ids_col: str = "token_ids", out_col: str = "decoded", rank_file: str | None = None) -> DataFrame:

@@ -50,6 +50,11 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+def forget_words() -> None:
+    """Drop the hashes of words that this process remembers: Python workers outlive their tasks."""
+    _hashes.clear()
+
+
 def split(text: str | None) -> list[bytes]:
     """Words between ASCII white space, unchanged."""
     return (text or "").encode("utf-8", "surrogatepass").split()
